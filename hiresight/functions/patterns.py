@@ -56,6 +56,18 @@ def word_bounded(literal: str) -> str:
     return left + r"\Q" + literal + r"\E" + right
 
 
+def word_bounded_literal_first(literal: str) -> str:
+    """Same match set as ``word_bounded`` (case-sensitive), written with the
+    literal first and the left boundary as a look-behind over the literal,
+    so java.util.regex can search the literal with Boyer-Moore instead of
+    testing a look-behind at every position."""
+    q = r"\Q" + literal + r"\E"
+    n = len(literal)
+    left = ("(?<!" if is_word_char(literal[0]) else "(?<=") + WORD + ".{" + str(n) + "})"
+    right = AFTER if is_word_char(literal[-1]) else BEFORE_WORD
+    return q + left + right
+
+
 def java_quote(literal: str) -> str:
     return r"\Q" + literal + r"\E"
 

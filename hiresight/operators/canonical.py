@@ -59,13 +59,17 @@ def _nonempty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def canonicalize(raw: DataFrame, strict_us: bool = True) -> DataFrame:
+def canonicalize(raw: DataFrame, strict_us: bool = True, clean_description: bool = True) -> DataFrame:
     """Map flattened raw postings to canonical columns plus ``reason``.
 
     Input columns: ``source, company_name, run_date, extracted_at, file_path,
     pos`` and the raw posting fields. Unknown sources are dropped (neither
     valid nor rejected). ``reason`` is null for valid rows. ``file_path`` and
     ``pos`` are kept: they are the first-wins order for deduplication.
+
+    ``clean_description=False`` leaves the posting body raw so that a caller
+    can clean it later (the build cleans after its dedupe shuffle, where the
+    work is evenly spread); apply ``clean_text`` to it before use.
     """
     rows = raw.where(F.col("source").isin(*SOURCES))
     job_id = F.col("id")
@@ -84,7 +88,7 @@ def canonicalize(raw: DataFrame, strict_us: bool = True) -> DataFrame:
         ).alias("job_url"),
         F.col("company_name"),
         title.alias("title"),
-        clean_text(body).alias("description"),
+        (clean_text(body) if clean_description else body).alias("description"),
         _by_source(metadata_value("metadata", "department"), F.col("categories.department")).alias("department"),
         _by_source(metadata_value("metadata", "employment_type"), F.col("categories.commitment")).alias("employment_type"),
         location_raw.alias("location_raw"),

@@ -44,10 +44,10 @@ def board_root(url_col: str = "url"):
 
 
 def probe_results(boards: DataFrame) -> DataFrame:
-    """Probe outcome per board root URL: 200 when any landed page under
-    that root answered 200."""
+    """Probe outcome per board root URL: the best (lowest) status any
+    landed page under that root answered, so 200 when any answered 200."""
     roots = boards.select(board_root().alias("url"), "probe_status").where(F.col("url") != "")
-    return roots.groupBy("url").agg(F.max("probe_status").alias("status"))
+    return roots.groupBy("url").agg(F.min("probe_status").alias("status"))
 
 
 def candidate_urls(seeds: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def first_board_hit(seeds: DataFrame, probes: DataFrame) -> DataFrame:
         bd.board_identifier("url").alias("identifier"),
         F.lit("subdomain_probe").alias("discovery_method"),
         F.lit(PROBE_CONFIDENCE).alias("confidence"),
-    ).withColumnRenamed("domain", "domain")
+    )
 
 
 def posting_boards(postings: DataFrame, url_col: str = "job_url") -> DataFrame:

@@ -20,6 +20,8 @@ word-boundary regex, so the regex only runs where the skill can occur.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ from ..dictionaries import (
     INDUSTRY_DESC_WEIGHT, INDUSTRY_DOMAIN_WEIGHT, INDUSTRY_NAME_WEIGHT,
     ROLE_DESC_WEIGHT, ROLE_FAMILIES, ROLE_TITLE_WEIGHT, SKILLS, Taxonomy, flatten,
 )
-from ..functions.patterns import word_bounded
+from ..functions.patterns import word_bounded, word_bounded_literal_first
 from ..functions.text import _col, clean_text
 
 
@@ -82,24 +84,64 @@ def fold_for_probe(text: Column) -> Column:
     return F.lower(F.translate(text, "ſKİı", "skii"))
 
 
+WORD_RUN = r"[\p{L}\p{N}_]+"
+
+
+def _runs(literal: str) -> list[str]:
+    return re.findall(r"[^\W]+", literal)
+
+
 def _skill_specs(skills: list[str], case_sensitive: bool) -> Column:
-    flags = "" if case_sensitive else "(?iu)"
+    """Per skill: name, its word runs, regex, and whether the regex runs on
+    the folded text (ASCII skills, case-insensitive) or the cleaned text.
+
+    For an ASCII skill, a case-insensitive match on the cleaned text is the
+    same as a case-sensitive match of the lower-cased skill on the folded
+    text (folding keeps length and word-character class of every char), and
+    the case-sensitive literal-first regex is much cheaper to search."""
     specs = []
     for s in dict.fromkeys(skills):
-        probe = (s if case_sensitive else s.lower()) if s.isascii() else ""
-        specs.append(F.struct(F.lit(s).alias("skill"), F.lit(probe).alias("probe"),
-                              F.lit(flags + word_bounded(s)).alias("rx")))
+        if case_sensitive or s.isascii():
+            lit = s if case_sensitive else s.lower()
+            runs, rx, on_fold = _runs(lit), word_bounded_literal_first(lit), not case_sensitive
+        else:
+            runs, rx, on_fold = [], "(?iu)" + word_bounded(s), False
+        specs.append(F.struct(F.lit(s).alias("skill"),
+                              F.array(*[F.lit(r) for r in runs]).cast("array<string>").alias("runs"),
+                              F.lit(rx).alias("rx"), F.lit(on_fold).alias("on_fold")))
     return F.array(*specs)
 
 
-def skills_from_clean(cleaned: Column, folded: Column, skills: list[str],
+def skill_runs_present(folded: Column, skills: list[str], case_sensitive: bool = False) -> Column:
+    """Dictionary word runs that occur as tokens of the text: one
+    tokenising pass and a hash intersection."""
+    all_runs = sorted({r for s in dict.fromkeys(skills) for r in _runs(s if case_sensitive else s.lower())})
+    tokens = F.regexp_extract_all(folded, F.lit(WORD_RUN), 0)
+    return F.array_intersect(tokens, F.array(*[F.lit(r) for r in all_runs]).cast("array<string>"))
+
+
+def skills_from_clean(cleaned: Column, folded: Column, present: Column, skills: list[str],
                       case_sensitive: bool = False) -> Column:
     """Sorted distinct skills found as whole words in ``cleaned``
     (``folded`` = ``fold_for_probe(cleaned)``, or ``cleaned`` when case
-    sensitive)."""
-    specs = _skill_specs(skills, case_sensitive)
-    hit = F.filter(specs, lambda s: folded.contains(s["probe"]) & F.rlike(cleaned, s["rx"]))
-    return F.array_sort(F.transform(hit, lambda s: s["skill"]))
+    sensitive; ``present`` = ``skill_runs_present(folded, skills)``).
+
+    Exact prefilter: a whole-word match of a skill implies every maximal
+    word run of the skill (``node`` and ``js`` for ``Node.js``) is a token of
+    the text, so only skills whose runs are all ``present`` are confirmed
+    with the word-bounded regex. Pass ``present`` as a computed column."""
+    specs = _skill_specs(list(dict.fromkeys(skills)), case_sensitive)
+
+    def matches(s):
+        target = F.when(s["on_fold"], folded).otherwise(cleaned)
+        has_runs = F.forall(s["runs"], lambda r: F.array_contains(present, r))
+        return has_runs & F.rlike(target, s["rx"])
+
+    found = F.array_sort(F.transform(F.filter(specs, matches), lambda s: s["skill"]))
+    # No dictionary word in the text: no skill can match. The guard also
+    # references ``present`` outside the lambda, so the optimizer keeps it a
+    # computed column instead of inlining it into the lambda (per skill).
+    return F.when(F.size(present) > 0, found).otherwise(F.array().cast("array<string>"))
 
 
 # ---------------------------------------------------------------- column API
@@ -110,9 +152,12 @@ def classify_role_family(title: Column | str, description: Column | str,
 
 
 def extract_skills(text: Column | str, taxonomy: Taxonomy = SKILLS, case_sensitive: bool = False) -> Column:
+    """Column form (convenient, but re-evaluates the cleaning inside the
+    per-skill lambda; use ``with_skills`` / ``enrich`` on large data)."""
     cleaned = clean_text(text)
     folded = cleaned if case_sensitive else fold_for_probe(cleaned)
-    return skills_from_clean(cleaned, folded, flatten(taxonomy), case_sensitive)
+    skills = flatten(taxonomy)
+    return skills_from_clean(cleaned, folded, skill_runs_present(folded, skills, case_sensitive), skills, case_sensitive)
 
 
 def tag_industry(company_name: Column | str, company_domain: Column | str | None,
@@ -124,17 +169,56 @@ def tag_industry(company_name: Column | str, company_domain: Column | str | None
 
 
 # ------------------------------------------------------------- DataFrame API
+#
+# The DataFrame functions materialise every category score as its own integer
+# column before picking the winner. Higher-order functions get no common
+# subexpression elimination, and the pick references the score array several
+# times (max, position, > 0), so scoring inside the pick expression would run
+# every keyword scan several times per row.
+
+
+def _score_cols(prefix: str, scores: list[Column]) -> list[Column]:
+    return [sc.alias(f"{prefix}{i}") for i, sc in enumerate(scores)]
+
+
+def _pick(prefix: str, names: list[str]) -> tuple[Column, Column]:
+    return first_best(names, [F.col(f"{prefix}{i}") for i in range(len(names))])
+
+
+def _role_scores(t: Column, d: Column, taxonomy: Taxonomy) -> list[Column]:
+    return [keyword_hits(t, ws) * ROLE_TITLE_WEIGHT + keyword_hits(d, ws) * ROLE_DESC_WEIGHT for _, ws in taxonomy]
+
+
+def _industry_scores(name: Column, domain: Column | None, desc: Column | None, mapping: Taxonomy) -> list[Column]:
+    out = []
+    for _, ws in mapping:
+        sc = keyword_hits(name, ws) * INDUSTRY_NAME_WEIGHT
+        if domain is not None:
+            sc = sc + keyword_hits(domain, ws) * INDUSTRY_DOMAIN_WEIGHT
+        if desc is not None:
+            sc = sc + keyword_hits(desc, ws) * INDUSTRY_DESC_WEIGHT
+        out.append(sc)
+    return out
+
+
+def _confidence(best: Column) -> Column:
+    return F.when(best > 0, F.least(best / F.lit(INDUSTRY_CONFIDENCE_DIVISOR), F.lit(1.0))).otherwise(F.lit(0.0))
+
 
 def with_role_family(df: DataFrame, title: str = "title", description: str = "description",
                      out: str = "role_family", taxonomy: Taxonomy = ROLE_FAMILIES) -> DataFrame:
     staged = df.select("*", clean_text(title, True).alias("__rt"), clean_text(description, True).alias("__rd"))
-    return staged.withColumn(out, role_family_from_clean(F.col("__rt"), F.col("__rd"), taxonomy)).drop("__rt", "__rd")
+    scored = staged.select("*", *_score_cols("__rf", _role_scores(F.col("__rt"), F.col("__rd"), taxonomy)))
+    name, _ = _pick("__rf", [n for n, _ in taxonomy])
+    return scored.select(*df.columns, name.alias(out))
 
 
 def with_skills(df: DataFrame, text: Column, out: str = "skills", taxonomy: Taxonomy = SKILLS) -> DataFrame:
-    staged = df.withColumn("__sc", clean_text(text)).withColumn("__sf", fold_for_probe(F.col("__sc")))
-    return (staged.withColumn(out, skills_from_clean(F.col("__sc"), F.col("__sf"), flatten(taxonomy)))
-            .drop("__sc", "__sf"))
+    skills = flatten(taxonomy)
+    staged = (df.withColumn("__sc", clean_text(text)).withColumn("__sf", fold_for_probe(F.col("__sc")))
+              .withColumn("__sp", skill_runs_present(F.col("__sf"), skills)))
+    found = skills_from_clean(F.col("__sc"), F.col("__sf"), F.col("__sp"), skills)
+    return staged.select(*df.columns, found.alias(out))
 
 
 def with_industry(df: DataFrame, name: str = "company_name", domain: str | None = None,
@@ -146,9 +230,12 @@ def with_industry(df: DataFrame, name: str = "company_name", domain: str | None
     if description is not None:
         cols.append(F.lower(F.substring(F.col(description), 1, INDUSTRY_DESC_CHARS)).alias("__idc"))
     staged = df.select("*", *cols)
-    res = industry_from_lower(F.col("__in"), F.col("__idm") if domain else None,
+    scores = _industry_scores(F.col("__in"), F.col("__idm") if domain else None,
                               F.col("__idc") if description else None, mapping)
-    return staged.withColumn(out, res).drop("__in", "__idm", "__idc")
+    scored = staged.select("*", *_score_cols("__ind", scores))
+    tag, best = _pick("__ind", [n for n, _ in mapping])
+    res = F.struct(tag.alias("industry_tag"), _confidence(best).alias("confidence"))
+    return scored.select(*df.columns, res.alias(out))
 
 
 def _unset(c: Column) -> Column:
@@ -160,7 +247,11 @@ def enrich(jobs: DataFrame, role_taxonomy: Taxonomy = ROLE_FAMILIES,
     """Fill ``role_family``, ``skills`` and ``industry_tag`` where they are
     empty (values already set are kept). Skills come from title +
     description; the industry uses name, domain and the first 1000
-    description characters; its confidence is not kept."""
+    description characters; its confidence is not kept.
+
+    Three projections: cleaned texts, then scores (one column per category,
+    each keyword scan evaluated once), then the winners.
+    """
     cols = jobs.columns
     staged = jobs.select(
         "*",
@@ -171,16 +262,22 @@ def enrich(jobs: DataFrame, role_taxonomy: Taxonomy = ROLE_FAMILIES,
         F.lower(F.col("company_domain")).alias("__idm"),
         F.lower(F.substring("description", 1, INDUSTRY_DESC_CHARS)).alias("__idc"),
     ).withColumn("__sf", fold_for_probe(F.col("__sc")))
-    rf = role_family_from_clean(F.col("__rt"), F.col("__rd"), role_taxonomy)
-    sk = skills_from_clean(F.col("__sc"), F.col("__sf"), flatten(skills))
-    ind = industry_from_lower(F.col("__in"), F.col("__idm"), F.col("__idc"), industries)["industry_tag"]
+    staged = staged.withColumn("__sp", skill_runs_present(F.col("__sf"), flatten(skills)))
+    scored = staged.select(
+        *cols,
+        *_score_cols("__rf", _role_scores(F.col("__rt"), F.col("__rd"), role_taxonomy)),
+        *_score_cols("__ind", _industry_scores(F.col("__in"), F.col("__idm"), F.col("__idc"), industries)),
+        skills_from_clean(F.col("__sc"), F.col("__sf"), F.col("__sp"), flatten(skills)).alias("__sk"),
+    )
+    rf, _ = _pick("__rf", [n for n, _ in role_taxonomy])
+    ind, _ = _pick("__ind", [n for n, _ in industries])
     cur_rf, cur_sk, cur_ind = F.col("role_family"), F.col("skills"), F.col("industry_tag")
     out = {
         "role_family": F.when(_unset(cur_rf), rf).otherwise(cur_rf),
-        "skills": F.when(cur_sk.isNull() | (F.size(cur_sk) == 0), sk).otherwise(cur_sk),
+        "skills": F.when(cur_sk.isNull() | (F.size(cur_sk) == 0), F.col("__sk")).otherwise(cur_sk),
         "industry_tag": F.when(_unset(cur_ind), ind).otherwise(cur_ind),
     }
-    return staged.select(*[out[c].alias(c) if c in out else F.col(c) for c in cols])
+    return scored.select(*[out[c].alias(c) if c in out else F.col(c) for c in cols])
 
 
 def enrich_role_family(jobs: DataFrame, taxonomy: Taxonomy = ROLE_FAMILIES) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_POSTING
+from .layout import spread
 
 
 def _case(expr: str, values: list[str]) -> str:
@@ -110,7 +111,7 @@ def boards_select_sql(table: str = "pages") -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
