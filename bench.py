@@ -42,7 +42,7 @@ def run(df) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cpus, shuffle_partitions=2 * cpus, driver_memory="16g",
+    spark = local_session(cpus, shuffle_partitions=4 * cpus, driver_memory="16g",
                           extra={"spark.ui.showConsoleProgress": "false"})
     # Warm the JVM / code generation on the smallest data set (not timed).
     warm = "/root/testdata/sf0.001"

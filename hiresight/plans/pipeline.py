@@ -30,13 +30,22 @@ def build_jobs(raw: DataFrame, strict_us: bool = True, with_order: bool = False)
     per-row work (HTML cleaning of the body, ~300 dictionary scans) runs
     after it, on rows spread by key hash and already deduplicated.
 
+    The US filter is applied *after* the aggregate: each key group keeps its
+    first valid row (order: rejected last, then landing order), and groups
+    with no valid row are dropped above the aggregate. That equals "filter,
+    then keep first", but a filter on an aggregate output cannot be pushed
+    below the shuffle, so location parsing is never pulled back into the
+    scan task of a single huge input file (it runs after ``spread``).
+
     Downstream filters on enrichment columns can be pushed back into the
     scoring projection by the optimizer; the output is meant to be written
     (``store.write_jobs``) or persisted before several reports read it.
     """
-    valid = valid_jobs(canonicalize(raw, strict_us, clean_description=False))
-    deduped = keep_first(valid, ["run_date", "job_key"], [F.col("file_path"), F.col("pos")])
-    out = enrich(deduped.withColumn("description", clean_text("description")))
+    canon = canonicalize(raw, strict_us, clean_description=False)
+    order = [F.col("reason").isNotNull(), F.col("file_path"), F.col("pos")]
+    deduped = keep_first(canon, ["run_date", "job_key"], order)
+    valid = valid_jobs(deduped)
+    out = enrich(valid.withColumn("description", clean_text("description")))
     cols = CANONICAL_COLUMNS + (["file_path", "pos"] if with_order else [])
     return out.select(*cols)
 

@@ -11,6 +11,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The stages after the build's shuffle are CPU-bound (text cleaning and
+    # dictionary scoring), so post-shuffle partitions are kept small rather
+    # than coalesced to a byte target; at cluster scale the partition count
+    # is bounded by spark.sql.shuffle.partitions anyway.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
