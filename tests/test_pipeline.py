@@ -103,3 +103,47 @@ def test_new_existing_partition_current(spark):
     assert n == {"c", "d"} and e == {"a"} and not (n & e)
     empty = spark.createDataFrame([], "job_key string")
     assert dedupe.split_new_existing(cur, empty)[0].count() == 3
+
+
+def test_full_run_writes_history_metrics_and_snapshot(spark, raw_root):
+    from hiresight.plans.jobs import run_full
+    from hiresight.sources import store as st
+
+    data = scratch_dir("data-")
+    run_full(spark, raw_root, data, "2025-01-20")
+    run_full(spark, raw_root, data, "2025-01-27")
+    run_full(spark, raw_root, data, "2025-01-27")     # rerun: idempotent
+    assert st.read_jobs(spark, f"{data}/staged/jobs").count() == 3
+    snap = st.read_snapshot(spark, f"{data}/staged/latest").collect()
+    assert len(snap) == 2 and {str(r["run_date"]) for r in snap if r["source"] == "greenhouse"} == {"2025-01-27"}
+    summary = spark.read.option("header", True).csv(f"{data}/exports/summary_stats_2025-01-20").first()
+    assert (summary["total_jobs"], summary["greenhouse_jobs"], summary["lever_jobs"]) == ("2", "1", "1")
+    top = spark.read.option("header", True).csv(f"{data}/exports/top_skills_overall_2025-01-20").collect()
+    assert {r["skill"] for r in top} == {"Python", "SQL"}
+
+
+def test_seed_readers(spark, tmp_path):
+    from hiresight.sources import seeds
+    from hiresight.dictionaries import load_taxonomy, SKILLS
+
+    csv = tmp_path / "companies.csv"
+    csv.write_text("company_name,careers_url,ats_type,is_portfolio,notes\n"
+                   "Stripe,https://boards.greenhouse.io/stripe,greenhouse,TRUE,x\n"
+                   "Netflix,https://jobs.lever.co/netflix,lever,false,y\n"
+                   "Nope,https://example.com/jobs,greenhouse,,z\n"
+                   "Odd,https://example.com,workday,false,\n")
+    df = seeds.seed_identifiers(seeds.read_company_seeds(spark, str(csv)))
+    rows = [(r["company_name"], r["is_portfolio"], r["identifier"], r["error"]) for r in df.collect()]
+    assert rows[0] == ("Stripe", True, "stripe", None)
+    assert rows[1] == ("Netflix", False, "netflix", None)
+    assert rows[2][3].startswith("Cannot extract Greenhouse board token") and rows[2][1] is False
+    assert rows[3][3] == "Unknown ATS type: workday"
+    assert seeds.first_n(seeds.read_company_seeds(spark, str(csv)), 2).count() == 2
+    yml = tmp_path / "disc.yml"
+    yml.write_text("domains:\n  - domain: scale.com\n    company_name: Scale AI\nknown_careers_urls:\n  - https://jobs.lever.co/faire\n")
+    doms, urls = seeds.read_discovery_seeds(spark, str(yml))
+    assert doms.first()["domain"] == "scale.com" and urls.count() == 1
+    tax = tmp_path / "skills.yml"
+    tax.write_text("skills:\n  langs:\n    - Python\n    - Go\n")
+    assert load_taxonomy(str(tax), "skills", SKILLS) == (("langs", ("Python", "Go")),)
+    assert load_taxonomy(str(tmp_path / "missing.yml"), "skills", SKILLS) is SKILLS
