@@ -69,14 +69,11 @@ def skill_grouping_sets(jobs: DataFrame) -> DataFrame:
     names the set; null family/state rows are dropped, as in the per-metric
     tables."""
     ex = explode_skills(jobs, "role_family", "state")
-    ex.createOrReplaceTempView("__skill_rows")
-    out = ex.sparkSession.sql(
-        """
-        SELECT run_date, role_family, state, skill, count(1) AS job_count,
-               grouping(role_family) AS g_family, grouping(state) AS g_state
-        FROM __skill_rows
-        GROUP BY GROUPING SETS ((run_date, role_family, skill), (run_date, state, skill), (run_date, skill))
-        """
+    sets = [[RUN, "role_family", "skill"], [RUN, "state", "skill"], [RUN, "skill"]]
+    out = ex.groupingSets(sets, RUN, "role_family", "state", "skill").agg(
+        F.count(F.lit(1)).alias("job_count"),
+        F.grouping("role_family").alias("g_family"),
+        F.grouping("state").alias("g_state"),
     )
     metric = (F.when((F.col("g_family") == 0), F.lit("skills_by_role_family"))
               .when(F.col("g_state") == 0, F.lit("skills_by_state"))
@@ -90,8 +87,10 @@ def skill_grouping_sets(jobs: DataFrame) -> DataFrame:
 
 def generate_metrics(jobs: DataFrame) -> dict[str, DataFrame]:
     """The five metric tables of one ``metrics`` run. The three skill tables
-    share one explode + aggregate (grouping sets)."""
-    sets = skill_grouping_sets(jobs)
+    share one explode + aggregate (grouping sets), persisted because all
+    three are written from it; it is aggregated data, bounded by runs x
+    (families + states + 1) x skills rows."""
+    sets = skill_grouping_sets(jobs).persist()
     by_family = sets.where(F.col("metric") == "skills_by_role_family").select(RUN, "role_family", "skill", "job_count")
     by_state = sets.where(F.col("metric") == "skills_by_state").select(RUN, "state", "skill", "job_count")
     overall = sets.where(F.col("metric") == "top_skills").select(RUN, "skill", "job_count")

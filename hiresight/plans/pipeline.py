@@ -82,3 +82,10 @@ def canonical(spark: SparkSession, sf_dir: str, strict_us: bool = True) -> DataF
     """Canonical rows + reasons from the test tables; persisted per session."""
     return _memo(spark, ("canonical", sf_dir, strict_us),
                  lambda: canonicalize(testdata.raw_postings(spark, sf_dir), strict_us))
+
+
+def release(spark: SparkSession | None = None) -> None:
+    """Unpersist the shared intermediates (all sessions, or one)."""
+    for k in list(_MEMO):
+        if spark is None or k[0] == spark.sparkContext.applicationId:
+            _MEMO.pop(k).unpersist()
