@@ -35,7 +35,7 @@ def rank_within(df: DataFrame, group: list[str], order: list, n: int | None) ->
     order). Run on aggregated rows, whose group sizes are bounded by the
     dictionary / number of distinct values, never on raw rows."""
     w = Window.partitionBy(*group).orderBy(*order)
-    out = df.withColumn("rank", F.row_number().over(w))
+    out = df.withColumn("rank", F.row_number().over(w).cast("long"))
     return out.where(F.col("rank") <= n) if n is not None else out
 
 

@@ -397,7 +397,7 @@ FROM (SELECT run_date, count(*) / count(DISTINCT company_id) AS market_avg FROM
 LEFT JOIN (SELECT run_date, sum(job_count) / count(*) AS portfolio_avg FROM pj GROUP BY run_date) pa USING (run_date)"""))
 oracle("dim_company", with_(jobs_ctes(), "SELECT company_id, min(company_name) AS company_name FROM jobs GROUP BY company_id"))
 oracle("dim_date", with_(jobs_ctes(), """SELECT d AS date, d IN (SELECT run_date FROM jobs) AS has_run,
-  year(d) AS year, month(d) AS month, weekofyear(d) AS week
+  CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(weekofyear(d) AS INTEGER) AS week
   FROM (SELECT CAST(unnest(generate_series(min(run_date), max(run_date), INTERVAL 1 DAY)) AS DATE) AS d FROM jobs)"""))
 
 # -------------------------------------------------------------------- boards
