@@ -57,12 +57,19 @@ def build_rejects(raw: DataFrame, strict_us: bool = True) -> DataFrame:
 _MEMO: dict[tuple, DataFrame] = {}
 
 
+def _session_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return str(id(spark))
+
+
 def _memo(spark: SparkSession, key: tuple, make) -> DataFrame:
     """Persist a shared intermediate once per session (memory, spilling to
     disk). Reports over the same history reuse it, like the stored history
     table of a production deployment; lost blocks are recomputed from
     lineage."""
-    k = (spark.sparkContext.applicationId, *key)
+    k = (_session_id(spark), *key)
     df = _MEMO.get(k)
     if df is None or df.sparkSession is not spark:
         df = make().persist(StorageLevel.MEMORY_AND_DISK)
@@ -87,5 +94,5 @@ def canonical(spark: SparkSession, sf_dir: str, strict_us: bool = True) -> DataF
 def release(spark: SparkSession | None = None) -> None:
     """Unpersist the shared intermediates (all sessions, or one)."""
     for k in list(_MEMO):
-        if spark is None or k[0] == spark.sparkContext.applicationId:
+        if spark is None or k[0] == _session_id(spark):
             _MEMO.pop(k).unpersist()

@@ -16,7 +16,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     this is a no-op and adds no shuffle. Round-robin repartitioning sorts
     rows locally first, so a retried task reproduces the same assignment.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        return df
+    if current < target:
         return df.repartition(target)
     return df
