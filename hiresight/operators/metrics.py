@@ -111,3 +111,19 @@ def ingest_stats(raw: DataFrame) -> DataFrame:
         F.count_if(F.col("source") == "greenhouse").alias("greenhouse_jobs"),
         F.count_if(F.col("source") == "lever").alias("lever_jobs"),
     )
+
+
+def seed_outcomes(seeds: DataFrame, url: str = "careers_url", ats: str = "ats_type") -> DataFrame:
+    """Extraction outcome per seed company, grouped by ATS type: a known ATS
+    (greenhouse / lever) without a usable board identifier fails; an unknown
+    ATS is processed with no postings, as in the original extractor."""
+    from ..functions import boards as bd
+
+    known = F.col(ats).isin("greenhouse", "lever")
+    failed = known & bd.board_identifier(url, ats).isNull()
+    return seeds.groupBy(ats).agg(
+        F.count(F.lit(1)).alias("companies"),
+        F.count_if(~failed).alias("companies_processed"),
+        F.count_if(failed).alias("companies_failed"),
+        F.count_if(~known).alias("unknown_ats"),
+    )

@@ -234,6 +234,9 @@ oracle("us_filter_valid", with_(canon_ctes(True), "SELECT pos, job_key, state, c
 oracle("us_filter_lenient", with_(canon_ctes(False), "SELECT pos, job_key, state, city, is_remote FROM canon_r WHERE reason IS NULL"))
 oracle("us_rejects", with_(canon_ctes(True), """SELECT pos, company_name, source, coalesce(source_job_id, 'unknown') AS source_job_id,
   reason, location_raw AS raw_location, run_date FROM canon_r WHERE reason IS NOT NULL"""))
+oracle("reject_counts", with_(canon_ctes(True), """SELECT run_date, source,
+  count(*) FILTER (WHERE reason IS NULL) AS valid_jobs, count(*) FILTER (WHERE reason IS NOT NULL) AS rejected_jobs
+  FROM canon_r GROUP BY ALL"""))
 oracle("reject_counts_by_reason", with_(canon_ctes(True), """SELECT run_date, source, coalesce(reason, 'valid') AS status,
   count(*) AS n FROM canon_r GROUP BY ALL"""))
 
@@ -473,3 +476,8 @@ oracle("verified_boards", with_(canon_ctes(True) + ",\n" + B + ", " + _DISC_CTES
   WHERE (ats_type, identifier) IN (SELECT (ats_type, identifier) FROM pb WHERE identifier IS NOT NULL)"""))
 oracle("job_urls", with_(P, """SELECT pos, 'https://boards.greenhouse.io/' || company_slug || '/jobs/' || source_job_id AS greenhouse_url,
   'https://jobs.lever.co/' || company_slug || '/' || source_job_id AS lever_url FROM p"""))
+
+oracle("ingest_outcomes", with_(B, f"""SELECT ats_type, count(*) AS companies,
+  count(*) FILTER (WHERE NOT (ats_type IN ('greenhouse', 'lever') AND ({ident_of('ats_type')}) IS NULL)) AS companies_processed,
+  count(*) FILTER (WHERE ats_type IN ('greenhouse', 'lever') AND ({ident_of('ats_type')}) IS NULL) AS companies_failed,
+  count(*) FILTER (WHERE ats_type NOT IN ('greenhouse', 'lever')) AS unknown_ats FROM b GROUP BY ats_type"""))

@@ -180,6 +180,15 @@ def us_rejects(spark, sf):
     return c.select("pos", *rejects(c).columns)
 
 
+@query
+def reject_counts(spark, sf):
+    c = pipeline.canonical(spark, sf)
+    return c.groupBy("run_date", "source").agg(
+        F.count_if(F.col("reason").isNull()).alias("valid_jobs"),
+        F.count_if(F.col("reason").isNotNull()).alias("rejected_jobs"),
+    )
+
+
 @query
 def reject_counts_by_reason(spark, sf):
     c = pipeline.canonical(spark, sf).withColumn("status", F.coalesce("reason", F.lit("valid")))
@@ -317,6 +326,12 @@ def ingest_stats(spark, sf):
     return metrics.ingest_stats(testdata.raw_postings(spark, sf))
 
 
+@query
+def ingest_outcomes(spark, sf):
+    b = testdata.boards(spark, sf)
+    return metrics.seed_outcomes(b, url="url", ats="ats_type")
+
+
 # ----------------------------------------------------------- trends (W, M, J)
 
 @query
