@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import boards as bd
 from ..functions import keys, location, text
 from ..operators import dedupe, discovery, enrich, metrics, trends
-from ..operators.canonical import rejects, reject_counts, valid_jobs
+from ..operators import canonical as canon_ops
+from ..operators.canonical import rejects, valid_jobs
 from ..sources import testdata
 from . import pipeline
 
@@ -192,7 +193,7 @@ def reject_counts(spark, sf):
 @query
 def reject_counts_by_reason(spark, sf):
     c = pipeline.canonical(spark, sf).withColumn("status", F.coalesce("reason", F.lit("valid")))
-    return reject_counts(c, ("run_date", "source", "status"))
+    return canon_ops.reject_counts(c, ("run_date", "source", "status"))
 
 
 # ---------------------------------------------------------- enrich (E1-E7)
