@@ -23,11 +23,12 @@ SOURCES = ("greenhouse", "lever")
 
 # ISO-8601 date or date-time (what datetime.fromisoformat accepts after 'Z'
 # is turned into an offset). The calendar date is the text's own date.
-ISO_DATE_TIME = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"(?:[T ]\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d{1,9})?)?)?"
-    r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d{1,6})?)?)?)?)?$"
-)
+# Any single character may separate date and time; the basic form
+# (YYYYMMDD[Thhmmss]) is accepted as well.
+_TIME = (r"(?:.\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d{1,9})?)?)?"
+         r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d{1,6})?)?)?)?)?$")
+ISO_DATE_TIME = r"^\d{4}-\d{2}-\d{2}" + _TIME
+ISO_BASIC_DATE_TIME = r"^\d{8}" + _TIME
 EPOCH_MILLIS = r"^\d{10,}$"
 
 
@@ -42,12 +43,13 @@ def parse_date(c: Column | str) -> Column:
     all-digit strings are epoch milliseconds (UTC); anything else -> null."""
     s = _col(c)
     iso = F.when(s.rlike(ISO_DATE_TIME), F.try_to_date(F.substring(s, 1, 10), "yyyy-MM-dd"))
+    basic = F.when(s.rlike(ISO_BASIC_DATE_TIME), F.try_to_date(F.substring(s, 1, 8), "yyyyMMdd"))
     # Whole-day arithmetic keeps the UTC date independent of the session zone.
     epoch = F.when(
         s.rlike(EPOCH_MILLIS),
         F.date_from_unix_date(F.floor(s.try_cast("bigint") / F.lit(86400000)).cast("int")),
     )
-    return F.coalesce(iso, epoch)
+    return F.coalesce(iso, basic, epoch)
 
 
 def _by_source(gh: Column, lv: Column) -> Column:

@@ -147,3 +147,14 @@ def test_seed_readers(spark, tmp_path):
     tax.write_text("skills:\n  langs:\n    - Python\n    - Go\n")
     assert load_taxonomy(str(tax), "skills", SKILLS) == (("langs", ("Python", "Go")),)
     assert load_taxonomy(str(tmp_path / "missing.yml"), "skills", SKILLS) is SKILLS
+
+
+def test_parse_date_forms(spark):
+    from hiresight.operators.canonical import parse_date
+    vals = ["2025-01-15T10:00:00Z", "2025-01-15T23:30:00-05:00", "2025-01-15", "2025-01-15 10:00",
+            "2025-01-15x10:00", "20250115", "20250115T100000", "1736503200000", "2025-13-01", "soon", "", None,
+            "2025-01-15T10:00:00Z junk"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i long, x string")
+    got = [None if r[0] is None else str(r[0]) for r in df.orderBy("i").select(parse_date("x")).collect()]
+    assert got == ["2025-01-15", "2025-01-15", "2025-01-15", "2025-01-15", "2025-01-15", "2025-01-15",
+                   "2025-01-15", "2025-01-10", None, None, None, None, None]
