@@ -49,7 +49,9 @@ def parse_date(c: Column | str) -> Column:
         s.rlike(EPOCH_MILLIS),
         F.date_from_unix_date(F.floor(s.try_cast("bigint") / F.lit(86400000)).cast("int")),
     )
-    return F.coalesce(iso, basic, epoch)
+    # All-digit strings of 10+ digits are epoch milliseconds (some of them
+    # would also read as a basic YYYYMMDD date), so epoch is tried first.
+    return F.coalesce(iso, epoch, basic)
 
 
 def _by_source(gh: Column, lv: Column) -> Column:

@@ -158,3 +158,9 @@ def test_parse_date_forms(spark):
     got = [None if r[0] is None else str(r[0]) for r in df.orderBy("i").select(parse_date("x")).collect()]
     assert got == ["2025-01-15", "2025-01-15", "2025-01-15", "2025-01-15", "2025-01-15", "2025-01-15",
                    "2025-01-15", "2025-01-10", None, None, None, None, None]
+
+
+def test_epoch_wins_over_basic_date(spark):
+    from hiresight.operators.canonical import parse_date
+    df = spark.createDataFrame([("1737072000000",)], "x string")
+    assert str(df.select(parse_date("x")).first()[0]) == "2025-01-17"
