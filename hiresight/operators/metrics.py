@@ -39,6 +39,18 @@ def rank_within(df: DataFrame, group: list[str], order: list, n: int | None) ->
     return out.where(F.col("rank") <= n) if n is not None else out
 
 
+def top_n(df: DataFrame, group: list[str], order: list, n: int, key: list[str], buckets: int = 64) -> DataFrame:
+    """Exact top ``n`` per group when groups can be large (e.g. companies
+    of a run): rank inside ``(group, hash(key) % buckets)`` first, keep ``n``
+    per bucket, then rank the at most ``buckets * n`` survivors per group.
+    Every row of the global top ``n`` is in the top ``n`` of its bucket, so
+    the result equals a single window over the whole group, without sending
+    the whole group to one task."""
+    salted = df.withColumn("__b", F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)))
+    local = rank_within(salted, [*group, "__b"], order, n).drop("rank", "__b")
+    return rank_within(local, group, order, n)
+
+
 def top_skills(jobs: DataFrame, n: int = 100) -> DataFrame:
     """Top ``n`` skills per run by job count (ties by skill name)."""
     counts = explode_skills(jobs).groupBy(RUN, "skill").agg(F.count(F.lit(1)).alias("job_count"))

@@ -1,9 +1,11 @@
 """Trend and BI measures over the job history.
 
-Windows here only ever run over *aggregated* rows: one row per run, or per
-(group, run) where the group is a dictionary value (skill, family, industry)
-or a company. Their partitions are bounded by the number of runs, not by the
-number of postings, so no raw-row window sits on a hot key.
+Windows here only ever run over *aggregated* rows, never over postings:
+ranking and share windows partition by run (and a dictionary value) over
+rows bounded by dictionary sizes or the 51 states; ``lag`` windows see one
+row per run. Rankings over an unbounded key (companies, cities) are
+two-stage (``metrics.top_n``); changes between runs are joins, not windows
+over per-company partitions.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..dictionaries import ROLE_FAMILIES, Taxonomy
-from .metrics import RUN, explode_skills, rank_within
+from .metrics import RUN, explode_skills, rank_within, top_n
 
 ENGINEERING_FAMILY = "Tech/Engineering"
 
@@ -107,8 +109,10 @@ def skills_expanded(jobs: DataFrame) -> DataFrame:
 
 
 def top_companies(jobs: DataFrame, n: int = 10) -> DataFrame:
+    """Top ``n`` hiring companies per run; the number of companies grows
+    with the data, so the ranking is two-stage (see ``top_n``)."""
     counts = jobs.groupBy(RUN, "company_name").agg(_n().alias("job_count"))
-    return rank_within(counts, [RUN], [F.desc("job_count"), F.asc("company_name")], n)
+    return top_n(counts, [RUN], [F.desc("job_count"), F.asc("company_name")], n, ["company_name"])
 
 
 def jobs_by_state(jobs: DataFrame) -> DataFrame:
@@ -117,7 +121,7 @@ def jobs_by_state(jobs: DataFrame) -> DataFrame:
 
 def top_cities(jobs: DataFrame, n: int = 10) -> DataFrame:
     counts = jobs.where(F.col("city").isNotNull()).groupBy(RUN, "city", "state").agg(_n().alias("job_count"))
-    return rank_within(counts, [RUN], [F.desc("job_count"), F.asc("city"), F.asc("state")], n)
+    return top_n(counts, [RUN], [F.desc("job_count"), F.asc("city"), F.asc("state")], n, ["city", "state"])
 
 
 def remote_by_state(jobs: DataFrame) -> DataFrame:

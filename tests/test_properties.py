@@ -42,3 +42,15 @@ def test_industry_shares_sum_to_one(spark, rows):
     assert all(abs(r["s"] - 1.0) < 1e-9 for r in sums)
     total = out.select("industry_tag", "industry_share_of_run").distinct().agg(F.sum("industry_share_of_run")).first()[0]
     assert abs(total - 1.0) < 1e-9
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from(["r1", "r2"]), st.text(alphabet="abcdef", min_size=1, max_size=3), st.integers(1, 5)),
+                min_size=1, max_size=60, unique_by=lambda r: (r[0], r[1])))
+def test_two_stage_top_n_equals_single_window(spark, rows):
+    from hiresight.operators.metrics import rank_within, top_n
+    df = spark.createDataFrame(rows, "run_date string, company_name string, job_count long")
+    order = [F.desc("job_count"), F.asc("company_name")]
+    a = sorted(tuple(r) for r in rank_within(df, ["run_date"], order, 3).collect())
+    b = sorted(tuple(r) for r in top_n(df, ["run_date"], order, 3, ["company_name"], buckets=4).collect())
+    assert a == b
