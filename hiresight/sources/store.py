@@ -39,9 +39,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_jobs(spark: SparkSession, path: str, run_date: str | dt.date | None = None,
-              source: str | None = None) -> DataFrame:
-    """The history, optionally one run and/or source (partition pruning).
-    A missing store is an empty frame with the canonical schema."""
+              source: str | None = None, since: str | dt.date | None = None,
+              days: int | None = None, as_of: str | dt.date | None = None) -> DataFrame:
+    """The history, optionally one run, one source, runs since a date, or
+    the last ``days`` days up to ``as_of`` (default today). All of these are
+    filters on partition columns with literal bounds, so only the matching
+    partitions are listed and read. A missing store is an empty frame with
+    the canonical schema."""
     if not _exists(spark, path):
         return spark.createDataFrame([], CANONICAL)
     df = spark.read.schema(CANONICAL).parquet(path)
@@ -49,6 +53,11 @@ def read_jobs(spark: SparkSession, path: str, run_date: str | dt.date | None = N
         df = df.where(F.col("run_date") == F.lit(str(run_date)).cast("date"))
     if source is not None:
         df = df.where(F.col("source") == source)
+    if since is not None:
+        df = df.where(F.col("run_date") >= F.lit(str(since)).cast("date"))
+    if days is not None:
+        end = dt.date.fromisoformat(str(as_of)) if as_of is not None else dt.date.today()
+        df = df.where(F.col("run_date") >= F.lit((end - dt.timedelta(days=days)).isoformat()).cast("date"))
     return df
 
 
