@@ -86,7 +86,7 @@ def test_store_round_trip_is_idempotent(spark, raw_root):
     assert store.read_jobs(spark, path, run_date="2025-01-27").count() == 1
     assert store.read_jobs(spark, os.path.join(path, "missing")).count() == 0
     assert store.read_jobs(spark, path, since="2025-01-21").count() == 1
-    assert store.read_jobs(spark, path, days=10, as_of="2025-01-29").count() == 1
+    assert store.read_jobs(spark, path, days=5, as_of="2025-01-29").count() == 1
     assert store.read_jobs(spark, path, days=90, as_of="2025-01-29").count() == 3
 
 
