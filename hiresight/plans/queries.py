@@ -199,8 +199,9 @@ def reject_counts_by_reason(spark, sf):
 # ---------------------------------------------------------- enrich (E1-E7)
 
 def _p_clean(spark, sf):
-    p = testdata.postings(spark, sf)
-    return p.withColumn("description", text.clean_text("description"))
+    """Every posting (rejects included) with its canonical, cleaned
+    description: the persisted canonical rows of the session."""
+    return pipeline.canonical(spark, sf).select("pos", "title", "description", "company_name")
 
 
 @query
