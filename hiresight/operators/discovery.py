@@ -14,7 +14,7 @@ from ..dictionaries import PROBE_CONFIDENCE, URL_PATTERN_CONFIDENCE
 from ..functions import boards as bd
 
 DISCOVERED = ["company_name", "company_domain", "careers_url", "ats_type",
-              "discovery_method", "confidence"]
+              "discovery_method", "discovered_at", "confidence"]
 
 
 def discover_from_urls(urls: DataFrame, url_col: str = "url") -> DataFrame:
@@ -30,6 +30,7 @@ def discover_from_urls(urls: DataFrame, url_col: str = "url") -> DataFrame:
                     F.lit(None).cast("string").alias("company_domain"),
                     u.alias("careers_url"),
                     F.lit("url_pattern").alias("discovery_method"),
+                    F.current_timestamp().alias("discovered_at"),
                     F.lit(URL_PATTERN_CONFIDENCE).alias("confidence")))
 
 
@@ -72,6 +73,7 @@ def first_board_hit(seeds: DataFrame, probes: DataFrame) -> DataFrame:
         bd.detect_ats("url").alias("ats_type"),
         bd.board_identifier("url").alias("identifier"),
         F.lit("subdomain_probe").alias("discovery_method"),
+        F.current_timestamp().alias("discovered_at"),
         F.lit(PROBE_CONFIDENCE).alias("confidence"),
     )
 
@@ -88,3 +90,11 @@ def verify_boards(discovered: DataFrame, postings: DataFrame, url_col: str = "jo
     """Keep discovered boards that have at least one posting (semi join on
     ATS type and board identifier)."""
     return discovered.join(posting_boards(postings, url_col), ["ats_type", "identifier"], "left_semi")
+
+
+def discovered_companies(by_probe: DataFrame, by_url: DataFrame) -> DataFrame:
+    """The discovery output table (7 columns): probe hits (company and
+    domain from the seed) followed by URL-pattern hits."""
+    probe = by_probe.select(F.col("company_name"), F.col("domain").alias("company_domain"),
+                            *[c for c in DISCOVERED[2:]])
+    return probe.unionByName(by_url.select(*DISCOVERED))

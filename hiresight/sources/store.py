@@ -103,3 +103,10 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     if not _exists(spark, path):
         return spark.createDataFrame([], CANONICAL)
     return spark.read.schema(CANONICAL).parquet(path)
+
+
+def write_discovered(discovered: DataFrame, path: str) -> None:
+    """Discovered companies as one CSV (bounded by the seed list)."""
+    from ..operators.discovery import DISCOVERED
+
+    write_csv(discovered.select(*DISCOVERED), path, single_file=True)

@@ -167,3 +167,24 @@ def test_epoch_wins_over_basic_date(spark):
     from hiresight.operators.canonical import parse_date
     df = spark.createDataFrame([("1737072000000",)], "x string")
     assert str(df.select(parse_date("x")).first()[0]) == "2025-01-17"
+
+
+def test_discovery_output(spark):
+    from hiresight.operators import discovery
+    from hiresight.sources import store as st
+
+    urls = spark.createDataFrame([("https://boards.greenhouse.io/ramp",), ("https://jobs.lever.co/faire",),
+                                  ("https://example.com/careers",)], "url string")
+    found = discovery.discover_from_urls(urls)
+    rows = sorted((r["company_name"], r["ats_type"], r["confidence"]) for r in found.collect())
+    assert rows == [("Faire", "lever", 0.95), ("Ramp", "greenhouse", 0.95)]
+    seeds = spark.createDataFrame([("ramp.com", "Ramp")], "domain string, company_name string")
+    probes = spark.createDataFrame([("https://boards.greenhouse.io/rampcom", 404), ("https://boards.greenhouse.io/ramp", 200)],
+                                   "url string, status int")
+    hit = discovery.first_board_hit(seeds, probes)
+    out = discovery.discovered_companies(hit, found)
+    assert out.columns == discovery.DISCOVERED and out.count() == 3
+    assert hit.first()["careers_url"] == "https://boards.greenhouse.io/ramp"
+    path = os.path.join(scratch_dir("disc-"), "discovered")
+    st.write_discovered(out, path)
+    assert spark.read.option("header", True).csv(path).count() == 3
