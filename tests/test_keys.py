@@ -1,8 +1,5 @@
 import hashlib
 
-from conftest import one
-from pyspark.sql import functions as F
-
 from hiresight.functions import keys
 
 

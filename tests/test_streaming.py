@@ -1,7 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
-
 from hiresight.session import scratch_dir
 from hiresight.sources import store
 from hiresight.streaming.landing_stream import run_incremental_build

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from conftest import many, one
 from hiresight.functions import text
 
