@@ -50,6 +50,35 @@ def run_latest(spark: SparkSession, jobs_path: str, snapshot_path: str, csv_path
         store.write_csv(store.read_snapshot(spark, snapshot_path), csv_path, single_file=False)
 
 
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """Snapshot versions under ``root`` (``version=YYYY-MM-DD`` folders); a
+    directory listing on the driver, one entry per run."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("version="))
+
+
+def run_latest_incremental(spark: SparkSession, jobs_path: str, snapshot_root: str, run_date: str) -> str:
+    """Latest snapshot after ``run_date`` from the previous version and only
+    that run's partition: ``latest_per_key(previous ∪ run)``. Reads
+    O(snapshot + one run) instead of the whole history, and writes a new
+    ``version=run_date`` folder (never its own input). Equals the full
+    rebuild when versions are produced in run order."""
+    earlier = [v for v in _versions(spark, snapshot_root) if v < run_date]
+    new = store.read_jobs(spark, jobs_path, run_date=run_date)
+    base = new
+    if earlier:
+        base = store.read_snapshot(spark, f"{snapshot_root}/version={earlier[-1]}").unionByName(new)
+    snap = dedupe.latest_per_key(base, ["job_key"], ["run_date"], [F.col("source")])
+    out = f"{snapshot_root}/version={run_date}"
+    store.write_snapshot(snap, out)
+    return out
+
+
 def run_full(spark: SparkSession, raw_root: str, data_root: str, run_date: str) -> None:
     """build -> metrics -> latest for one run (the landing step is external)."""
     jobs = f"{data_root}/staged/jobs"
