@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..dictionaries import PROBE_CONFIDENCE, URL_PATTERN_CONFIDENCE
 from ..functions import boards as bd
+from .dedupe import keep_first
 
 DISCOVERED = ["company_name", "company_domain", "careers_url", "ats_type",
               "discovery_method", "discovered_at", "confidence"]
@@ -60,13 +61,12 @@ def candidate_urls(seeds: DataFrame) -> DataFrame:
 def first_board_hit(seeds: DataFrame, probes: DataFrame) -> DataFrame:
     """Per seed, the first candidate (probe order) that answered 200 and is
     a recognisable board URL. Joins candidates to probes (both large), then
-    a map-side-combined min per seed."""
+    keeps the first hit per seed with the map-side-combined ``keep_first``."""
     cands = candidate_urls(seeds)
     ok = probes.where(F.col("status") == 200).select("url")
     hits = (cands.join(ok, "url", "left_semi")
             .where(bd.detect_ats("url").isNotNull()))
-    first = hits.groupBy("domain", "company_name").agg(F.min("pos").alias("pos"))
-    winners = hits.join(first, ["domain", "company_name", "pos"], "left_semi")
+    winners = keep_first(hits, ["domain", "company_name"], [F.col("pos")])
     return winners.select(
         "domain", "company_name",
         F.col("url").alias("careers_url"),
