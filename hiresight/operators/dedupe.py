@@ -97,3 +97,16 @@ def new_vs_existing(history: DataFrame, key: str = "job_key", at: str = "run_dat
     return history.join(first, key, "inner").withColumn(
         "is_new", F.col(at) == F.col("first_run_date")
     )
+
+
+def new_vs_existing_counts(history: DataFrame, key: str = "job_key", at: str = "run_date") -> DataFrame:
+    """Per run: keys seen for the first time (new) and keys seen in an
+    earlier run (existing). History holds one row per (run, key). Counts
+    only need two aggregates and a join of per-run rows: new(run) = keys
+    whose first run is ``run``; existing = run total - new."""
+    new = first_seen(history, key, at).groupBy(F.col("first_run_date").alias(at)).agg(
+        F.count(F.lit(1)).alias("new_jobs"))
+    totals = history.groupBy(at).agg(F.count(F.lit(1)).alias("total"))
+    return (totals.join(new, at, "left")
+            .select(at, F.coalesce("new_jobs", F.lit(0)).alias("new_jobs"),
+                    (F.col("total") - F.coalesce("new_jobs", F.lit(0))).alias("existing_jobs")))

@@ -270,11 +270,7 @@ def existing_jobs(spark, sf):
 
 @query
 def new_vs_existing_by_run(spark, sf):
-    tagged = dedupe.new_vs_existing(_jobs(spark, sf))
-    return tagged.groupBy("run_date").agg(
-        F.count_if(F.col("is_new")).alias("new_jobs"),
-        F.count_if(~F.col("is_new")).alias("existing_jobs"),
-    )
+    return dedupe.new_vs_existing_counts(_jobs(spark, sf))
 
 
 @query
