@@ -212,9 +212,9 @@ for _strict, _name in ((True, "parse_location_strict"), (False, "parse_location_
                         "SELECT pos, city, state, postal_code, is_remote, is_us, round(confidence, 6) AS confidence "
                         "FROM canon"))
 oracle("validate_us", with_(
-    canon_ctes(True).replace("canon AS (", "cs AS (", 1).replace("FROM canon)", "FROM cs)"),
+    canon_ctes(True),
     "SELECT pos, (is_us AND confidence >= 0.7) AS valid_strict, "
-    "(CASE WHEN location_raw IS NULL OR location_raw = '' THEN false ELSE true END) AS valid_lenient FROM cs"))
+    "(location_raw IS NOT NULL AND location_raw <> '') AS valid_lenient FROM canon"))
 
 # ---------------------------------------------------------------------- keys
 
@@ -293,10 +293,9 @@ oracle("skills_by_role_family", with_(jobs_ctes() + _EX, """SELECT run_date, rol
   FROM ex WHERE role_family IS NOT NULL GROUP BY ALL"""))
 oracle("skills_by_state", with_(jobs_ctes() + _EX, """SELECT run_date, state, skill, count(*) AS job_count
   FROM ex WHERE state IS NOT NULL GROUP BY ALL"""))
-oracle("top_skills", with_(jobs_ctes() + _EX, """SELECT * FROM (
-  SELECT run_date, skill, count(*) AS job_count FROM ex GROUP BY ALL)
-  QUALIFY row_number() OVER (PARTITION BY run_date ORDER BY job_count DESC, skill) <= 100""").replace(
-    "SELECT * FROM (", "SELECT run_date, skill, job_count, row_number() OVER (PARTITION BY run_date ORDER BY job_count DESC, skill) AS rank FROM (", 1))
+oracle("top_skills", with_(jobs_ctes() + _EX, """SELECT run_date, skill, job_count,
+  row_number() OVER (PARTITION BY run_date ORDER BY job_count DESC, skill) AS rank
+  FROM (SELECT run_date, skill, count(*) AS job_count FROM ex GROUP BY ALL) QUALIFY rank <= 100"""))
 oracle("skill_metric_sets", with_(jobs_ctes() + _EX, """
 SELECT 'skills_by_role_family' AS metric, run_date, role_family, NULL AS state, skill, count(*) AS job_count
   FROM ex WHERE role_family IS NOT NULL GROUP BY run_date, role_family, skill
@@ -439,18 +438,16 @@ def _title(x: str) -> str:
             f"lambda r: upper(substr(r, 1, 1)) || lower(substr(r, 2))), '')")
 
 
-_gh_tok, _lv_tok, _is_gh, _is_lv, _ats = gh_tok(), lv_tok(), is_gh(), is_lv(), ats_of()
-_ident = ident_of
 
 
-oracle("detect_ats", with_(B, f"""SELECT page_id, url, {_is_gh} AS is_greenhouse, {_is_lv} AS is_lever,
-  {_gh_tok} AS greenhouse_token, {_lv_tok} AS lever_company, {_ats} AS ats FROM b"""))
-oracle("board_identifiers", with_(B, f"""SELECT page_id, ats_type, {_ident('ats_type')} AS identifier,
+oracle("detect_ats", with_(B, f"""SELECT page_id, url, {is_gh()} AS is_greenhouse, {is_lv()} AS is_lever,
+  {gh_tok()} AS greenhouse_token, {lv_tok()} AS lever_company, {ats_of()} AS ats FROM b"""))
+oracle("board_identifiers", with_(B, f"""SELECT page_id, ats_type, {ident_of('ats_type')} AS identifier,
   CASE WHEN url IS NULL OR url = '' THEN 'No careers URL provided'
-       WHEN ats_type = 'greenhouse' THEN CASE WHEN {_gh_tok} IS NULL THEN 'Cannot extract Greenhouse board token from ' || url END
-       WHEN ats_type = 'lever' THEN CASE WHEN {_lv_tok} IS NULL THEN 'Cannot extract Lever company identifier from ' || url END
+       WHEN ats_type = 'greenhouse' THEN CASE WHEN {gh_tok()} IS NULL THEN 'Cannot extract Greenhouse board token from ' || url END
+       WHEN ats_type = 'lever' THEN CASE WHEN {lv_tok()} IS NULL THEN 'Cannot extract Lever company identifier from ' || url END
        ELSE 'Unknown ATS type: ' || coalesce(ats_type, 'None') END AS error FROM b"""))
-_DISC_CTES = f"d AS (SELECT page_id, url, {_ats} AS ats_type FROM b), dd AS (SELECT *, {_ident('ats_type')} AS identifier FROM d WHERE ats_type IS NOT NULL)"
+_DISC_CTES = f"d AS (SELECT page_id, url, {ats_of()} AS ats_type FROM b), dd AS (SELECT *, {ident_of('ats_type')} AS identifier FROM d WHERE ats_type IS NOT NULL)"
 _DISC = B + ", " + _DISC_CTES
 oracle("discovered_urls", with_(_DISC, f"""SELECT page_id, {_title("replace(identifier, '-', ' ')")} AS company_name,
   url AS careers_url, ats_type, 'url_pattern' AS discovery_method, CAST(0.95 AS DOUBLE) AS confidence FROM dd"""))
@@ -466,9 +463,9 @@ cands AS (SELECT domain, company_name, u.pos, u.url FROM cd, LATERAL (SELECT * F
 oracle("candidate_urls", with_(_CAND, "SELECT domain, company_name, pos, url FROM cands"))
 _PROBES = """, probes AS (SELECT url, min(probe_status) AS status FROM (
   SELECT regexp_extract(url, '^(https?://[^/?#]+/[^/?#]+)', 1) AS url, probe_status FROM b) WHERE url <> '' GROUP BY url)"""
-oracle("first_board_hit", with_(_CAND + _PROBES, f"""SELECT domain, company_name, url AS careers_url, {_ats} AS ats_type,
+oracle("first_board_hit", with_(_CAND + _PROBES, f"""SELECT domain, company_name, url AS careers_url, {ats_of()} AS ats_type,
   'subdomain_probe' AS discovery_method, CAST(0.85 AS DOUBLE) AS confidence
-  FROM cands WHERE url IN (SELECT url FROM probes WHERE status = 200) AND ({_ats}) IS NOT NULL
+  FROM cands WHERE url IN (SELECT url FROM probes WHERE status = 200) AND ({ats_of()}) IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY domain, company_name ORDER BY pos) = 1"""))
 _PB = (f", pb AS (SELECT DISTINCT {ats_of('job_url')} AS ats_type, {ident_of(ats_of('job_url'), 'job_url')} "
        f"AS identifier FROM canon_r WHERE reason IS NULL)")
