@@ -22,3 +22,11 @@ def test_extract_keywords(spark):
 
 def test_extract_state_abbrev(spark):
     assert many(spark, text.extract_state_abbrev("x"), ["we go to ca now", "UK and XX", "in Boston"]) == ["CA", None, "IN"]
+
+
+def test_clean_text_survives_pathological_runs(spark):
+    # Long runs of tags / whitespace / unclosed brackets must not blow the
+    # regex engine's stack (a single repeated alternation group would).
+    vals = ["x" + "<b>" * 100000 + "y", "x" + " \n\t" * 200000 + "y", "<" * 10000 + "a"]
+    got = many(spark, text.clean_text("x"), vals)
+    assert got[:2] == ["x y", "x y"] and len(got[2]) == 10001
