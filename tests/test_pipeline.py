@@ -123,6 +123,9 @@ def test_full_run_writes_history_metrics_and_snapshot(spark, raw_root):
     assert (summary["total_jobs"], summary["greenhouse_jobs"], summary["lever_jobs"]) == ("2", "1", "1")
     top = spark.read.option("header", True).csv(f"{data}/exports/top_skills_overall_2025-01-20").collect()
     assert {r["skill"] for r in top} == {"Python", "SQL"}
+    assert st.export_run(spark, f"{data}/staged/jobs", "2025-01-20", f"{data}/export_csv") == 2
+    assert spark.read.option("header", True).csv(f"{data}/export_csv").count() == 2
+    assert st.export_run(spark, f"{data}/staged/jobs", "2024-01-01", f"{data}/export_none") == 0
 
 
 def test_seed_readers(spark, tmp_path):
