@@ -34,3 +34,9 @@ def test_entry_runs(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() >= 0 and "skill" in df.columns
+
+
+def test_every_query_has_an_oracle():
+    import __spark_entry__ as E
+    assert set(E.queries()) == set(E.oracle_sql())
+    assert len(E.queries()) >= 69
