@@ -5,16 +5,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hiresight.llm import decontaminate
+from hiresight.llm import decontaminate, toxicity
 from hiresight.llm.tables import checkpointed, table
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under one half (operator 5)."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that benchmark passages contaminate (operator 7)."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 STAGES = [
+    ("toxicity", toxicity_filter),
     ("decontamination", decontamination),
 ]
 
