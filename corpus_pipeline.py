@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hiresight.llm import decontaminate, toxicity
+from hiresight.llm import decontaminate, jaccard_join, toxicity
 from hiresight.llm.tables import checkpointed, table
 
 
@@ -14,6 +14,11 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (operator 10)."""
+    return jaccard_join.keep_one(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that benchmark passages contaminate (operator 7)."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -21,6 +26,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 STAGES = [
     ("toxicity", toxicity_filter),
+    ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
 ]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, repetition, toxicity
+from . import decontaminate, jaccard_join, repetition, toxicity
 from .tables import table
 
 
@@ -22,10 +22,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op3_repetition": op3_repetition,
     "op5_toxicity": op5_toxicity,
     "op7_decontaminate": op7_decontaminate,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 LLM_ORACLES: dict[str, str] = {}
