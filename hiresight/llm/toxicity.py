@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import text as tx
 from .tables import id_remainder
 
-BITS = 20
+BITS = 18
 FOLDS = 4
 SEGMENT = "array<struct<start:long,end:long,log_evalue:double>>"
 SCHEMA = f"doc_id long, held_out boolean, score double, predicted int, segments {SEGMENT}"
@@ -158,9 +158,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
     rows = (docs.selectExpr("CAST(doc_id AS LONG) doc_id", "CAST(text AS STRING) text")
             .join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows of 12 bytes
             .select("text", (rest - 1).cast("long").alias("fold"), (F.col("toxic") > 0).cast("long").alias("toxic")))
-    cells = _count(rows).toPandas()
     counts = np.zeros(FOLDS * 2 << BITS)
-    counts[cells["cell"]] = cells["n"]
+    cells = _count(rows).selectExpr("CAST(cell AS INT) cell", "CAST(n AS INT) n").toArrow()  # at most as many as counts
+    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    del cells
     counts = counts.reshape(FOLDS, 2, 1 << BITS)
     both = counts.sum(0)
     token, scale = token_scores(both[1], both[0])
@@ -182,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
                     yield pa.RecordBatch.from_arrays([pa.array(x[:, 1]), pa.array(x[:, 2]), pa.array(y[own[lo:hi]])], names=["best", "total", "toxic"])
 
     got = rows.mapInArrow(run, "best double, total double, toxic long").toPandas()
-    folds.unpersist()
+    folds.destroy()
     y = got["toxic"].to_numpy(float)
     if not 0 < y.sum() < len(y):
         share = float(y.mean()) if len(y) else 0.0
