@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hiresight.llm import decontaminate, jaccard_join, toxicity
+from hiresight.llm import decontaminate, jaccard_join, mixing, sharding, toxicity
 from hiresight.llm.tables import checkpointed, table
 
 
@@ -24,10 +24,24 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated so that good and poor text reach their target shares
+    (operator 8). No rate is under 1: every document stays at least once."""
+    labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
+    return mixing.mix(docs, labelled, {"good": 0.90, "poor": 0.10}, low=1.0, high=3.0)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the shard each belongs to (operator 1)."""
+    return sharding.place(docs, sharding.Tree.even(24))
+
+
 STAGES = [
     ("toxicity", toxicity_filter),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
 ]
 
 #: The stages learn models from the data; SQL cannot express them.

@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, repetition, toxicity
+from . import decontaminate, jaccard_join, mixing, repetition, sharding, toxicity
 from .tables import table
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), sharding.Tree.even(24))
+
+
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
@@ -22,14 +26,21 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
+    return mixing.rate_documents(table(spark, sf_dir, "documents"), labelled, {"good": 0.80, "poor": 0.15, "toxic": 0.05})
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES = {
+    "op1_sharding": op1_sharding,
     "op3_repetition": op3_repetition,
     "op5_toxicity": op5_toxicity,
     "op7_decontaminate": op7_decontaminate,
+    "op8_mixing": op8_mixing,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
