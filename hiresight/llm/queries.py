@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, mixing, repetition, sharding, toxicity
+from . import decontaminate, jaccard_join, language_model, mixing, repetition, sharding, toxicity
 from .tables import table
 
 
@@ -22,6 +22,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, rare = language_model.fit(docs)
+    return language_model.score(docs, model, rare)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -39,6 +45,7 @@ LLM_QUERIES = {
     "op1_sharding": op1_sharding,
     "op3_repetition": op3_repetition,
     "op5_toxicity": op5_toxicity,
+    "op6_language_model": op6_language_model,
     "op7_decontaminate": op7_decontaminate,
     "op8_mixing": op8_mixing,
     "op10_jaccard_join": op10_jaccard_join,
