@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, language_model, mixing, repetition, sharding, toxicity
+from . import decontaminate, jaccard_join, language_model, licenses, mixing, repetition, sharding, toxicity
 from .tables import table
 
 
@@ -37,6 +37,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.rate_documents(table(spark, sf_dir, "documents"), labelled, {"good": 0.80, "poor": 0.15, "toxic": 0.05})
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = licenses.document_paths(table(spark, sf_dir, "documents"))
+    return licenses.inherit(licenses.scan(files, licenses.fit(files)))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ LLM_QUERIES = {
     "op6_language_model": op6_language_model,
     "op7_decontaminate": op7_decontaminate,
     "op8_mixing": op8_mixing,
+    "op9_licenses": op9_licenses,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
