@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, language_model, licenses, mixing, repetition, sharding, toxicity
+from . import decontaminate, html, jaccard_join, language_model, licenses, mixing, repetition, sharding, toxicity
 from .tables import table
 
 
@@ -13,6 +13,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), sharding.Tree.even(24))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_html": op2_html,
     "op3_repetition": op3_repetition,
     "op5_toxicity": op5_toxicity,
     "op6_language_model": op6_language_model,
