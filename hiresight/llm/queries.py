@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, jaccard_join, language_model, licenses, mixing, repetition, sharding, toxicity
+from . import decontaminate, html, jaccard_join, language_model, licenses, mixing, pii, repetition, sharding, toxicity
 from .tables import table
 
 
@@ -21,6 +21,11 @@ def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -54,6 +59,7 @@ LLM_QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_html": op2_html,
     "op3_repetition": op3_repetition,
+    "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op6_language_model": op6_language_model,
     "op7_decontaminate": op7_decontaminate,
