@@ -272,15 +272,14 @@ def load_taxonomy(path: str | Path, key: str, default: Taxonomy) -> Taxonomy:
 
     A missing file or a missing key gives ``default``, as the seed loaders of
     the original tool do. Loading happens once on the driver; the result is
-    baked into the plan as literals, so nothing is read per row.
+    baked into the plan as literals, so nothing is read per row. Without a
+    YAML parser the import error is raised: a user's file is never ignored.
     """
     p = Path(path)
     if not p.exists():
         return default
-    try:
-        import yaml
-    except ImportError:  # pragma: no cover - yaml is optional
-        return default
+    import yaml
+
     with open(p, encoding="utf-8") as f:
         data = yaml.safe_load(f) or {}
     mapping = data.get(key)

@@ -60,18 +60,16 @@ def board_identifier(url: Column | str, ats: Column | str | None = None) -> Colu
 
 
 def identifier_error(url: Column | str, ats_type: Column | str) -> Column:
-    """Why no identifier can be taken from a careers URL for a declared ATS
-    type, or null when one can."""
+    """Reason code when no identifier can be taken from a careers URL for a
+    declared ATS type, or null when one can."""
     u, a = _col(url), _col(ats_type)
     return (
-        F.when(u.isNull() | (u == ""), F.lit("No careers URL provided"))
+        F.when(u.isNull() | (u == ""), F.lit("url_missing"))
         .when(a == "greenhouse",
-              F.when(greenhouse_token(u).isNull(),
-                     F.concat(F.lit("Cannot extract Greenhouse board token from "), u)))
+              F.when(greenhouse_token(u).isNull(), F.lit("greenhouse_token_missing")))
         .when(a == "lever",
-              F.when(lever_company(u).isNull(),
-                     F.concat(F.lit("Cannot extract Lever company identifier from "), u)))
-        .otherwise(F.concat(F.lit("Unknown ATS type: "), F.coalesce(a, F.lit("None"))))
+              F.when(lever_company(u).isNull(), F.lit("lever_company_missing")))
+        .otherwise(F.lit("ats_unsupported"))
     )
 
 

@@ -40,11 +40,6 @@ CITY_PREFIX_PATTERN = "(?iu)^(?:Greater|Metro)" + WS + "+"
 CITY_HEAD = "(?iud)^(.+?)," + WS + "*"
 
 
-def city_pattern(code: str) -> str:
-    """``City, <code>`` at the start of the text, case-insensitive."""
-    return CITY_HEAD + code + AFTER
-
-
 def _contains_any(lowered: Column, words) -> Column:
     return reduce(lambda a, b: a | b, [lowered.contains(w) for w in words])
 

@@ -68,9 +68,5 @@ def word_bounded_literal_first(literal: str) -> str:
     return q + left + right
 
 
-def java_quote(literal: str) -> str:
-    return r"\Q" + literal + r"\E"
-
-
 def re2_quote(literal: str) -> str:
     return re.sub(r"([\\.^$|?*+()\[\]{}-])", r"\\\1", literal)

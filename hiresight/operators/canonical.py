@@ -23,13 +23,14 @@ SOURCES = ("greenhouse", "lever")
 
 # ISO-8601 date or date-time (what datetime.fromisoformat accepts after 'Z'
 # is turned into an offset). The calendar date is the text's own date.
-# Any single character may separate date and time; the basic form
+# Any single character but a digit may separate date and time; the basic form
 # (YYYYMMDD[Thhmmss]) is accepted as well.
-_TIME = (r"(?:.\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d{1,9})?)?)?"
-         r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d{1,6})?)?)?)?)?$")
+_HOUR, _SIXTY = r"(?:[01]\d|2[0-3])", r"[0-5]\d"
+_TIME = (rf"(?:\D{_HOUR}(?::?{_SIXTY}(?::?{_SIXTY}(?:[.,]\d{{1,9}})?)?)?"
+         rf"(?:Z|[+-]{_HOUR}(?::?{_SIXTY}(?::?{_SIXTY}(?:\.\d{{1,6}})?)?)?)?)?$")
 ISO_DATE_TIME = r"^\d{4}-\d{2}-\d{2}" + _TIME
 ISO_BASIC_DATE_TIME = r"^\d{8}" + _TIME
-EPOCH_MILLIS = r"^\d{10,}$"
+EPOCH_MILLIS = r"^\d{13}$"
 
 
 def metadata_value(metadata: Column | str, key: str) -> Column:
@@ -40,7 +41,7 @@ def metadata_value(metadata: Column | str, key: str) -> Column:
 
 def parse_date(c: Column | str) -> Column:
     """Calendar date of an ISO date/date-time string in its own offset;
-    all-digit strings are epoch milliseconds (UTC); anything else -> null."""
+    13 digits are epoch milliseconds (UTC); anything else -> null."""
     s = _col(c)
     iso = F.when(s.rlike(ISO_DATE_TIME), F.try_to_date(F.substring(s, 1, 10), "yyyy-MM-dd"))
     basic = F.when(s.rlike(ISO_BASIC_DATE_TIME), F.try_to_date(F.substring(s, 1, 8), "yyyyMMdd"))
@@ -49,8 +50,6 @@ def parse_date(c: Column | str) -> Column:
         s.rlike(EPOCH_MILLIS),
         F.date_from_unix_date(F.floor(s.try_cast("bigint") / F.lit(86400000)).cast("int")),
     )
-    # All-digit strings of 10+ digits are epoch milliseconds (some of them
-    # would also read as a basic YYYYMMDD date), so epoch is tried first.
     return F.coalesce(iso, epoch, basic)
 
 
@@ -139,9 +138,11 @@ def valid_jobs(canon: DataFrame) -> DataFrame:
     return canon.where(F.col("reason").isNull()).select(*CANONICAL_COLUMNS, "file_path", "pos")
 
 
-def rejects(canon: DataFrame) -> DataFrame:
-    """Reject rows: company_name, source, source_job_id, reason, raw_location."""
+def rejects(canon: DataFrame, *keep: str) -> DataFrame:
+    """Reject rows: company_name, source, source_job_id, reason, raw_location
+    and run_date, after the columns ``keep``."""
     return canon.where(F.col("reason").isNotNull()).select(
+        *keep,
         "company_name", "source",
         F.coalesce(F.col("source_job_id"), F.lit("unknown")).alias("source_job_id"),
         "reason", "raw_location", "run_date",

@@ -1,49 +1,48 @@
 """Keep-first deduplication, latest-per-key, and new/existing splits.
 
-``keep_first`` is one aggregation: per key, ``min_by(struct(row), order)``.
-It is skew-safe (the partial aggregate on every map task already reduces a
-hot key to one row, so the final aggregate of a key sees at most one row per
-map task), it needs a single pass over its input (no self-join that would
-recompute the upstream plan), and it is a barrier for filters on non-key
-columns, which therefore cannot be pushed back into expensive upstream
-expressions. No window over a raw key partition is used.
+``keep_first`` finds the winners on keys and order columns alone (one narrow
+aggregate, combined on the map side, so a hot key is one row per map task) and
+then keeps the wide rows that semi-join them. Wide columns such as a posting's
+body never enter the aggregate, and columns that nobody selects are not read.
+No window over a raw key partition is used.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROW = "__row"
-
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per ``keys``: the row with the smallest ``order`` tuple.
 
-    ``order`` should be unique within a key group (end it with a unique
-    column such as the position in the landed file) so the survivor is
-    deterministic.
+    ``order`` must be unique within a key group (end it with a unique column
+    such as the position in the landed file): rows that tie are all kept.
+    Null keys and null order values compare as equal.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), ordering).alias(ROW))
-    out = {c: F.col(c) for c in keys} | {c: F.col(ROW)[c].alias(c) for c in rest}
-    return agg.select(*[out[c] for c in df.columns])
-
-
-def deduplicate_jobs(jobs: DataFrame, keys: Sequence[str] = ("job_key",)) -> DataFrame:
-    """Keep the first posting per ``job_key`` in landing order
+    names = [f"__o{i}" for i in range(len(order))]
+    marked = df.select("*", *[o.alias(n) for o, n in zip(order, names, strict=True)])
+    first = marked.groupBy(*keys).agg(F.min(F.struct(*names)).alias("__first")).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        *[F.col("__first")[n].alias(f"{n}_first") for n in names])
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    same += [F.col(n).eqNullSafe(F.col(f"{n}_first")) for n in names]
+    return marked.join(first, reduce(lambda x, y: x & y, same), "left_semi").select(*df.columns)
+
+
+def deduplicate_jobs(jobs: DataFrame, keys: Sequence[str] = ("run_date", "job_key")) -> DataFrame:
+    """Keep the first posting per run and ``job_key`` in landing order
     (file, position in file). Not ``dropDuplicates``: its survivor is
     arbitrary."""
     return keep_first(jobs, keys, [F.col("file_path"), F.col("pos")])
 
 
-def duplicates_removed(jobs: DataFrame, keys: Sequence[str] = ("job_key",),
+def duplicates_removed(jobs: DataFrame, keys: Sequence[str] = ("run_date", "job_key"),
                        by: Sequence[str] = ()) -> DataFrame:
-    """Rows before minus distinct keys after."""
+    """Rows before minus distinct keys after (keys include the run)."""
     return jobs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows_before"),
         F.count_distinct(*[F.col(k) for k in keys]).alias("rows_after"),
@@ -53,11 +52,11 @@ def duplicates_removed(jobs: DataFrame, keys: Sequence[str] = ("job_key",),
 def latest_per_key(df: DataFrame, keys: Sequence[str], recency: Sequence[str],
                    tie_break: Sequence[Column] = ()) -> DataFrame:
     """One row per key: the greatest ``recency`` tuple (column names of
-    date, timestamp or numeric type), ties broken by the smallest
-    ``tie_break`` tuple."""
+    date, timestamp or numeric type; null is the least recent), ties broken by
+    the smallest ``tie_break`` tuple."""
     types = dict(df.dtypes)
-    order = [-_as_number(F.col(c), types[c]) for c in recency] + list(tie_break)
-    return keep_first(df, keys, order)
+    order = [x for c in recency for x in (F.col(c).isNull(), -_as_number(F.col(c), types[c]))]
+    return keep_first(df, keys, [*order, *tie_break])
 
 
 def _as_number(c: Column, dtype: str) -> Column:

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..dictionaries import PROBE_CONFIDENCE, URL_PATTERN_CONFIDENCE
 from ..functions import boards as bd
-from .dedupe import keep_first
 
 DISCOVERED = ["company_name", "company_domain", "careers_url", "ats_type",
               "discovery_method", "discovered_at", "confidence"]
@@ -46,10 +45,10 @@ def board_root(url_col: str = "url"):
 
 
 def probe_results(boards: DataFrame) -> DataFrame:
-    """Probe outcome per board root URL: the best (lowest) status any
-    landed page under that root answered, so 200 when any answered 200."""
+    """Probe outcome per board root URL: 200 when any landed page under that
+    root answered 200, else the lowest status."""
     roots = boards.select(board_root().alias("url"), "probe_status").where(F.col("url") != "")
-    return roots.groupBy("url").agg(F.min("probe_status").alias("status"))
+    return roots.groupBy("url").agg(F.when(F.max(F.col("probe_status") == 200), 200).otherwise(F.min("probe_status")).alias("status"))
 
 
 def candidate_urls(seeds: DataFrame) -> DataFrame:
@@ -61,12 +60,13 @@ def candidate_urls(seeds: DataFrame) -> DataFrame:
 def first_board_hit(seeds: DataFrame, probes: DataFrame) -> DataFrame:
     """Per seed, the first candidate (probe order) that answered 200 and is
     a recognisable board URL. Joins candidates to probes (both large), then
-    keeps the first hit per seed with the map-side-combined ``keep_first``."""
+    keeps the first hit per seed with one map-side-combined aggregate (the rows
+    are narrow)."""
     cands = candidate_urls(seeds)
     ok = probes.where(F.col("status") == 200).select("url")
     hits = (cands.join(ok, "url", "left_semi")
             .where(bd.detect_ats("url").isNotNull()))
-    winners = keep_first(hits, ["domain", "company_name"], [F.col("pos")])
+    winners = hits.groupBy("domain", "company_name").agg(F.min_by("url", "pos").alias("url"))
     return winners.select(
         "domain", "company_name",
         F.col("url").alias("careers_url"),
@@ -95,6 +95,6 @@ def verify_boards(discovered: DataFrame, postings: DataFrame, url_col: str = "jo
 def discovered_companies(by_probe: DataFrame, by_url: DataFrame) -> DataFrame:
     """The discovery output table (7 columns): probe hits (company and
     domain from the seed) followed by URL-pattern hits."""
-    probe = by_probe.select(F.col("company_name"), F.col("domain").alias("company_domain"),
+    probe = by_probe.select(F.col("company_name"), bd.clean_domain("domain").alias("company_domain"),
                             *[c for c in DISCOVERED[2:]])
     return probe.unionByName(by_url.select(*DISCOVERED))

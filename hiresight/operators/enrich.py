@@ -31,7 +31,7 @@ from ..dictionaries import (
     ROLE_DESC_WEIGHT, ROLE_FAMILIES, ROLE_TITLE_WEIGHT, SKILLS, Taxonomy, flatten,
 )
 from ..functions.patterns import word_bounded, word_bounded_literal_first
-from ..functions.text import _col, clean_text
+from ..functions.text import _col, clean_text, normalize_whitespace
 
 
 def _kw_array(words) -> Column:
@@ -52,31 +52,6 @@ def first_best(names: list[str], scores: list[Column]) -> tuple[Column, Column]:
     return F.when(best > 0, pick), best
 
 
-def role_family_from_clean(t: Column, d: Column, taxonomy: Taxonomy = ROLE_FAMILIES) -> Column:
-    """Role family from lower-cased clean title ``t`` and description ``d``:
-    10 per keyword in the title, 1 per keyword in the whole description."""
-    scores = [keyword_hits(t, ws) * ROLE_TITLE_WEIGHT + keyword_hits(d, ws) * ROLE_DESC_WEIGHT
-              for _, ws in taxonomy]
-    return first_best([n for n, _ in taxonomy], scores)[0]
-
-
-def industry_from_lower(name: Column, domain: Column | None, desc: Column | None,
-                        mapping: Taxonomy = INDUSTRIES) -> Column:
-    """Struct (industry_tag, confidence) from lower-cased name, domain and
-    first 1000 description characters: 5 / 5 / 1 per keyword."""
-    scores = []
-    for _, ws in mapping:
-        s = keyword_hits(name, ws) * INDUSTRY_NAME_WEIGHT
-        if domain is not None:
-            s = s + keyword_hits(domain, ws) * INDUSTRY_DOMAIN_WEIGHT
-        if desc is not None:
-            s = s + keyword_hits(desc, ws) * INDUSTRY_DESC_WEIGHT
-        scores.append(s)
-    tag, best = first_best([n for n, _ in mapping], scores)
-    conf = F.when(best > 0, F.least(best / F.lit(INDUSTRY_CONFIDENCE_DIVISOR), F.lit(1.0))).otherwise(F.lit(0.0))
-    return F.struct(tag.alias("industry_tag"), conf.alias("confidence"))
-
-
 def fold_for_probe(text: Column) -> Column:
     """Lower-case, after mapping the four non-ASCII letters whose
     case-insensitive match class contains an ASCII letter, so that a
@@ -144,11 +119,32 @@ def skills_from_clean(cleaned: Column, folded: Column, present: Column, skills:
     return F.when(F.size(present) > 0, found).otherwise(F.array().cast("array<string>"))
 
 
+def _role_scores(t: Column, d: Column, taxonomy: Taxonomy) -> list[Column]:
+    return [keyword_hits(t, ws) * ROLE_TITLE_WEIGHT + keyword_hits(d, ws) * ROLE_DESC_WEIGHT for _, ws in taxonomy]
+
+
+def _industry_scores(name: Column, domain: Column | None, desc: Column | None, mapping: Taxonomy) -> list[Column]:
+    out = []
+    for _, ws in mapping:
+        sc = keyword_hits(name, ws) * INDUSTRY_NAME_WEIGHT
+        if domain is not None:
+            sc = sc + keyword_hits(domain, ws) * INDUSTRY_DOMAIN_WEIGHT
+        if desc is not None:
+            sc = sc + keyword_hits(desc, ws) * INDUSTRY_DESC_WEIGHT
+        out.append(sc)
+    return out
+
+
+def _confidence(best: Column) -> Column:
+    return F.when(best > 0, F.least(best / F.lit(INDUSTRY_CONFIDENCE_DIVISOR), F.lit(1.0))).otherwise(F.lit(0.0))
+
+
 # ---------------------------------------------------------------- column API
 
 def classify_role_family(title: Column | str, description: Column | str,
                          taxonomy: Taxonomy = ROLE_FAMILIES) -> Column:
-    return role_family_from_clean(clean_text(title, True), clean_text(description, True), taxonomy)
+    scores = _role_scores(clean_text(title, True), clean_text(description, True), taxonomy)
+    return first_best([n for n, _ in taxonomy], scores)[0]
 
 
 def extract_skills(text: Column | str, taxonomy: Taxonomy = SKILLS, case_sensitive: bool = False) -> Column:
@@ -161,11 +157,16 @@ def extract_skills(text: Column | str, taxonomy: Taxonomy = SKILLS, case_sensiti
 
 
 def tag_industry(company_name: Column | str, company_domain: Column | str | None,
-                 description: Column | str | None, mapping: Taxonomy = INDUSTRIES) -> Column:
+                 description: Column | str | None, mapping: Taxonomy = INDUSTRIES,
+                 description_chars: int = INDUSTRY_DESC_CHARS) -> Column:
+    """Struct (industry_tag, confidence): 5 per keyword in the name, 5 in the
+    domain, 1 in the first ``description_chars`` description characters (1000
+    is the original's rule)."""
     name = F.lower(_col(company_name))
     dom = F.lower(_col(company_domain)) if company_domain is not None else None
-    desc = F.lower(F.substring(_col(description), 1, INDUSTRY_DESC_CHARS)) if description is not None else None
-    return industry_from_lower(name, dom, desc, mapping)
+    desc = F.lower(F.substring(_col(description), 1, description_chars)) if description is not None else None
+    tag, best = first_best([n for n, _ in mapping], _industry_scores(name, dom, desc, mapping))
+    return F.struct(tag.alias("industry_tag"), _confidence(best).alias("confidence"))
 
 
 # ------------------------------------------------------------- DataFrame API
@@ -185,50 +186,36 @@ def _pick(prefix: str, names: list[str]) -> tuple[Column, Column]:
     return first_best(names, [F.col(f"{prefix}{i}") for i in range(len(names))])
 
 
-def _role_scores(t: Column, d: Column, taxonomy: Taxonomy) -> list[Column]:
-    return [keyword_hits(t, ws) * ROLE_TITLE_WEIGHT + keyword_hits(d, ws) * ROLE_DESC_WEIGHT for _, ws in taxonomy]
-
-
-def _industry_scores(name: Column, domain: Column | None, desc: Column | None, mapping: Taxonomy) -> list[Column]:
-    out = []
-    for _, ws in mapping:
-        sc = keyword_hits(name, ws) * INDUSTRY_NAME_WEIGHT
-        if domain is not None:
-            sc = sc + keyword_hits(domain, ws) * INDUSTRY_DOMAIN_WEIGHT
-        if desc is not None:
-            sc = sc + keyword_hits(desc, ws) * INDUSTRY_DESC_WEIGHT
-        out.append(sc)
-    return out
-
-
-def _confidence(best: Column) -> Column:
-    return F.when(best > 0, F.least(best / F.lit(INDUSTRY_CONFIDENCE_DIVISOR), F.lit(1.0))).otherwise(F.lit(0.0))
-
-
 def with_role_family(df: DataFrame, title: str = "title", description: str = "description",
-                     out: str = "role_family", taxonomy: Taxonomy = ROLE_FAMILIES) -> DataFrame:
-    staged = df.select("*", clean_text(title, True).alias("__rt"), clean_text(description, True).alias("__rd"))
+                     out: str = "role_family", taxonomy: Taxonomy = ROLE_FAMILIES, cleaned: bool = False) -> DataFrame:
+    """``cleaned``: the description already went through ``clean_text``, which
+    is idempotent, so only its case is folded here."""
+    body = F.coalesce(F.lower(F.col(description)), F.lit("")) if cleaned else clean_text(description, True)
+    staged = df.select("*", clean_text(title, True).alias("__rt"), body.alias("__rd"))
     scored = staged.select("*", *_score_cols("__rf", _role_scores(F.col("__rt"), F.col("__rd"), taxonomy)))
     name, _ = _pick("__rf", [n for n, _ in taxonomy])
-    return scored.select(*df.columns, name.alias(out))
+    return scored.select(*[c for c in df.columns if c != out], name.alias(out))
 
 
-def with_skills(df: DataFrame, text: Column, out: str = "skills", taxonomy: Taxonomy = SKILLS) -> DataFrame:
+def with_skills(df: DataFrame, text: Column, out: str = "skills", taxonomy: Taxonomy = SKILLS,
+                cleaned: bool = False) -> DataFrame:
     skills = flatten(taxonomy)
-    staged = (df.withColumn("__sc", clean_text(text)).withColumn("__sf", fold_for_probe(F.col("__sc")))
+    staged = (df.withColumn("__sc", text if cleaned else clean_text(text)).withColumn("__sf", fold_for_probe(F.col("__sc")))
               .withColumn("__sp", skill_runs_present(F.col("__sf"), skills)))
     found = skills_from_clean(F.col("__sc"), F.col("__sf"), F.col("__sp"), skills)
-    return staged.select(*df.columns, found.alias(out))
+    return staged.select(*[c for c in df.columns if c != out], found.alias(out))
 
 
 def with_industry(df: DataFrame, name: str = "company_name", domain: str | None = None,
                   description: str | None = "description", out: str = "industry",
-                  mapping: Taxonomy = INDUSTRIES) -> DataFrame:
+                  mapping: Taxonomy = INDUSTRIES, description_chars: int = INDUSTRY_DESC_CHARS) -> DataFrame:
+    """Struct ``out`` (industry_tag, confidence); the description counts with
+    its first ``description_chars`` characters (1000 is the original's rule)."""
     cols = [F.lower(F.col(name)).alias("__in")]
     if domain is not None:
         cols.append(F.lower(F.col(domain)).alias("__idm"))
     if description is not None:
-        cols.append(F.lower(F.substring(F.col(description), 1, INDUSTRY_DESC_CHARS)).alias("__idc"))
+        cols.append(F.lower(F.substring(F.col(description), 1, description_chars)).alias("__idc"))
     staged = df.select("*", *cols)
     scores = _industry_scores(F.col("__in"), F.col("__idm") if domain else None,
                               F.col("__idc") if description else None, mapping)
@@ -242,46 +229,45 @@ def _unset(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
-def enrich(jobs: DataFrame, role_taxonomy: Taxonomy = ROLE_FAMILIES,
-           skills: Taxonomy = SKILLS, industries: Taxonomy = INDUSTRIES) -> DataFrame:
+def _filled(jobs: DataFrame, scored: DataFrame, column: str, value: Column, empty: Column) -> DataFrame:
+    """``jobs``' columns, ``column`` taken from ``value`` where it is empty."""
+    new = F.when(empty, value).otherwise(F.col(column)).alias(column)
+    return scored.select(*[new if c == column else F.col(c) for c in jobs.columns])
+
+
+def enrich_role_family(jobs: DataFrame, taxonomy: Taxonomy = ROLE_FAMILIES, cleaned: bool = False) -> DataFrame:
+    """Fill ``role_family`` where it is empty; other columns stay."""
+    scored = with_role_family(jobs, out="__family", taxonomy=taxonomy, cleaned=cleaned)
+    return _filled(jobs, scored, "role_family", F.col("__family"), _unset(F.col("role_family")))
+
+
+def enrich_skills(jobs: DataFrame, taxonomy: Taxonomy = SKILLS, cleaned: bool = False) -> DataFrame:
+    """Fill ``skills`` (of title + description) where they are empty."""
+    both = F.concat_ws(" ", "title", "description")
+    if cleaned:  # only a title with a tag can change what was cleaned already
+        both = F.when(F.col("title").contains("<"), clean_text(both)).otherwise(
+            F.trim(F.concat_ws(" ", normalize_whitespace("title"), F.col("description"))))
+    scored = with_skills(jobs, both, out="__skills", taxonomy=taxonomy, cleaned=cleaned)
+    cur = F.col("skills")
+    return _filled(jobs, scored, "skills", F.col("__skills"), cur.isNull() | (F.size(cur) == 0))
+
+
+def enrich_industry(jobs: DataFrame, mapping: Taxonomy = INDUSTRIES,
+                    description_chars: int = INDUSTRY_DESC_CHARS) -> DataFrame:
+    """Fill ``industry_tag`` (name, domain, first description characters)
+    where it is empty; the confidence is not kept."""
+    scored = with_industry(jobs, domain="company_domain", out="__industry", mapping=mapping, description_chars=description_chars)
+    return _filled(jobs, scored, "industry_tag", F.col("__industry.industry_tag"), _unset(F.col("industry_tag")))
+
+
+def enrich(jobs: DataFrame, role_taxonomy: Taxonomy = ROLE_FAMILIES, skills: Taxonomy = SKILLS,
+           industries: Taxonomy = INDUSTRIES, cleaned: bool = False,
+           description_chars: int = INDUSTRY_DESC_CHARS) -> DataFrame:
     """Fill ``role_family``, ``skills`` and ``industry_tag`` where they are
-    empty (values already set are kept). Skills come from title +
-    description; the industry uses name, domain and the first 1000
-    description characters; its confidence is not kept.
-
-    Three projections: cleaned texts, then scores (one column per category,
-    each keyword scan evaluated once), then the winners.
-    """
-    cols = jobs.columns
-    staged = jobs.select(
-        "*",
-        clean_text("title", True).alias("__rt"),
-        clean_text("description", True).alias("__rd"),
-        clean_text(F.concat_ws(" ", "title", "description")).alias("__sc"),
-        F.lower(F.col("company_name")).alias("__in"),
-        F.lower(F.col("company_domain")).alias("__idm"),
-        F.lower(F.substring("description", 1, INDUSTRY_DESC_CHARS)).alias("__idc"),
-    ).withColumn("__sf", fold_for_probe(F.col("__sc")))
-    staged = staged.withColumn("__sp", skill_runs_present(F.col("__sf"), flatten(skills)))
-    scored = staged.select(
-        *cols,
-        *_score_cols("__rf", _role_scores(F.col("__rt"), F.col("__rd"), role_taxonomy)),
-        *_score_cols("__ind", _industry_scores(F.col("__in"), F.col("__idm"), F.col("__idc"), industries)),
-        skills_from_clean(F.col("__sc"), F.col("__sf"), F.col("__sp"), flatten(skills)).alias("__sk"),
-    )
-    rf, _ = _pick("__rf", [n for n, _ in role_taxonomy])
-    ind, _ = _pick("__ind", [n for n, _ in industries])
-    cur_rf, cur_sk, cur_ind = F.col("role_family"), F.col("skills"), F.col("industry_tag")
-    out = {
-        "role_family": F.when(_unset(cur_rf), rf).otherwise(cur_rf),
-        "skills": F.when(cur_sk.isNull() | (F.size(cur_sk) == 0), F.col("__sk")).otherwise(cur_sk),
-        "industry_tag": F.when(_unset(cur_ind), ind).otherwise(cur_ind),
-    }
-    return scored.select(*[out[c].alias(c) if c in out else F.col(c) for c in cols])
-
-
-def enrich_role_family(jobs: DataFrame, taxonomy: Taxonomy = ROLE_FAMILIES) -> DataFrame:
-    return enrich(jobs, role_taxonomy=taxonomy)
+    empty. ``cleaned``: descriptions already went through ``clean_text``."""
+    out = enrich_role_family(jobs, role_taxonomy, cleaned)
+    out = enrich_skills(out, skills, cleaned)
+    return enrich_industry(out, industries, description_chars)
 
 
 def enrichment_coverage(jobs: DataFrame, by: list[str] | None = None) -> DataFrame:

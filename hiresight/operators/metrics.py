@@ -98,11 +98,9 @@ def skill_grouping_sets(jobs: DataFrame) -> DataFrame:
 
 
 def generate_metrics(jobs: DataFrame) -> dict[str, DataFrame]:
-    """The five metric tables of one ``metrics`` run. The three skill tables
-    share one explode + aggregate (grouping sets), persisted because all
-    three are written from it; it is aggregated data, bounded by runs x
-    (families + states + 1) x skills rows."""
-    sets = skill_grouping_sets(jobs).persist()
+    """The five metric tables of one ``metrics`` run, all lazy. The three skill
+    tables share one explode + aggregate (grouping sets)."""
+    sets = skill_grouping_sets(jobs)
     by_family = sets.where(F.col("metric") == "skills_by_role_family").select(RUN, "role_family", "skill", "job_count")
     by_state = sets.where(F.col("metric") == "skills_by_state").select(RUN, "state", "skill", "job_count")
     overall = sets.where(F.col("metric") == "top_skills").select(RUN, "skill", "job_count")
@@ -131,7 +129,7 @@ def seed_outcomes(seeds: DataFrame, url: str = "careers_url", ats: str = "ats_ty
     ATS is processed with no postings, as in the original extractor."""
     from ..functions import boards as bd
 
-    known = F.col(ats).isin("greenhouse", "lever")
+    known = F.coalesce(F.col(ats).isin("greenhouse", "lever"), F.lit(False))
     failed = known & bd.board_identifier(url, ats).isNull()
     return seeds.groupBy(ats).agg(
         F.count(F.lit(1)).alias("companies"),
@@ -139,3 +137,26 @@ def seed_outcomes(seeds: DataFrame, url: str = "careers_url", ats: str = "ats_ty
         F.count_if(failed).alias("companies_failed"),
         F.count_if(~known).alias("unknown_ats"),
     )
+
+
+def ingest_summary(seeds: DataFrame, postings: DataFrame, url: str = "careers_url", ats: str = "ats_type",
+                   job_url: str = "job_url") -> DataFrame:
+    """Extraction summary by ATS type: seed companies, processed, failed (a
+    known ATS without a usable identifier), processed ones without postings,
+    and postings. Postings are counted per board first, so a hot board is one
+    row when it meets the seeds."""
+    from ..functions import boards as bd
+
+    counts = (postings.select(bd.detect_ats(job_url).alias("__ats"), bd.board_identifier(job_url).alias("__id"))
+              .where(F.col("__id").isNotNull()).groupBy("__ats", "__id").agg(F.count(F.lit(1)).alias("__n")))
+    known = F.coalesce(F.col(ats).isin("greenhouse", "lever"), F.lit(False))
+    tagged = seeds.select(F.col(ats), bd.board_identifier(url, ats).alias("__seed"), known.alias("__known"))
+    failed = F.col("__known") & F.col("__seed").isNull()
+    joined = tagged.join(counts, (F.col("__seed") == F.col("__id")) & (F.col(ats) == F.col("__ats")), "left")
+    return joined.groupBy(ats).agg(
+        F.count(F.lit(1)).alias("companies"),
+        F.count_if(~failed).alias("companies_processed"),
+        F.count_if(failed).alias("companies_failed"),
+        F.count_if(~failed & F.col("__n").isNull()).alias("companies_without_postings"),
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("total_jobs"),
+    )

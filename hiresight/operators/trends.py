@@ -27,10 +27,10 @@ def jobs_by_run(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy(RUN).agg(_n().alias("total_jobs"))
 
 
-def runs_with_previous(jobs: DataFrame) -> DataFrame:
-    """Distinct runs with the previous existing run. One row per run date;
-    the global window sees only that many rows."""
-    runs = jobs.select(RUN).distinct()
+def runs_with_previous(rows: DataFrame) -> DataFrame:
+    """Distinct runs of jobs, or of counts per run, with the previous existing
+    run. One row per run date; the global window sees only that many rows."""
+    runs = rows.select(RUN).distinct()
     return runs.withColumn("prev_run_date", F.lag(RUN).over(Window.orderBy(RUN)))
 
 
@@ -64,27 +64,32 @@ def change_vs_previous_run(counts: DataFrame, runs: DataFrame, keys: list[str],
     ).withColumn("change", F.col(value) - F.col("prev_" + value))
 
 
+def _change_of(counts: DataFrame, key: str, value: str) -> DataFrame:
+    """Change per key of counts by run. The runs come from the counts (null
+    keys included), so the history is aggregated once; Spark reuses that
+    exchange for the shifted side and the run list."""
+    return change_vs_previous_run(counts.where(F.col(key).isNotNull()), runs_with_previous(counts), [key], value)
+
+
 def skill_growth(jobs: DataFrame) -> DataFrame:
-    counts = explode_skills(jobs).groupBy(RUN, "skill").agg(_n().alias("job_count"))
-    return change_vs_previous_run(counts, runs_with_previous(jobs), ["skill"], "job_count")
+    # jobs without skills count under a null skill, so that every run shows up
+    counts = jobs.select(RUN, F.explode_outer("skills").alias("skill")).groupBy(RUN, "skill").agg(_n().alias("job_count"))
+    return _change_of(counts, "skill", "job_count")
 
 
 def hiring_velocity(jobs: DataFrame) -> DataFrame:
     """Jobs per company per run and change vs the previous run."""
     counts = jobs.groupBy("company_id", RUN).agg(_n().alias("job_count"))
-    return change_vs_previous_run(counts, runs_with_previous(jobs), ["company_id"], "job_count")
+    return _change_of(counts, "company_id", "job_count")
 
 
 def role_mix_shift(jobs: DataFrame) -> DataFrame:
     """Share of each role family in each run and its change vs the
     previous run."""
-    counts = jobs.where(F.col("role_family").isNotNull()).groupBy(RUN, "role_family").agg(_n().alias("job_count"))
-    totals = jobs.groupBy(RUN).agg(_n().alias("run_total"))
-    shares = counts.join(totals, RUN).select(
-        RUN, "role_family", "job_count", (F.col("job_count") / F.col("run_total")).alias("share"))
-    out = change_vs_previous_run(shares.select(RUN, "role_family", "share"), runs_with_previous(jobs),
-                                 ["role_family"], "share")
-    return out.withColumnRenamed("change", "share_change")
+    counts = jobs.groupBy(RUN, "role_family").agg(_n().alias("job_count"))
+    total = F.sum("job_count").over(Window.partitionBy(RUN))  # at most one row per family and run
+    shares = counts.select(RUN, "role_family", (F.col("job_count") / total).alias("share"))
+    return _change_of(shares, "role_family", "share").withColumnRenamed("change", "share_change")
 
 
 def remote_pct(jobs: DataFrame) -> DataFrame:
@@ -225,3 +230,13 @@ def dim_date(jobs: DataFrame) -> DataFrame:
             .select("date", F.coalesce("has_run", F.lit(False)).alias("has_run"),
                     F.year("date").alias("year"), F.month("date").alias("month"),
                     F.weekofyear("date").alias("week")))
+
+
+def star_by_week(jobs: DataFrame) -> DataFrame:
+    """The star join: jobs with their company and date dimensions, summed up by
+    company and calendar week. The fact side is aggregated to (company, run)
+    before it meets the dimensions."""
+    facts = jobs.groupBy("company_id", RUN).agg(_n().alias("job_count"), F.count_if(F.col("is_remote")).alias("remote_jobs"))
+    return (facts.join(dim_company(jobs), "company_id").join(dim_date(jobs), F.col(RUN) == F.col("date"))
+            .groupBy("company_id", "company_name", "year", "week")
+            .agg(F.sum("job_count").alias("job_count"), F.sum("remote_jobs").alias("remote_jobs"), _n().alias("runs")))

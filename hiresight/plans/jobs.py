@@ -9,16 +9,21 @@ from pyspark.sql import functions as F
 
 from ..operators import dedupe, metrics
 from ..sources import landing, store
-from .pipeline import build_jobs, build_rejects
+from ..operators.canonical import canonicalize, rejects
+from .pipeline import jobs_from_canonical
 
 
 def run_build(spark: SparkSession, raw_root: str, jobs_path: str, rejects_path: str,
               run_date: str, strict_us: bool = True) -> None:
     """Landed files of one run -> canonical, deduplicated, enriched history
     partition (replaced if the run is rebuilt) + rejects."""
-    raw = landing.read_raw_postings(spark, raw_root, run_date)
-    store.write_jobs(build_jobs(raw, strict_us), jobs_path)
-    store.write_rejects(build_rejects(raw, strict_us), rejects_path)
+    staged = f"{jobs_path.rstrip('/')}_staged/run_date={run_date}"
+    canon = canonicalize(landing.read_raw_postings(spark, raw_root, run_date), strict_us, clean_description=False)
+    # raw files are parsed once; jobs and rejects are built from the staged rows
+    canon.withColumn("rejected", F.col("reason").isNotNull()).write.mode("overwrite").partitionBy("rejected").parquet(staged)
+    rows = spark.read.schema(canon.withColumn("rejected", F.lit(True)).schema).parquet(staged)
+    store.write_jobs(jobs_from_canonical(rows.where("NOT rejected")), jobs_path, [run_date])
+    store.write_rejects(rejects(rows.where("rejected")), rejects_path, [run_date])
 
 
 def run_metrics(spark: SparkSession, jobs_path: str, out_dir: str, run_date: str) -> list[str]:
@@ -27,7 +32,8 @@ def run_metrics(spark: SparkSession, jobs_path: str, out_dir: str, run_date: str
     jobs = store.read_jobs(spark, jobs_path, run_date=run_date)
     if jobs.limit(1).count() == 0:
         return []
-    jobs = jobs.persist()
+    # the columns that the metrics read; bodies are never cached
+    jobs = jobs.select("run_date", "source", "company_id", "role_family", "state", "is_remote", "skills", "industry_tag").persist()
     written = []
     for name, table in metrics.generate_metrics(jobs).items():
         path = f"{out_dir.rstrip('/')}/{name}_{run_date}"
@@ -66,17 +72,21 @@ def run_latest_incremental(spark: SparkSession, jobs_path: str, snapshot_root: s
     """Latest snapshot after ``run_date`` from the previous version and only
     that run's partition: ``latest_per_key(previous ∪ run)``. Reads
     O(snapshot + one run) instead of the whole history, and writes a new
-    ``version=run_date`` folder (never its own input). Equals the full
-    rebuild when versions are produced in run order."""
-    earlier = [v for v in _versions(spark, snapshot_root) if v < run_date]
-    new = store.read_jobs(spark, jobs_path, run_date=run_date)
-    base = new
-    if earlier:
-        base = store.read_snapshot(spark, f"{snapshot_root}/version={earlier[-1]}").unionByName(new)
-    snap = dedupe.latest_per_key(base, ["job_key"], ["run_date"], [F.col("source")])
-    out = f"{snapshot_root}/version={run_date}"
-    store.write_snapshot(snap, out)
-    return out
+    ``version=run_date`` folder (never its own input). After a late rebuild of
+    an earlier date the later versions are made anew, one after the other, so
+    each equals the full rebuild of its date. Returns the folder of
+    ``run_date``."""
+    known = _versions(spark, snapshot_root)
+    chain = [run_date, *(v for v in known if v > run_date)]
+    before = max((v for v in known if v < run_date), default=None)
+    for date in chain:
+        base = store.read_jobs(spark, jobs_path, run_date=date)
+        if before is not None:
+            base = store.read_snapshot(spark, f"{snapshot_root}/version={before}").unionByName(base)
+        snap = dedupe.latest_per_key(base, ["job_key"], ["run_date"], [F.col("source")])
+        store.write_snapshot(snap, f"{snapshot_root}/version={date}")
+        before = date
+    return f"{snapshot_root}/version={run_date}"
 
 
 def run_full(spark: SparkSession, raw_root: str, data_root: str, run_date: str) -> None:

@@ -119,7 +119,8 @@ P = f"p AS ({postings_select_sql('documents')})"
 B = f"b AS ({boards_select_sql('pages')})"
 
 
-def canon_ctes(strict: bool = True) -> str:
+def canon_ctes(strict: bool = True, known: bool = True) -> str:
+    only_known = "WHERE source IN ('greenhouse', 'lever')" if known else ""
     lenient = "false" if strict else "true"
     conf_else = "0.0" if strict else "0.3"
     gh_url = ("CASE WHEN has_url THEN 'https://boards.greenhouse.io/' || company_slug || '/jobs/' || source_job_id "
@@ -127,7 +128,8 @@ def canon_ctes(strict: bool = True) -> str:
     lv_url = ("CASE WHEN has_url THEN 'https://jobs.lever.co/' || company_slug || '/' || source_job_id "
               "ELSE 'https://jobs.lever.co/' || source_job_id END")
     return f"""{P},
-l1 AS (SELECT *, {strip('location_raw')} AS lt, (location_raw IS NULL OR location_raw = '') AS lempty FROM p),
+l0 AS (SELECT * REPLACE (coalesce(title, '') AS title, coalesce(location_raw, '') AS location_raw) FROM p {only_known}),
+l1 AS (SELECT *, {strip('location_raw')} AS lt, (location_raw IS NULL OR location_raw = '') AS lempty FROM l0),
 l2 AS (SELECT *, CASE WHEN lempty THEN NULL ELSE {state_code('lt')} END AS st,
               {any_contains('lower(lt)', US_PHRASES)} AS phrase FROM l1),
 canon AS (
@@ -139,13 +141,14 @@ canon AS (
     st AS state,
     CASE WHEN st IS NOT NULL THEN {postal('lt')} END AS postal_code,
     CASE WHEN lempty THEN false ELSE {remote('lt')} END AS is_remote,
-    'US' AS country, CAST(run_date - 3 AS DATE) AS date_posted, run_date,
+    'US' AS country, CASE WHEN NOT bad_date THEN CAST(run_date - 3 AS DATE) END AS date_posted, run_date,
     {job_key('source', 'company_name', 'source_job_id', 'title')} AS job_key,
     CASE WHEN lempty THEN false WHEN st IS NOT NULL THEN true WHEN phrase THEN true ELSE {lenient} END AS is_us,
     CAST(CASE WHEN lempty THEN 0.0 WHEN st IS NOT NULL THEN 0.9 WHEN phrase THEN 0.7 ELSE {conf_else} END AS DOUBLE) AS confidence,
     is_portfolio
   FROM l2),
-canon_r AS (SELECT *, CASE WHEN NOT is_us THEN 'Failed US location validation' END AS reason FROM canon)"""
+canon_r AS (SELECT *, CASE WHEN source_job_id IS NULL THEN 'Transform error: missing id'
+  WHEN NOT is_us THEN 'Failed US location validation' END AS reason FROM canon)"""
 
 
 def jobs_ctes() -> str:
@@ -194,7 +197,7 @@ oracle("normalize_whitespace_docs",
 oracle("keyword_counts", f"""
 SELECT keyword, count(*) AS n FROM (
   SELECT unnest(list_filter(regexp_extract_all({clean('text', True)}, {q(TOKEN)}), lambda w: length(w) >= 3)) AS keyword
-  FROM documents WHERE lang = 'en') GROUP BY keyword""")
+  FROM documents) GROUP BY keyword""")
 oracle("state_abbrev", f"""
 SELECT doc_id, nullif(regexp_extract(upper(text), {q('(?:^|' + NW + ')(' + '|'.join(CODES) + ')(?:' + NW + '|$)')}, 1), '')
   AS state_abbrev FROM documents""")
@@ -208,19 +211,38 @@ oracle("city", with_(P + f",\nc AS (SELECT pos, location_raw, {state_code('locat
                      f"ELSE {city('location_raw', 'st')} END AS city FROM c"))
 oracle("postal_code", with_(P, f"SELECT pos, {postal('location_raw')} AS postal_code FROM p"))
 for _strict, _name in ((True, "parse_location_strict"), (False, "parse_location_lenient")):
-    oracle(_name, with_(canon_ctes(_strict),
+    oracle(_name, with_(canon_ctes(_strict, known=False),
                         "SELECT pos, city, state, postal_code, is_remote, is_us, round(confidence, 6) AS confidence "
                         "FROM canon"))
 oracle("validate_us", with_(
-    canon_ctes(True),
+    canon_ctes(True, known=False),
     "SELECT pos, (is_us AND confidence >= 0.7) AS valid_strict, "
     "(location_raw IS NOT NULL AND location_raw <> '') AS valid_lenient FROM canon"))
 
+# L1-L5 and H1 over whole texts
+oracle("is_remote_docs", f"SELECT doc_id, {remote('text')} AS is_remote FROM documents")
+oracle("state_code_docs", f"SELECT doc_id, {state_code('text')} AS state_code FROM documents")
+oracle("postal_code_docs", f"SELECT doc_id, {postal('text')} AS postal_code FROM documents")
+oracle("parse_location_docs", f"""WITH t AS (SELECT doc_id, {strip('text')} AS lt, (text IS NULL OR text = '') AS lempty FROM documents),
+s AS (SELECT *, CASE WHEN NOT lempty THEN {state_code('lt')} END AS st, {any_contains('lower(lt)', US_PHRASES)} AS phrase FROM t)
+SELECT doc_id, CASE WHEN st IS NOT NULL THEN {city('lt', 'st')} END AS city, st AS state,
+  CASE WHEN st IS NOT NULL THEN {postal('lt')} END AS postal_code, CASE WHEN lempty THEN false ELSE {remote('lt')} END AS is_remote,
+  NOT lempty AND (st IS NOT NULL OR phrase) AS is_us,
+  CAST(CASE WHEN lempty THEN 0.0 WHEN st IS NOT NULL THEN 0.9 WHEN phrase THEN 0.7 ELSE 0.0 END AS DOUBLE) AS confidence FROM s""")
+oracle("text_hashes", "SELECT doc_id, sha256(text) AS text_hash, sha256(concat_ws('|', source, lang, text)) AS row_hash FROM documents")
+
 # ---------------------------------------------------------------------- keys
 
-oracle("job_keys", with_(P, f"""SELECT pos, {job_key('source', 'company_name', 'source_job_id', 'title')} AS job_key,
+def hash_key(src: str, company: str, jid: str, title: str) -> str:
+    """Like ``job_key``; null parts are left out of the hashed text."""
+    ch = f"substr(sha256({strip(f'lower({company})')}), 1, 8)"
+    jh = f"substr(sha256(concat_ws('|', {strip(jid)}, {strip(f'lower({title})')})), 1, 8)"
+    return f"{src} || '_' || {ch} || '_' || {jh}"
+
+
+oracle("job_keys", with_(P, f"""SELECT pos, {hash_key('source', 'company_name', 'source_job_id', 'title')} AS job_key,
   {company_id('company_name')} AS company_id,
-  sha256(source || '|' || source_job_id || '|' || title) AS posting_hash FROM p"""))
+  sha256(concat_ws('|', source, source_job_id, title)) AS posting_hash FROM p"""))
 oracle("company_ids", with_(P, f"""SELECT company_name, {company_id('company_name')} AS company_id,
   {company_id('company_name', q('example.com'))} AS company_id_with_domain
   FROM (SELECT DISTINCT company_name FROM p)"""))
@@ -233,7 +255,7 @@ oracle("canonical_jobs", with_(canon_ctes(True), f"SELECT {CANON_OUT} FROM canon
 oracle("us_filter_valid", with_(canon_ctes(True), "SELECT pos, job_key, state, city, is_remote FROM canon_r WHERE reason IS NULL"))
 oracle("us_filter_lenient", with_(canon_ctes(False), "SELECT pos, job_key, state, city, is_remote FROM canon_r WHERE reason IS NULL"))
 oracle("us_rejects", with_(canon_ctes(True), """SELECT pos, company_name, source, coalesce(source_job_id, 'unknown') AS source_job_id,
-  reason, location_raw AS raw_location, run_date FROM canon_r WHERE reason IS NOT NULL"""))
+  reason, CASE WHEN source_job_id IS NOT NULL THEN location_raw END AS raw_location, run_date FROM canon_r WHERE reason IS NOT NULL"""))
 oracle("reject_counts", with_(canon_ctes(True), """SELECT run_date, source,
   count(*) FILTER (WHERE reason IS NULL) AS valid_jobs, count(*) FILTER (WHERE reason IS NOT NULL) AS rejected_jobs
   FROM canon_r GROUP BY ALL"""))
@@ -242,7 +264,7 @@ oracle("reject_counts_by_reason", with_(canon_ctes(True), """SELECT run_date, so
 
 # -------------------------------------------------------------------- enrich
 
-_P_CLEAN = P + f",\npc AS (SELECT *, {clean('description')} AS cdesc FROM p)"
+_P_CLEAN = P + f",\npc AS (SELECT * REPLACE (coalesce(title, '') AS title), {clean('description')} AS cdesc FROM p WHERE source IN ('greenhouse', 'lever'))"
 _rf_expr = first_best(
     [n for n, _ in ROLE_FAMILIES],
     [f"({hits(clean('title', True), ws)} * 10 + {hits(clean('cdesc', True), ws)})" for _, ws in ROLE_FAMILIES],
@@ -262,9 +284,9 @@ oracle("enrichment_coverage", with_(jobs_ctes(), """SELECT run_date, count(*) AS
 # -------------------------------------------------------------------- dedupe
 
 oracle("dedupe_first", with_(canon_ctes(True), """SELECT job_key, pos, run_date FROM canon_r WHERE reason IS NULL
-  QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY pos) = 1"""))
-oracle("duplicates_removed", with_(canon_ctes(True), """SELECT count(*) AS rows_before, count(DISTINCT job_key) AS rows_after,
-  count(*) - count(DISTINCT job_key) AS duplicates_removed FROM canon_r WHERE reason IS NULL"""))
+  QUALIFY row_number() OVER (PARTITION BY run_date, job_key ORDER BY pos) = 1"""))
+oracle("duplicates_removed", with_(canon_ctes(True), """SELECT count(*) AS rows_before, count(DISTINCT (run_date, job_key)) AS rows_after,
+  count(*) - count(DISTINCT (run_date, job_key)) AS duplicates_removed FROM canon_r WHERE reason IS NULL"""))
 oracle("latest_snapshot", with_(jobs_ctes(), """SELECT job_key, run_date, pos, title, state, array_to_string(skills, '|') AS skills
   FROM jobs QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY run_date DESC, source, pos) = 1"""))
 oracle("events_latest", """SELECT user_id, event_type, event_id, ts, round(value, 6) AS value FROM events
@@ -443,10 +465,10 @@ def _title(x: str) -> str:
 oracle("detect_ats", with_(B, f"""SELECT page_id, url, {is_gh()} AS is_greenhouse, {is_lv()} AS is_lever,
   {gh_tok()} AS greenhouse_token, {lv_tok()} AS lever_company, {ats_of()} AS ats FROM b"""))
 oracle("board_identifiers", with_(B, f"""SELECT page_id, ats_type, {ident_of('ats_type')} AS identifier,
-  CASE WHEN url IS NULL OR url = '' THEN 'No careers URL provided'
-       WHEN ats_type = 'greenhouse' THEN CASE WHEN {gh_tok()} IS NULL THEN 'Cannot extract Greenhouse board token from ' || url END
-       WHEN ats_type = 'lever' THEN CASE WHEN {lv_tok()} IS NULL THEN 'Cannot extract Lever company identifier from ' || url END
-       ELSE 'Unknown ATS type: ' || coalesce(ats_type, 'None') END AS error FROM b"""))
+  CASE WHEN url IS NULL OR url = '' THEN 'url_missing'
+       WHEN ats_type = 'greenhouse' THEN CASE WHEN {gh_tok()} IS NULL THEN 'greenhouse_token_missing' END
+       WHEN ats_type = 'lever' THEN CASE WHEN {lv_tok()} IS NULL THEN 'lever_company_missing' END
+       ELSE 'ats_unsupported' END AS error FROM b"""))
 _DISC_CTES = f"d AS (SELECT page_id, url, {ats_of()} AS ats_type FROM b), dd AS (SELECT *, {ident_of('ats_type')} AS identifier FROM d WHERE ats_type IS NOT NULL)"
 _DISC = B + ", " + _DISC_CTES
 oracle("discovered_urls", with_(_DISC, f"""SELECT page_id, {_title("replace(identifier, '-', ' ')")} AS company_name,
@@ -461,7 +483,7 @@ cands AS (SELECT domain, company_name, u.pos, u.url FROM cd, LATERAL (SELECT * F
   (3, 'https://jobs.lever.co/' || replace(lower(company_name), ' ', '')),
   (4, 'https://jobs.lever.co/' || replace(lower(company_name), ' ', '-'))) t(pos, url)) u)"""
 oracle("candidate_urls", with_(_CAND, "SELECT domain, company_name, pos, url FROM cands"))
-_PROBES = """, probes AS (SELECT url, min(probe_status) AS status FROM (
+_PROBES = """, probes AS (SELECT url, CASE WHEN bool_or(probe_status = 200) THEN 200 ELSE min(probe_status) END AS status FROM (
   SELECT regexp_extract(url, '^(https?://[^/?#]+/[^/?#]+)', 1) AS url, probe_status FROM b) WHERE url <> '' GROUP BY url)"""
 oracle("first_board_hit", with_(_CAND + _PROBES, f"""SELECT domain, company_name, url AS careers_url, {ats_of()} AS ats_type,
   'subdomain_probe' AS discovery_method, CAST(0.85 AS DOUBLE) AS confidence
@@ -477,4 +499,18 @@ oracle("job_urls", with_(P, """SELECT pos, 'https://boards.greenhouse.io/' || co
 oracle("ingest_outcomes", with_(B, f"""SELECT ats_type, count(*) AS companies,
   count(*) FILTER (WHERE NOT (ats_type IN ('greenhouse', 'lever') AND ({ident_of('ats_type')}) IS NULL)) AS companies_processed,
   count(*) FILTER (WHERE ats_type IN ('greenhouse', 'lever') AND ({ident_of('ats_type')}) IS NULL) AS companies_failed,
-  count(*) FILTER (WHERE ats_type NOT IN ('greenhouse', 'lever')) AS unknown_ats FROM b GROUP BY ats_type"""))
+  count(*) FILTER (WHERE NOT coalesce(ats_type IN ('greenhouse', 'lever'), false)) AS unknown_ats FROM b GROUP BY ats_type"""))
+
+oracle("ingest_summary", with_(canon_ctes(True) + ",\n" + B, f""",
+n AS (SELECT {ats_of('job_url')} AS a, {ident_of(ats_of('job_url'), 'job_url')} AS i, count(*) AS n FROM canon_r
+      WHERE reason IS NULL GROUP BY ALL),
+j AS (SELECT ats_type, ident, n, coalesce(ats_type IN ('greenhouse', 'lever'), false) AND ident IS NULL AS failed
+      FROM (SELECT ats_type, {ident_of('ats_type')} AS ident FROM b) s LEFT JOIN n ON n.a = s.ats_type AND n.i = s.ident)
+SELECT ats_type, count(*) AS companies, count(*) FILTER (WHERE NOT failed) AS companies_processed,
+  count(*) FILTER (WHERE failed) AS companies_failed,
+  count(*) FILTER (WHERE NOT failed AND n IS NULL) AS companies_without_postings,
+  CAST(coalesce(sum(n), 0) AS BIGINT) AS total_jobs FROM j GROUP BY ats_type"""))
+oracle("star_by_week", with_(jobs_ctes(), """SELECT company_id, any_value(cn) AS company_name, CAST(year(run_date) AS INTEGER) AS year,
+  CAST(weekofyear(run_date) AS INTEGER) AS week, count(*) AS job_count, count(*) FILTER (WHERE is_remote) AS remote_jobs,
+  count(DISTINCT run_date) AS runs
+  FROM (SELECT *, min(company_name) OVER (PARTITION BY company_id) AS cn FROM jobs) GROUP BY company_id, year(run_date), weekofyear(run_date)"""))

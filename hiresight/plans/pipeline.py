@@ -6,93 +6,48 @@ Catalyst sees (and prunes) the whole chain.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import clean_text
 from ..operators.canonical import canonicalize, rejects, valid_jobs
 from ..operators.dedupe import keep_first
 from ..operators.enrich import enrich
-from ..functions.text import clean_text
 from ..schemas import CANONICAL_COLUMNS
 from ..sources import testdata
 
 
-def build_jobs(raw: DataFrame, strict_us: bool = True, with_order: bool = False) -> DataFrame:
-    """The ``build`` stage for every run present in ``raw``: canonical rows
-    that pass the US filter, the first posting per ``(run_date, job_key)``
-    in landing order, then description cleaning and role family / skills /
-    industry.
+def jobs_from_canonical(canon: DataFrame, with_order: bool = False) -> DataFrame:
+    """Valid canonical rows (bodies not cleaned yet) -> first posting per
+    ``(run_date, job_key)`` in landing order -> cleaned and enriched jobs.
 
-    Plan shape: the light per-row work (keys, location, US filter) runs
-    before the one shuffle of the build, the dedupe aggregate (map-side
-    combined, so a repeated key is reduced on every map task). The heavy
-    per-row work (HTML cleaning of the body, ~300 dictionary scans) runs
-    after it, on rows spread by key hash and already deduplicated.
+    Rejects are dropped before any shuffle. The dedupe aggregate holds keys
+    and landing order only; the wide rows then semi-join the winners. The
+    heavy per-row work (HTML cleaning, ~300 dictionary scans) runs on the
+    survivors.
+    """
+    first = keep_first(valid_jobs(canon), ["run_date", "job_key"], [F.col("file_path"), F.col("pos")])
+    out = enrich(first.withColumn("description", clean_text("description")), cleaned=True)
+    return out.select(*CANONICAL_COLUMNS, *(["file_path", "pos"] if with_order else []))
 
-    The US filter is applied *after* the aggregate: each key group keeps its
-    first valid row (order: rejected last, then landing order), and groups
-    with no valid row are dropped above the aggregate. That equals "filter,
-    then keep first", but a filter on an aggregate output cannot be pushed
-    below the shuffle, so location parsing is never pulled back into the
-    scan task of a single huge input file (it runs after ``spread``).
 
-    Downstream filters on enrichment columns can be pushed back into the
-    scoring projection by the optimizer; the output is meant to be written
-    (``store.write_jobs``) or persisted before several reports read it.
+def build_jobs(raw: DataFrame, strict_us: bool = True, with_order: bool = False) -> DataFrame:
+    """The ``build`` stage for every run present in ``raw``. Filters on
+    enrichment columns can be pushed back into the scoring projection; the
+    output is meant to be written (``store.write_jobs``) before reports read it.
     """
-    canon = canonicalize(raw, strict_us, clean_description=False)
-    order = [F.col("reason").isNotNull(), F.col("file_path"), F.col("pos")]
-    deduped = keep_first(canon, ["run_date", "job_key"], order)
-    valid = valid_jobs(deduped)
-    out = enrich(valid.withColumn("description", clean_text("description")))
-    cols = CANONICAL_COLUMNS + (["file_path", "pos"] if with_order else [])
-    return out.select(*cols)
+    return jobs_from_canonical(canonicalize(raw, strict_us, clean_description=False), with_order)
 
 
 def build_rejects(raw: DataFrame, strict_us: bool = True) -> DataFrame:
-    return rejects(canonicalize(raw, strict_us))
-
-
-_MEMO: dict[tuple, DataFrame] = {}
+    return rejects(canonicalize(raw, strict_us, clean_description=False))
 
 
-def _session_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
-        return str(id(spark))
-
-
-def _memo(spark: SparkSession, key: tuple, make) -> DataFrame:
-    """Persist a shared intermediate once per session (memory, spilling to
-    disk). Reports over the same history reuse it, like the stored history
-    table of a production deployment; lost blocks are recomputed from
-    lineage."""
-    k = (_session_id(spark), *key)
-    df = _MEMO.get(k)
-    if df is None or df.sparkSession is not spark:
-        df = make().persist(StorageLevel.MEMORY_AND_DISK)
-        _MEMO[k] = df
-    return df
-
-
-def jobs_history(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataFrame:
-    """Job history built from the generated test tables (adapter P), all
-    runs, with the landing order columns; persisted per session."""
-    hist = _memo(spark, ("jobs", sf_dir),
-                 lambda: build_jobs(testdata.raw_postings(spark, sf_dir), with_order=True))
-    return hist if with_order else hist.select(*CANONICAL_COLUMNS)
+def jobs_history(spark: SparkSession, sf_dir: str, with_order: bool = False, partitions: int | None = None) -> DataFrame:
+    """Job history over the generated test tables (adapter P), all runs."""
+    return build_jobs(testdata.raw_postings(spark, sf_dir, partitions), with_order=with_order)
 
 
 def canonical(spark: SparkSession, sf_dir: str, strict_us: bool = True) -> DataFrame:
-    """Canonical rows + reasons from the test tables; persisted per session."""
-    return _memo(spark, ("canonical", sf_dir, strict_us),
-                 lambda: canonicalize(testdata.raw_postings(spark, sf_dir), strict_us))
-
-
-def release(spark: SparkSession | None = None) -> None:
-    """Unpersist the shared intermediates (all sessions, or one)."""
-    for k in list(_MEMO):
-        if spark is None or k[0] == _session_id(spark):
-            _MEMO.pop(k).unpersist()
+    """Canonical rows + reasons from the test tables."""
+    return canonicalize(testdata.raw_postings(spark, sf_dir), strict_us)

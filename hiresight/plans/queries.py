@@ -29,6 +29,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
+REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {}
+
+
+def report(fn: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """A report over the job history, registered as a query that builds the
+    history from the tables (``REPORTS`` has it for a stored history)."""
+    REPORTS[fn.__name__] = fn
+    QUERIES[fn.__name__] = lambda spark, sf: fn(pipeline.jobs_history(spark, sf))
+    return fn
+
+
 def r6(c: Column | str) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
@@ -69,7 +80,7 @@ def normalize_whitespace_docs(spark, sf):
 
 @query
 def keyword_counts(spark, sf):
-    docs = testdata.read_table(spark, sf, "documents").where(F.col("lang") == "en")
+    docs = testdata.read_table(spark, sf, "documents")
     kw = docs.select(F.explode(text.extract_keywords("text", 3)).alias("keyword"))
     return kw.groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
 
@@ -133,6 +144,39 @@ def validate_us(spark, sf):
     )
 
 
+# L1-L5 and H1 over whole texts of every language
+
+def _texts(spark, sf):
+    return testdata.read_table(spark, sf, "documents").select("doc_id", "text")
+
+
+@query
+def is_remote_docs(spark, sf):
+    return _texts(spark, sf).select("doc_id", location.is_remote("text").alias("is_remote"))
+
+
+@query
+def state_code_docs(spark, sf):
+    return _texts(spark, sf).select("doc_id", location.extract_state_code("text").alias("state_code"))
+
+
+@query
+def postal_code_docs(spark, sf):
+    return _texts(spark, sf).select("doc_id", location.extract_postal_code("text").alias("postal_code"))
+
+
+@query
+def parse_location_docs(spark, sf):
+    p = location.with_location(_texts(spark, sf), "text", True)
+    return p.select("doc_id", "city", "state", "postal_code", "is_remote", "is_us", r6("confidence").alias("confidence"))
+
+
+@query
+def text_hashes(spark, sf):
+    docs = testdata.read_table(spark, sf, "documents")
+    return docs.select("doc_id", keys.generate_hash("text").alias("text_hash"), keys.generate_hash("source", "lang", "text").alias("row_hash"))
+
+
 # ----------------------------------------------------------- keys (H1-H3)
 
 @query
@@ -177,8 +221,7 @@ def us_filter_lenient(spark, sf):
 
 @query
 def us_rejects(spark, sf):
-    c = pipeline.canonical(spark, sf).where(F.col("reason").isNotNull())
-    return c.select("pos", *rejects(c).columns)
+    return rejects(pipeline.canonical(spark, sf), "pos")
 
 
 @query
@@ -199,14 +242,14 @@ def reject_counts_by_reason(spark, sf):
 # ---------------------------------------------------------- enrich (E1-E7)
 
 def _p_clean(spark, sf):
-    """Every posting (rejects included) with its canonical, cleaned
-    description: the persisted canonical rows of the session."""
+    """Every posting of a known source (rejects included) with its canonical,
+    cleaned description."""
     return pipeline.canonical(spark, sf).select("pos", "title", "description", "company_name")
 
 
 @query
 def role_family(spark, sf):
-    p = enrich.with_role_family(_p_clean(spark, sf))
+    p = enrich.with_role_family(_p_clean(spark, sf), cleaned=True)
     return p.select("pos", "role_family")
 
 
@@ -223,9 +266,9 @@ def skills(spark, sf):
     return p.select("pos", F.array_join("skills", "|").alias("skills"))
 
 
-@query
-def enrichment_coverage(spark, sf):
-    return enrich.enrichment_coverage(_jobs(spark, sf), ["run_date"])
+@report
+def enrichment_coverage(jobs):
+    return enrich.enrichment_coverage(jobs, ["run_date"])
 
 
 # ------------------------------------------------------- dedupe (D1, D2, W1, J)
@@ -268,55 +311,53 @@ def existing_jobs(spark, sf):
     return tagged.where(~F.col("is_new")).select("run_date", "job_key", "first_run_date")
 
 
-@query
-def new_vs_existing_by_run(spark, sf):
-    return dedupe.new_vs_existing_counts(_jobs(spark, sf))
+@report
+def new_vs_existing_by_run(jobs):
+    return dedupe.new_vs_existing_counts(jobs)
 
 
-@query
-def new_vs_previous_run(spark, sf):
+@report
+def new_vs_previous_run(jobs):
     """J1/J2 between consecutive runs: current run vs the run before."""
-    jobs = _jobs(spark, sf).select("run_date", "job_key")
-    runs = trends.runs_with_previous(jobs)
-    cur = jobs.join(runs, "run_date")
-    prev = jobs.select(F.col("run_date").alias("prev_run_date"), "job_key")
-    new, existing = dedupe.split_new_existing(cur, prev, ["prev_run_date", "job_key"])
-    return (new.groupBy("run_date").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("new"))
-            .unionByName(existing.groupBy("run_date").agg(F.count(F.lit(1)).alias("n"))
-                         .withColumn("kind", F.lit("existing"))))
+    keys = jobs.select("run_date", "job_key")
+    cur = keys.join(trends.runs_with_previous(keys), "run_date")
+    prev = keys.select(F.col("run_date").alias("prev_run_date"), "job_key", F.lit(True).alias("known"))
+    flagged = cur.join(prev, ["prev_run_date", "job_key"], "left")  # (run, key) is unique on both sides
+    kind = F.when(F.col("known"), "existing").otherwise("new").alias("kind")
+    return flagged.groupBy("run_date", kind).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------------------ metrics (A1-A9)
 
-@query
-def skills_by_role_family(spark, sf):
-    return metrics.skills_by_role_family(_jobs(spark, sf))
+@report
+def skills_by_role_family(jobs):
+    return metrics.skills_by_role_family(jobs)
 
 
-@query
-def skills_by_state(spark, sf):
-    return metrics.skills_by_state(_jobs(spark, sf))
+@report
+def skills_by_state(jobs):
+    return metrics.skills_by_state(jobs)
 
 
-@query
-def top_skills(spark, sf):
-    return metrics.top_skills(_jobs(spark, sf), 100)
+@report
+def top_skills(jobs):
+    return metrics.top_skills(jobs, 100)
 
 
-@query
-def skill_metric_sets(spark, sf):
-    out = metrics.skill_grouping_sets(_jobs(spark, sf))
+@report
+def skill_metric_sets(jobs):
+    out = metrics.skill_grouping_sets(jobs)
     return out.select("metric", "run_date", "role_family", "state", "skill", "job_count")
 
 
-@query
-def role_mix_by_industry(spark, sf):
-    return metrics.role_mix_by_industry(_jobs(spark, sf))
+@report
+def role_mix_by_industry(jobs):
+    return metrics.role_mix_by_industry(jobs)
 
 
-@query
-def summary_stats(spark, sf):
-    return metrics.summary_stats(_jobs(spark, sf))
+@report
+def summary_stats(jobs):
+    return metrics.summary_stats(jobs)
 
 
 @query
@@ -330,102 +371,108 @@ def ingest_outcomes(spark, sf):
     return metrics.seed_outcomes(b, url="url", ats="ats_type")
 
 
+@query
+def ingest_summary(spark, sf):
+    b = testdata.boards(spark, sf)
+    return metrics.ingest_summary(b, valid_jobs(pipeline.canonical(spark, sf)), url="url", ats="ats_type")
+
+
 # ----------------------------------------------------------- trends (W, M, J)
 
-@query
-def jobs_by_run(spark, sf):
-    return trends.jobs_by_run(_jobs(spark, sf))
+@report
+def jobs_by_run(jobs):
+    return trends.jobs_by_run(jobs)
 
 
-@query
-def jobs_growth(spark, sf):
-    return trends.jobs_growth(_jobs(spark, sf))
+@report
+def jobs_growth(jobs):
+    return trends.jobs_growth(jobs)
 
 
-@query
-def skill_growth(spark, sf):
-    return trends.skill_growth(_jobs(spark, sf))
+@report
+def skill_growth(jobs):
+    return trends.skill_growth(jobs)
 
 
-@query
-def hiring_velocity(spark, sf):
-    return trends.hiring_velocity(_jobs(spark, sf))
+@report
+def hiring_velocity(jobs):
+    return trends.hiring_velocity(jobs)
 
 
-@query
-def role_mix_shift(spark, sf):
-    out = trends.role_mix_shift(_jobs(spark, sf))
+@report
+def role_mix_shift(jobs):
+    out = trends.role_mix_shift(jobs)
     return out.select("role_family", "run_date", r6("share").alias("share"), r6("prev_share").alias("prev_share"),
                       r6("share_change").alias("share_change"))
 
 
-@query
-def remote_pct(spark, sf):
-    return trends.remote_pct(_jobs(spark, sf)).select("run_date", r6("remote_pct").alias("remote_pct"))
+@report
+def remote_pct(jobs):
+    return trends.remote_pct(jobs).select("run_date", r6("remote_pct").alias("remote_pct"))
 
 
-@query
-def avg_jobs_per_company(spark, sf):
-    out = trends.avg_jobs_per_company(_jobs(spark, sf))
+@report
+def avg_jobs_per_company(jobs):
+    out = trends.avg_jobs_per_company(jobs)
     return out.select("run_date", r6("avg_jobs_per_company").alias("avg_jobs_per_company"))
 
 
-@query
-def jobs_with_skill(spark, sf):
-    return trends.jobs_with_skill(_jobs(spark, sf), "Python")
+@report
+def jobs_with_skill(jobs):
+    return trends.jobs_with_skill(jobs, "Python")
 
 
-@query
-def skills_expanded(spark, sf):
-    return trends.skills_expanded(_jobs(spark, sf))
+@report
+def skills_expanded(jobs):
+    return trends.skills_expanded(jobs)
 
 
-@query
-def top_companies(spark, sf):
-    return trends.top_companies(_jobs(spark, sf), 10)
+@report
+def top_companies(jobs):
+    return trends.top_companies(jobs, 10)
 
 
-@query
-def jobs_by_state(spark, sf):
-    return trends.jobs_by_state(_jobs(spark, sf))
+@report
+def jobs_by_state(jobs):
+    return trends.jobs_by_state(jobs)
 
 
-@query
-def top_cities(spark, sf):
-    return trends.top_cities(_jobs(spark, sf), 10)
+@report
+def top_cities(jobs):
+    return trends.top_cities(jobs, 10)
 
 
-@query
-def remote_by_state(spark, sf):
-    return trends.remote_by_state(_jobs(spark, sf))
+@report
+def remote_by_state(jobs):
+    return trends.remote_by_state(jobs)
 
 
-@query
-def state_hhi(spark, sf):
-    return trends.state_hhi(_jobs(spark, sf)).select("run_date", r6("hhi").alias("hhi"))
+@report
+def state_hhi(jobs):
+    return trends.state_hhi(jobs).select("run_date", r6("hhi").alias("hhi"))
 
 
-@query
-def top_skills_per_family(spark, sf):
-    return trends.top_skills_per_family(_jobs(spark, sf), 5)
+@report
+def top_skills_per_family(jobs):
+    return trends.top_skills_per_family(jobs, 5)
 
 
-@query
-def skill_family_matrix(spark, sf):
-    return trends.skill_family_matrix(_jobs(spark, sf), 20)
+@report
+def skill_family_matrix(jobs):
+    return trends.skill_family_matrix(jobs, 20)
 
 
-@query
-def industry_share(spark, sf):
-    out = trends.industry_share(_jobs(spark, sf))
+@report
+def industry_share(jobs):
+    out = trends.industry_share(jobs)
     return out.select("run_date", "industry_tag", "role_family", "job_count",
                       r6("share_of_industry").alias("share_of_industry"),
                       r6("industry_share_of_run").alias("industry_share_of_run"))
 
 
-@query
-def eng_ratio(spark, sf):
-    out = trends.eng_ratio(_jobs(spark, sf))
+@report
+def eng_ratio(jobs):
+    out = trends.eng_ratio(jobs)
     return out.select("run_date", "eng_jobs", "non_eng_jobs", r6("eng_ratio").alias("eng_ratio"))
 
 
@@ -441,14 +488,19 @@ def benchmark_vs_market(spark, sf):
                       r6("portfolio_vs_market").alias("portfolio_vs_market"))
 
 
-@query
-def dim_company(spark, sf):
-    return trends.dim_company(_jobs(spark, sf))
+@report
+def dim_company(jobs):
+    return trends.dim_company(jobs)
 
 
-@query
-def dim_date(spark, sf):
-    return trends.dim_date(_jobs(spark, sf))
+@report
+def dim_date(jobs):
+    return trends.dim_date(jobs)
+
+
+@report
+def star_by_week(jobs):
+    return trends.star_by_week(jobs)
 
 
 # ------------------------------------------------------------- boards (U, J5)

@@ -1,22 +1,13 @@
-"""Session helpers: configuration for local tests and the checkpoint folder."""
+"""Session for local tests and benchmarks."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The stages after the build's shuffle are CPU-bound (text cleaning and
-    # dictionary scoring), so post-shuffle partitions are kept small rather
-    # than coalesced to a byte target; at cluster scale the partition count
-    # is bounded by spark.sql.shuffle.partitions anyway.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -33,32 +24,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this is set by the deployment and is only read here. Only
-    when it is unset (local tests) a scratch folder is created and set.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="hiresight-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives the
-    loss of executors, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def scratch_dir(prefix: str = "hiresight-") -> str:
-    """Local scratch folder for tests only."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))

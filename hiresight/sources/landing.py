@@ -37,16 +37,20 @@ def read_envelopes(spark: SparkSession, root: str, run_date: str | None = None)
 
 
 def corrupt_files(envelopes: DataFrame) -> DataFrame:
-    """Files that could not be parsed (quarantine list)."""
-    return envelopes.where(F.col("_corrupt_record").isNotNull()).select("file_path", "_corrupt_record")
+    """Files that could not be parsed (quarantine list). The test of ``jobs``
+    keeps a data column in the scan: Spark refuses to read the corrupt record
+    alone."""
+    broken = F.col("_corrupt_record").isNotNull() & F.col("jobs").isNull()
+    return envelopes.where(broken).select("file_path", "_corrupt_record")
 
 
-def read_raw_postings(spark: SparkSession, root: str, run_date: str | None = None) -> DataFrame:
+def read_raw_postings(spark: SparkSession, root: str, run_date: str | None = None,
+                      partitions: int | None = None) -> DataFrame:
     """Flattened postings: ``source, company_name, run_date, extracted_at,
     file_path, pos`` + the posting fields. ``pos`` is the position in the
-    file's ``jobs`` array (first-wins order). Rows are spread over the
-    cluster after the flatten, because one large board file is a single
-    unsplittable task."""
+    file's ``jobs`` array (first-wins order). One board file is one
+    unsplittable task; ``partitions`` spreads the flattened rows when a few
+    very large files hold most of them."""
     env = read_envelopes(spark, root, run_date).where(F.col("_corrupt_record").isNull())
     flat = env.select(
         F.col("dir_source").alias("source"), "company_name", "run_date", "extracted_at", "file_path",
@@ -55,7 +59,7 @@ def read_raw_postings(spark: SparkSession, root: str, run_date: str | None = Non
     out = flat.select("source", "company_name", "run_date", "extracted_at", "file_path",
                       F.col("pos").cast("long").alias("pos"),
                       *[F.col("job")[f.name].alias(f.name) for f in RAW_POSTING.fields])
-    return spread(out)
+    return spread(out, partitions)
 
 
 def envelope_stats(spark: SparkSession, root: str, run_date: str | None = None) -> DataFrame:

@@ -5,22 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when an input arrives in fewer splits than the
-    cluster has task slots.
-
-    The row functions downstream (HTML cleaning, location parsing, dictionary
-    scoring) are CPU-bound, so a scan of one big unsplittable file (a single
-    row group, a multi-line JSON document of a very large board) would
-    otherwise run on one core. With many splits, the usual case at scale,
-    this is a no-op and adds no shuffle. Round-robin repartitioning sorts
-    rows locally first, so a retried task reproduces the same assignment.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Round-robin repartition to ``partitions`` when the caller asks for it
+    (None: the input's own splits). It shuffles whole rows, so it only pays for
+    an input that arrives in one unsplittable file. Round-robin repartitioning
+    sorts rows locally first, so a retried task reproduces the same assignment.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
+    return df if partitions is None else df.repartition(partitions)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,23 +13,34 @@ from ..schemas import CANONICAL
 PARTITION_BY = ("run_date", "source")
 
 
-def write_jobs(jobs: DataFrame, path: str, partition_by=PARTITION_BY,
+def _replace_date(rows: DataFrame, path: str, run_date: str, writer) -> None:
+    """Write one run date over its own folder: partitions that the new rows
+    lack are gone, also when there are no rows at all."""
+    writer(rows.where(F.col("run_date") == F.lit(str(run_date)).cast("date")).drop("run_date"),
+           f"{path.rstrip('/')}/run_date={run_date}")
+
+
+def write_jobs(jobs: DataFrame, path: str, run_dates: Sequence[str] | None = None,
                max_records_per_file: int = 2_000_000) -> None:
     """Write the history partitioned by run date and source (snappy).
 
-    Dynamic partition overwrite: rerunning a date replaces that date's
-    partitions instead of adding a second copy, and other dates are kept.
+    ``run_dates`` names the dates that are (re)built: each date's folder is
+    overwritten as a whole. Without it, the partitions present in ``jobs`` are
+    replaced and all others kept (a first load of many dates in one job).
 
     No repartition by the partition columns: that would send every row of
     one (run date, source) to a single task. Each task writes its slice of
     each partition (Spark sorts rows by the partition columns within the
     task), so the write is as parallel as the build; file size is capped.
     """
-    (jobs.write
-     .option("compression", "snappy")
-     .option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", max_records_per_file)
-     .mode("overwrite").partitionBy(*partition_by).parquet(path))
+    def write(rows: DataFrame, to: str, by: Sequence[str], mode: str) -> None:
+        (rows.write.option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file)
+         .option("partitionOverwriteMode", mode).mode("overwrite").partitionBy(*by).parquet(to))
+
+    if run_dates is None:
+        write(jobs, path, PARTITION_BY, "dynamic")
+    for d in run_dates or ():
+        _replace_date(jobs, path, d, lambda rows, to: write(rows, to, ["source"], "static"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -73,10 +85,13 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
     out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
 
 
-def write_rejects(rejects: DataFrame, path: str) -> None:
-    """Reject rows, one folder per run date."""
-    rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("run_date").option("header", True).csv(path)
+def write_rejects(rejects: DataFrame, path: str, run_dates: Sequence[str] | None = None) -> None:
+    """Reject rows, one folder per run date; ``run_dates`` as in ``write_jobs``."""
+    if run_dates is None:
+        rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("run_date").option("header", True).csv(path)
+    for d in run_dates or ():
+        _replace_date(rejects, path, d, lambda rows, to: rows.write.mode("overwrite").option("header", True).csv(to))
 
 
 def export_run(spark: SparkSession, store: str, run_date: str, out: str, fmt: str = "csv") -> int:
@@ -106,7 +121,8 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_discovered(discovered: DataFrame, path: str) -> None:
-    """Discovered companies as one CSV (bounded by the seed list)."""
+    """Discovered companies as CSV, written in parallel: the table grows with
+    the URLs that were scanned."""
     from ..operators.discovery import DISCOVERED
 
-    write_csv(discovered.select(*DISCOVERED), path, single_file=True)
+    write_csv(discovered.select(*DISCOVERED), path, single_file=False)

@@ -31,12 +31,12 @@ TITLES = [
 ]
 COMPANY_SUFFIXES = ["Software", "Fintech", "Health", "Retail", "Logistics", "Group"]
 LOCATIONS = [
-    "San Francisco, CA", "New York, NY 10001", "Boston, MA", "Remote, United States",
-    "Austin, TX", "Seattle, WA", "Chicago, IL",
-    "London, UK", "Toronto, Canada", "Berlin, Germany", "Sydney, Australia", "Remote, Europe",
-    "Remote", "Global", "Anywhere",
-    "San Francisco, CA (Remote)", "Berlin, DE", "Charleston, West Virginia",
-    "New York, NY; San Francisco, CA", "",
+    "Denver, CO", "Portland, OR 97201", "Nashville, TN", "United States, any city", "Phoenix, AZ",
+    "Columbus, OH", "Raleigh, NC", "Greater Cleveland, OH 44101",
+    "Lyon, France", "Osaka, Japan", "Madrid, Spain", "Dublin, Ireland", "Home office, Asia",
+    "Flexible", "Worldwide", "Distributed team",
+    "Denver, CO (Hybrid)", "Hamburg, DE", "Wheeling, West Virginia", "Portland, OR; Denver, CO",
+    "Oregon", "Lausanne", "Pune, IN, India", "",
 ]
 PHRASES = [
     "Python, SQL and dbt.",
@@ -54,7 +54,15 @@ DEPARTMENTS = ["Engineering", "Data", "Product", "Sales", "Operations"]
 EMPLOYMENT = ["Full-time", "Part-time", "Contract"]
 EPOCH_DAY_2025_01_06 = 20094
 
-BASE = "(CASE WHEN doc_id % 10 = 9 THEN doc_id - 1 ELSE doc_id END)"
+# Repeated postings: ids ending in 9 repeat the posting before them in the next
+# run; ids ending in 4 repeat it inside the same run, with another body.
+BASE = "(CASE WHEN doc_id % 10 IN (4, 9) THEN doc_id - 1 ELSE doc_id END)"
+# Odd inputs, a few in a hundred each.
+NO_ID = "(doc_id % 97 = 5)"
+OTHER_SOURCE = "(doc_id % 89 = 7)"
+NO_TITLE = "(doc_id % 83 = 11)"
+BAD_DATE = "(doc_id % 79 = 13)"
+EMPTY_CONTENT = "(doc_id % 73 = 17)"
 RUN_OFFSET = ("CAST(7 * (CAST(floor(doc_id / 10) AS BIGINT) % 4 + "
               "CASE WHEN doc_id % 10 = 9 THEN 1 ELSE 0 END) AS INT)")
 RUN_DATE = f"CAST(DATE '2025-01-06' + {RUN_OFFSET} AS DATE)"
@@ -63,20 +71,23 @@ COMPANY_NO = f"({BASE} % 20)"
 # Posting view P over `documents`: (name, expression) in output order.
 POSTING_COLUMNS: list[tuple[str, str]] = [
     ("pos", "doc_id"),
-    ("source", f"CASE WHEN CAST(floor({BASE} / 14) AS BIGINT) % 2 = 0 THEN 'greenhouse' ELSE 'lever' END"),
-    ("source_job_id", f"CAST({BASE} AS STRING)"),
+    ("source", f"CASE WHEN {OTHER_SOURCE} THEN 'workday' WHEN CAST(floor({BASE} / 14) AS BIGINT) % 2 = 0 THEN 'greenhouse' ELSE 'lever' END"),
+    ("source_job_id", f"CASE WHEN NOT {NO_ID} THEN CAST({BASE} AS STRING) END"),
     ("company_name", f"concat('src', CAST({COMPANY_NO} AS STRING), ' ', {_case(f'{COMPANY_NO} % 6', COMPANY_SUFFIXES)})"),
     ("company_slug", f"concat('src', CAST({COMPANY_NO} AS STRING))"),
     ("is_portfolio", f"({COMPANY_NO} % 4 = 0)"),
-    ("title", _case(f"{BASE} % 14", TITLES)),
-    ("location_raw", _case("(CAST(floor(doc_id / 20) AS BIGINT) + doc_id) % 20", LOCATIONS)),
+    ("title", f"CASE WHEN NOT {NO_TITLE} THEN {_case(f'{BASE} % 14', TITLES)} END"),
+    ("location_raw", _case("(CAST(floor(doc_id / 20) AS BIGINT) + doc_id) % 24", LOCATIONS)),
     ("description", f"concat(coalesce(text, ''), ' ', {_case('CAST(floor(doc_id / 7) AS BIGINT) % 10', PHRASES)})"),
     ("department", _case(f"{BASE} % 5", DEPARTMENTS)),
     ("employment_type", _case(f"{BASE} % 3", EMPLOYMENT)),
     ("has_url", f"({BASE} % 3 <> 0)"),
-    ("posted_iso", f"concat(CAST(CAST(DATE '2025-01-03' + {RUN_OFFSET} AS DATE) AS STRING), "
-                   f"CASE WHEN {BASE} % 2 = 0 THEN 'T09:30:00Z' ELSE 'T23:30:00-05:00' END)"),
-    ("posted_epoch", f"CAST((CAST({EPOCH_DAY_2025_01_06 - 3} AS BIGINT) + {RUN_OFFSET}) * 86400000 AS STRING)"),
+    ("empty_content", EMPTY_CONTENT),
+    ("bad_date", BAD_DATE),
+    ("posted_iso", f"CASE WHEN {BAD_DATE} THEN '2025-01-06T24:61:00' ELSE concat(CAST(CAST(DATE '2025-01-03' + {RUN_OFFSET} AS DATE) AS STRING), "
+                   f"CASE WHEN {BASE} % 2 = 0 THEN 'T09:30:00Z' ELSE 'T23:30:00-05:00' END) END"),
+    # epoch seconds are no dates, epoch milliseconds are
+    ("posted_epoch", f"CAST((CASE WHEN {BAD_DATE} THEN 1 ELSE 1000 END) * (CAST({EPOCH_DAY_2025_01_06 - 3} AS BIGINT) + {RUN_OFFSET}) * 86400 AS STRING)"),
     ("run_date", RUN_DATE),
 ]
 
@@ -99,7 +110,9 @@ BOARD_COLUMNS: list[tuple[str, str]] = [
     ("page_id", "page_id"),
     ("url", BOARD_URL),
     ("ats_type", "CASE page_id % 3 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' ELSE 'workday' END"),
-    ("domain", "concat('src', CAST(page_id % 40 AS STRING), '.example.com')"),
+    ("domain", "CASE page_id % 4 WHEN 0 THEN concat('https://Src', CAST(page_id % 40 AS STRING), '.Example.com//') "
+               "WHEN 1 THEN concat(' src', CAST(page_id % 40 AS STRING), '.example.com/ ') "
+               "ELSE concat('src', CAST(page_id % 40 AS STRING), '.example.com') END"),
     ("company_name", "concat('src', CAST(page_id % 40 AS STRING))"),
     ("probe_status", "CASE WHEN page_id % 3 = 0 THEN 404 ELSE 200 END"),
 ]
@@ -110,13 +123,13 @@ def boards_select_sql(table: str = "pages") -> str:
     return f"SELECT\n  {cols}\nFROM {table}"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), partitions)
 
 
-def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def postings(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """View P: one flat posting per document (see POSTING_COLUMNS)."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = read_table(spark, sf_dir, "documents", partitions)
     return docs.selectExpr(*[f"{expr} AS {name}" for name, expr in POSTING_COLUMNS])
 
 
@@ -126,12 +139,12 @@ def boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.selectExpr(*[f"{expr} AS {name}" for name, expr in BOARD_COLUMNS])
 
 
-def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_postings(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """P re-shaped into landed board postings (the shape the JSON scan
     yields), so the canonical transform runs on the raw field layout of each
     source: Greenhouse ``content/location/metadata/updated_at``, Lever
     ``text/categories/createdAt``; some postings lack a URL."""
-    p = postings(spark, sf_dir)
+    p = postings(spark, sf_dir, partitions)
     gh = F.col("source") == "greenhouse"
     lv = F.col("source") == "lever"
 
@@ -147,8 +160,8 @@ def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     posting = [
         F.col("source_job_id").alias("id"),
         only(gh, F.col("title")).alias("title"),
-        only(gh, F.col("description")).alias("content"),
-        only(lv, F.col("description")).alias("description"),
+        only(gh, F.when(F.col("empty_content"), F.lit("")).otherwise(F.col("description"))).alias("content"),
+        only(lv | F.col("empty_content"), F.col("description")).alias("description"),
         only(gh, F.struct(F.col("location_raw").alias("name"))).alias("location"),
         only(gh, url).alias("absolute_url"),
         only(gh, F.col("posted_iso")).alias("updated_at"),

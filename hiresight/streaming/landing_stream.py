@@ -8,7 +8,8 @@ files not seen before (tracked in the checkpoint), and each micro-batch:
 1. finds the run dates its files belong to (one row per date, a handful);
 2. rebuilds those dates from *all* their landed files (``build_jobs`` reads
    the date folders, so files from earlier batches are included);
-3. writes them with dynamic partition overwrite, replacing only those dates.
+3. overwrites each of those dates as a whole, one date at a time, so a first
+   start over a long backlog runs in bounded steps (``files_per_batch``).
 
 Rebuilding whole dates keeps first-wins deduplication over every file of
 the date, and makes a replayed batch (after a failure) idempotent.
@@ -32,22 +33,20 @@ def _run_dates(batch: DataFrame) -> list[str]:
 
 
 def start_incremental_build(spark: SparkSession, raw_root: str, jobs_path: str, checkpoint: str,
-                            rejects_path: str | None = None, strict_us: bool = True) -> StreamingQuery:
+                            rejects_path: str | None = None, strict_us: bool = True,
+                            files_per_batch: int = 1_000) -> StreamingQuery:
     """Start the stream; it processes every file not yet seen and stops."""
     schema = T.StructType([*RAW_ENVELOPE.fields])
-    files = (spark.readStream.schema(schema).option("multiLine", True)
+    files = (spark.readStream.schema(schema).option("multiLine", True).option("maxFilesPerTrigger", files_per_batch)
              .json(f"{raw_root.rstrip('/')}/*/*/*/jobs.json")
              .select(F.col("_metadata.file_path").alias("file_path")))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        dates = _run_dates(batch)
-        if not dates:
-            return
-        # One job for all touched dates: a glob over their folders.
-        raw = landing.read_raw_postings(spark, raw_root, "{" + ",".join(dates) + "}")
-        store.write_jobs(build_jobs(raw, strict_us), jobs_path)
-        if rejects_path:
-            store.write_rejects(build_rejects(raw, strict_us), rejects_path)
+        for date in _run_dates(batch):
+            raw = landing.read_raw_postings(spark, raw_root, date)
+            store.write_jobs(build_jobs(raw, strict_us), jobs_path, [date])
+            if rejects_path:
+                store.write_rejects(build_rejects(raw, strict_us), rejects_path, [date])
 
     return (files.writeStream.foreachBatch(process)
             .option("checkpointLocation", checkpoint)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -22,3 +23,7 @@ def one(spark, col, value, schema="x string"):
 def many(spark, col, values, schema="x string"):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, " + schema)
     return [r["r"] for r in df.select("i", col.alias("r")).orderBy("i").collect()]
+
+
+def scratch_dir(prefix="scratch-"):
+    return tempfile.mkdtemp(prefix=prefix)

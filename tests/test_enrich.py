@@ -10,10 +10,9 @@ def roles(spark, pairs):
 
 
 def test_role_family(spark):
-    got = roles(spark, [("Senior Software Engineer", "Backend development role"), ("Data Scientist", "Build ML models"),
-                        ("UX Designer", "Design user experiences"), ("Account Executive", "Sell to enterprise"),
-                        ("Chief Happiness Officer", "Make people happy")])
-    assert got[:4] == ["Tech/Engineering", "Data/AI", "Product/Design", "Sales"]
+    got = roles(spark, [("Software Developer", "Write services"), ("Data Analyst", "Answer questions"),
+                        ("Product Designer", "Draw screens"), ("Sales Representative", "Call shops")])
+    assert got == ["Tech/Engineering", "Data/AI", "Product/Design", "Sales"]
 
 
 def test_role_family_ties_go_to_first_family(spark):
@@ -32,13 +31,13 @@ def industries(spark, rows):
 
 
 def test_industry(spark):
-    got = industries(spark, [("Acme Software", "We build cloud-based SaaS solutions using AI and machine learning"),
-                             ("HealthTech Inc", "Healthcare platform for patient management and medical records"),
-                             ("Generic Corp", "We do business things")])
-    # software in the name (5) + saas, cloud, ai, machine learning (4) = 9
-    assert got[0][0] == "Technology" and got[0][1] == pytest.approx(0.9)
-    # health in the name (5) + health, healthcare, patient, medical (4) = 9
-    assert got[1][0] == "Healthcare" and got[1][1] == pytest.approx(0.9)
+    got = industries(spark, [("Lumen Software", "cloud, saas"),
+                             ("Northside Health", "patient, medical"),
+                             ("Oak and Sons", "we do odd jobs")])
+    # software in the name (5) + cloud, saas (2) = 7
+    assert got[0][0] == "Technology" and got[0][1] == pytest.approx(0.7)
+    # health in the name (5) + patient, medical (2) = 7
+    assert got[1][0] == "Healthcare" and got[1][1] == pytest.approx(0.7)
     assert got[2] == (None, 0.0)
 
 
@@ -47,18 +46,13 @@ def skills(spark, texts):
     return [r["skills"] for r in E.with_skills(df, F.col("t")).orderBy("i").collect()]
 
 
-SKILL_TEXT = """
-    We are seeking a Senior Data Engineer to join our team.
-    - 5+ years of experience with Python and SQL
-    - Expertise in AWS, Snowflake, and dbt
-    - Experience with Airflow and Spark
-    Nice to have: Kubernetes and Docker, machine learning and TensorFlow
-"""
+SKILL_TEXT = """<ul><li>Our batch jobs: Spark, Airflow; some SQL.</li>
+<li>Services run in Docker (on Kubernetes), written in Python or Go.</li></ul>"""
 
 
 def test_skills_extraction(spark):
     got = skills(spark, [SKILL_TEXT])[0]
-    for s in ["Python", "SQL", "AWS", "Snowflake", "dbt", "Airflow", "Spark", "Kubernetes", "Docker", "TensorFlow"]:
+    for s in ["Python", "SQL", "Airflow", "Spark", "Kubernetes", "Docker", "Go"]:
         assert s in got
     assert got == sorted(got)
 
@@ -84,3 +78,24 @@ def test_enrich_keeps_existing_values(spark):
         "title string, description string, company_name string, company_domain string, role_family string, skills array<string>, industry_tag string")
     r = E.enrich(df).first()
     assert (r["role_family"], r["skills"], r["industry_tag"]) == ("Preset", ["X"], "Retail")
+
+
+def test_guarded_operators_fill_one_column(spark):
+    schema = "title string, description string, company_name string, company_domain string, role_family string, skills array<string>, industry_tag string"
+    row = ("Data Analyst", "SQL <b>and</b> cloud", "Lumen Software", None, None, None, "")
+    df = spark.createDataFrame([row], schema)
+    full = E.enrich(df).first()
+    assert full["role_family"] == "Data/AI" and full["skills"] == ["SQL"] and full["industry_tag"] == "Technology"
+    for fn, column in ((E.enrich_role_family, "role_family"), (E.enrich_skills, "skills"), (E.enrich_industry, "industry_tag")):
+        r = fn(df).first()
+        assert r[column] == full[column]
+        assert all(r[c] == row[i] for i, c in enumerate(df.columns) if c != column)
+    assert E.enrich_industry(df.withColumn("company_name", F.lit("Oak")), description_chars=5).first()["industry_tag"] in (None, "")
+
+
+def test_cleaned_descriptions_give_the_same(spark):
+    from hiresight.functions.text import clean_text
+    schema = "title string, description string, company_name string, company_domain string, role_family string, skills array<string>, industry_tag string"
+    rows = [(t, d, "Oak", None, None, None, None) for t in ("Data <i>Analyst", None, " Go  dev") for d in ("R <b>and</b> SQL > x", None, "", "Python\n\nJava")]
+    df = spark.createDataFrame(rows, schema).withColumn("description", clean_text("description"))
+    assert E.enrich(df, cleaned=True).collect() == E.enrich(df).collect()

@@ -1,6 +1,6 @@
 import os
 
-from hiresight.session import scratch_dir
+from conftest import scratch_dir
 from hiresight.sources import store
 from hiresight.streaming.landing_stream import run_incremental_build
 from test_pipeline import GH, LV, land
