@@ -32,7 +32,8 @@ _LENGTHS = tuple(range(2, 11))
 class Limits:
     """Largest allowed shares of a text's word characters (lines: of its lines,
     one repeated line beyond that is allowed, and of its characters). Word
-    n-grams count every occurrence of a duplicate."""
+    n-grams count every occurrence of a duplicate; a top n-gram occurs three
+    times or more."""
 
     top_ngram: dict[int, float] = field(default_factory=lambda: {2: 0.20, 3: 0.18, 4: 0.16})
     duplicate_ngram: dict[int, float] = field(default_factory=lambda: {5: 0.30, 6: 0.28, 7: 0.26, 8: 0.24, 9: 0.22, 10: 0.20})
@@ -101,8 +102,9 @@ def measure(texts: list[bytes | None]) -> dict[str, np.ndarray]:
         order, start, size = _runs(keys)
         twice = size > 1
         if n in (2, 3, 4):
-            top, first = np.zeros(w.n, np.int64), at[order[start[twice]]]
-            np.maximum.at(top, doc[first], size[twice] * (total[first + n] - total[first]))
+            often = size > 2  # twice is no frequent n-gram, however short the text
+            top, first = np.zeros(w.n, np.int64), at[order[start[often]]]
+            np.maximum.at(top, doc[first], size[often] * (total[first + n] - total[first]))
             out[f"top{n}_chars"] = np.minimum(top, out["word_chars"])
         dup = np.sort(at[order[np.repeat(twice, size)]])
         if n == 3 or n >= 5:

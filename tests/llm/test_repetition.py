@@ -22,7 +22,7 @@ def brute(text):
         if n == 3:
             out["n_repeat_words"] = len(inside)
         if n < 5:
-            out[f"top{n}_chars"] = min(out["word_chars"], max([v * sum(map(len, g)) for g, v in c.items() if v > 1], default=0))
+            out[f"top{n}_chars"] = min(out["word_chars"], max([v * sum(map(len, g)) for g, v in c.items() if v > 2], default=0))
         else:
             out[f"dup{n}_chars"] = sum(len(w[i]) for i in inside)
     return out
