@@ -156,59 +156,63 @@ def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rates:
-    """The steps of the fit; ``column`` folds them into a document's rate."""
+    """The steps of the fit, each with a weight per domain and its momentum;
+    ``column`` folds them into a document's rate."""
 
     steps: list[list[float]]
     low: float
     high: float
     reached: list[float]  # domain token totals at these rates
 
-    def column(self, q: Column) -> Column:
-        if not self.steps:
-            return F.lit(float(max(1.0, self.low)))
-        history = F.array(*(F.array(*map(F.lit, s)) for s in self.steps))
+    def fold(self, q: Column) -> Column:
+        """Struct (r, y): the rate, and the point at which the next step starts."""
         start = F.lit(float(max(1.0, self.low)))
+        if not self.steps:
+            return F.struct(start.alias("r"), start.alias("y"))
+        k = len(self.steps[0]) - 1
 
-        def step(r: Column, s: Column) -> Column:
-            dot = sum((q[k] * s[k] for k in range(1, len(self.reached))), q[0] * s[0])
-            return F.greatest(F.lit(self.low), F.least(F.lit(self.high), r - dot / float(GRID)))
+        def step(at: Column, s: Column) -> Column:
+            dot = sum((q[i] * s[i] for i in range(1, k)), q[0] * s[0])
+            r = F.greatest(F.lit(float(self.low)), F.least(F.lit(float(self.high)), at["y"] - dot / float(GRID)))
+            return F.struct(r.alias("r"), (r + s[k] * (r - at["r"])).alias("y"))
 
-        return F.aggregate(history, start, step)
+        history = F.array(*(F.array(*map(F.lit, s)) for s in self.steps))
+        return F.aggregate(history, F.struct(start.alias("r"), start.alias("y")), step)
+
+    def column(self, q: Column) -> Column:
+        return self.fold(q)["r"]
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float], total: float | None = None, low: float = 0.0, high: float = 10.0, steps: int = 40, tolerance: float = 1e-4) -> Rates:
     """Rates in [low, high] whose expected domain token totals come closest to
-    ``total`` times the (normalised) targets. ``total`` None: the tokens there
-    are, or more where no rate may fall below ``low``."""
+    ``total`` times the (normalised) targets, by accelerated projected
+    gradient. ``total`` None: the tokens there are, or more where no rate may
+    fall below ``low``."""
     share = np.array([targets[d] for d in targets], float)
     share /= share.sum()
     k = len(share)
     sums = checkpointed(members.groupBy("q").agg(F.sum("tokens").cast("double").alias("t")))
-
     p = [F.col("q")[i] / float(GRID) for i in range(k)]
 
-    def total_of(values: list[Column]) -> np.ndarray:
-        return np.array([x or 0.0 for x in sums.agg(*(F.sum(F.col("t") * v) for v in values)).first()], float)
-
-    def totals(rate: Column) -> np.ndarray:
-        return total_of([rate * x for x in p])
+    def total_of(rows: DataFrame, values: list[Column]) -> np.ndarray:
+        return np.array([x or 0.0 for x in rows.agg(*(F.sum(F.col("t") * v) for v in values)).first()], float)
 
-    now = totals(Rates([], low, high, [0.0] * k).column(F.col("q")))
+    now = total_of(sums, p) * max(1.0, low)
     # the squares are measured in the metric of the domains' overlaps, in which a step of length 1 is stable
-    overlap = total_of([x * y for x in p for y in p]).reshape(k, k)
+    overlap = total_of(sums, [x * y for x in p for y in p]).reshape(k, k)
     metric = np.linalg.pinv(overlap + 1e-9 * max(now.sum(), 1.0) * np.eye(k))
     if now.sum() <= 0:
         return Rates([], low, high, [0.0] * k)
     if total is None:
         natural = now / max(1.0, low)
         total = max(natural.sum(), low * max((n / s for n, s in zip(natural, share, strict=True) if s > 0), default=0))
-    aim, history = total * share, []
-    for _ in range(steps):
-        miss = now - aim
-        if np.abs(miss).max() <= tolerance * total:
+    aim, history, ahead = total * share, [], now
+    for i in range(steps):
+        if np.abs(now - aim).max() <= tolerance * total:
             break
-        history.append((metric @ miss).tolist())
-        now = totals(Rates(history, low, high, [0.0] * k).column(F.col("q")))
+        history.append([*(metric @ (ahead - aim)).tolist(), i / (i + 3.0)])
+        rows = sums.select("q", "t", Rates(history, low, high, []).fold(F.col("q")).alias("at"))
+        now, ahead = total_of(rows, [F.col("at")[x] * y for x in ("r", "y") for y in p]).reshape(2, k)
     return Rates(history, low, high, now.tolist())
 
 

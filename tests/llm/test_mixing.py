@@ -56,7 +56,7 @@ def test_projection_matches_direct_solver(spark):
     # no feasible direction improves: at every rate strictly inside, the residual is orthogonal
     grad = p @ np.linalg.solve((t[:, None] * p).T @ p, reached - aim)
     inside = (np.array(got) > 0.5 + 1e-9) & (np.array(got) < 3 - 1e-9)
-    assert np.abs(grad[inside]).max(initial=0) < 1e-2
+    assert np.abs(grad[inside]).max(initial=0) < 5e-3
     assert (grad[np.array(got) <= 0.5 + 1e-9] > -1e-2).all() and (grad[np.array(got) >= 3 - 1e-9] < 1e-2).all()
 
 
@@ -67,8 +67,15 @@ def test_floor_of_one_and_mix(spark):
     assert mixed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     out = mx.rate_documents(docs, labels, TARGETS, low=1.0, high=20.0).toPandas()
     assert mixed.count() == out.copies.sum() and (out.rate >= 1).all()
-    t = [(out.tokens * out.rate * out[f"p_{d}"]).sum() for d in TARGETS]
-    assert np.allclose(np.array(t) / sum(t), list(TARGETS.values()), atol=5e-3)
+    # the same least squares, solved to the end by plain projected steps
+    t, p = out.tokens.to_numpy(float), out[["p_a", "p_b", "p_c"]].to_numpy()
+    natural, share = t @ p, np.array(list(TARGETS.values()))
+    aim, rate = (natural / share).max() * share, np.ones(len(t))
+    metric = np.linalg.inv((t[:, None] * p).T @ p)
+    for _ in range(20_000):
+        rate = np.clip(rate - p @ (metric @ ((t * rate) @ p - aim)), 1, 20)
+    loss = [(m := (t * r) @ p - aim) @ metric @ m for r in (out.rate.to_numpy(), rate, np.ones(len(t)))]
+    assert loss[0] - loss[1] < 1e-3 * (loss[2] - loss[1])
 
 
 def test_without_rows_or_labels(spark):
