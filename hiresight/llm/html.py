@@ -17,9 +17,10 @@
    footers, sidebars, notices, adverts, forms, scripts, styles and comments.
 
 Defined results: null and empty html give the empty text; pages without a URL
-share the empty host; text in unclosed or misnested elements is kept; elements
-nested deeper than ``DEPTH`` are read as content of that level; repeated rows
-give equal rows; extra columns are ignored; an empty table gives an empty
+share the empty host; text in unclosed or misnested elements is kept; in
+wrappers, elements nested deeper than ``DEPTH`` are read as content of that level,
+but for article and main elements, and boilerplate, which is left out; repeated
+rows give equal rows; extra columns are ignored; an empty table gives an empty
 result.
 """
 
@@ -134,7 +135,7 @@ def events(html: str) -> Iterator[tuple[int, str]]:
                 if stack[k] in _SCOPE:
                     break
         attributes = m[3] if m[2] else m[6]
-        if tag in _VOID or len(stack) >= DEPTH:
+        if tag in _VOID:
             yield 2, tag
             continue
         if tag in _RAW:
@@ -152,6 +153,35 @@ def events(html: str) -> Iterator[tuple[int, str]]:
         yield -1, ""
 
 
+def _below(path: str, depth: int, label: str, deep: frozenset[str]) -> tuple[str, frozenset[str]]:
+    """Path of an element that opens below ``depth`` others. Paths end at ``DEPTH``
+    elements, but for the first article and main element further below (``deep``)."""
+    if depth < DEPTH:
+        return f"{path}/{label}", deep
+    kind = _place(label)
+    return (f"{path}/{label}", deep | {kind}) if kind and kind not in deep else (path, deep)
+
+
+def outline(html: str) -> Iterator[tuple[int, str]]:
+    """``events`` with at most ``DEPTH`` + 2 open elements, as paths have them:
+    deeper elements give their content to their parent, deep boilerplate is left out."""
+    stack: list[tuple[bool, bool, bool, frozenset[str]]] = [(True, False, False, frozenset())]  # shown, dropped, inside an article, deep
+    for kind, value in events(html):
+        _, drop, article, deep = stack[-1]
+        if kind == 1:
+            depth = len(stack) - 1
+            path, now = _below("", depth, value, deep)
+            drop = drop or depth >= DEPTH and _boiler(value, article)
+            stack.append((path != "" and not drop, drop, article or _place(value) == "article", now))
+            if stack[-1][0]:
+                yield kind, value
+        elif kind == -1:
+            if stack.pop()[0]:
+                yield kind, value
+        elif not drop:
+            yield kind, value
+
+
 # -- wrappers ------------------------------------------------------------
 # A wrapper node is (label, optional, repeated, children); "#" is a text slot,
 # "()" a group of several elements. Nodes are interned, merges are remembered.
@@ -255,7 +285,7 @@ class Grammar:
         """The form of one page."""
         slot = self.node("#")
         stack: list[tuple[str, list[int]]] = [("", [])]
-        for kind, value in events(html):
+        for kind, value in outline(html):
             if kind == 1:
                 stack.append((value, []))
             elif kind == -1:
@@ -330,7 +360,7 @@ def masses(html: str) -> dict[str, int]:
     """Characters of text directly in each element, by path."""
     out: dict[str, int] = {}
     path = [""]
-    for kind, value in events(html):
+    for kind, value in outline(html):
         if kind == 1:
             path.append(f"{path[-1]}/{value}")
         elif kind == -1:
@@ -344,8 +374,8 @@ def main_text(html: str, where: frozenset[str]) -> str:
     """The blocks of text below the given paths, boilerplate left out."""
     blocks: list[str] = []
     words: list[str] = []
-    # of each open element: path, inside the place, dropped, inside an article, block
-    stack = [("", "" in where, False, False, False)]
+    # of each open element: path, inside the place, dropped, inside an article, block, deep places
+    stack = [("", "" in where, False, False, False, frozenset())]
 
     def flush() -> None:
         if words:
@@ -355,7 +385,7 @@ def main_text(html: str, where: frozenset[str]) -> str:
             words.clear()
 
     for kind, value in events(html):
-        path, inside, drop, article, _ = stack[-1]
+        path, inside, drop, article, _, deep = stack[-1]
         if kind == 0:
             if inside and not drop:
                 words.append(value)
@@ -365,8 +395,8 @@ def main_text(html: str, where: frozenset[str]) -> str:
             if block:
                 flush()
             drop = drop or _boiler(value, article)
-            path = f"{path}/{value}"
-            stack.append((path, inside or path in where, drop, article or _place(value) == "article", block))
+            path, deep = _below(path, len(stack) - 1, value, deep)
+            stack.append((path, inside or path in where, drop, article or _place(value) == "article", block, deep))
         elif kind == -1:
             if stack.pop()[4]:
                 flush()

@@ -76,3 +76,13 @@ def test_operator(spark, monkeypatch):
     assert len(wrappers) == len({w["host"] for w in wrappers}) == len({f"h{i % 7}" for i in range(0, 300, 3)}) + 2
     assert sum(w["pages"] for w in wrappers) == len(rows)
     assert ht.extract(df.limit(0)).count() == 0
+
+
+def test_deep_nesting():
+    def deep(inside, n):
+        return "<div>" * n + inside + "</div>" * n
+
+    for n in (30, 57, 58, 59, 70, 3_000):
+        inner = deep("<p>in</p><script>var x = 1;</script><nav>menu</nav><div class='comments'>reader</div>", n)
+        assert text_of(f"<body><div><article>{inner}<p>rest</p></article></div><footer>f</footer></body>") == "in\nrest"
+        assert text_of(f"<body><div>links</div>{deep('<div>side</div><article><p>in</p><p>rest</p></article>', n)}</body>") == "in\nrest"
