@@ -45,7 +45,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|</?[a-zA-Z][^>]*+\Z|([^<]++)|(<)", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _SPACE = re.compile(r"\s+")
-_LETTERS = re.compile(r"[a-z]+")
+_NO_WORD = re.compile(r"[^a-z_-]+")
 
 # Fixed values of HTML: elements without content, raw text, block elements, and
 # start tags that end an open element.
@@ -61,10 +61,12 @@ _SCOPE = frozenset("ul ol dl table select article section div body html".split()
 _BOILER = frozenset("aside button dialog footer form head iframe input menu nav noscript script select style svg template textarea title".split())
 _BOILER_WORDS = frozenset("ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus dropdown footer gdpr hidden legal login menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promotion recommended related replies reply search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split())
 _HEADER_WORDS = frozenset("header masthead topbar".split())
+# Elements that no class word makes boilerplate.
+_NEVER = frozenset("body html".split())
 
 
 def _label(tag: str, attributes: str) -> str:
-    """The tag and the words of its class, id and role, without digits."""
+    """The tag and the whole words of its class, id and role, without digits."""
     if not attributes or "=" not in attributes and "hidden" not in attributes:
         return tag
     words: set[str] = set()
@@ -72,7 +74,7 @@ def _label(tag: str, attributes: str) -> str:
         name = m[1].lower()
         value = m[2] or m[3] or m[4] or ""
         if name in ("class", "id", "role"):
-            words.update(_LETTERS.findall(value.lower()))
+            words.update(w for w in (_NO_WORD.sub("", x).strip("-_") for x in value.lower().split()) if w)
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
             words.add("hidden")
     return ".".join([tag, *sorted(words)]) if words else tag
@@ -80,7 +82,7 @@ def _label(tag: str, attributes: str) -> str:
 
 def _boiler(label: str, in_article: bool) -> bool:
     tag, *words = label.split(".")
-    if tag in _BOILER or not _BOILER_WORDS.isdisjoint(words):
+    if tag in _BOILER or tag not in _NEVER and not _BOILER_WORDS.isdisjoint(words):
         return True
     return not in_article and tag not in ("body", "html") and (tag == "header" or not _HEADER_WORDS.isdisjoint(words))
 
@@ -324,11 +326,13 @@ def regex(tree: list) -> str:
 
 def places(tree: list, mass: dict[str, int] | None = None) -> frozenset[str]:
     """Paths of the elements that hold the main text: article elements, else main
-    elements, else the deepest container of most text by ``mass``."""
+    elements, else the deepest container of most text by ``mass``. Elements that
+    class words call boilerplate count only where there is nothing else: then the
+    words do not hide article and main elements, nor text."""
     found: dict[str, set[str]] = {"article": set(), "main": set()}
     holders: dict[str, int] = {}
 
-    def walk(node: list, path: str, article: bool) -> None:
+    def walk(node: list, path: str, article: bool, words: bool = True) -> None:
         label = node[0]
         if label == "#":
             for k in range(path.count("/") + 1) if mass and path in mass else ():
@@ -336,7 +340,7 @@ def places(tree: list, mass: dict[str, int] | None = None) -> frozenset[str]:
                 holders[up] = holders.get(up, 0) + mass[path]
             return
         if label not in ("", "()"):
-            if _boiler(label, article):
+            if _boiler(label, article) if words else label.partition(".")[0] in _BOILER:
                 return
             path = f"{path}/{label}"
             kind = _place(label)
@@ -344,9 +348,14 @@ def places(tree: list, mass: dict[str, int] | None = None) -> frozenset[str]:
                 found[kind].add(path)
                 article = article or kind == "article"
         for c in node[3]:
-            walk(c, path, article)
+            walk(c, path, article, words)
 
     walk(tree, "", False)
+    if not found["article"] and not found["main"]:
+        clear = dict(holders)
+        holders.clear()
+        walk(tree, "", False, False)
+        holders = clear or holders
     if found["article"] or found["main"]:
         return frozenset(found["article"] or found["main"])
     if not holders:
@@ -374,6 +383,8 @@ def main_text(html: str, where: frozenset[str]) -> str:
     """The blocks of text below the given paths, boilerplate left out."""
     blocks: list[str] = []
     words: list[str] = []
+    # class words do not drop the places and their ancestors
+    opened = {"/".join(p.split("/")[: k + 1]) for p in where for k in range(p.count("/") + 1)}
     # of each open element: path, inside the place, dropped, inside an article, block, deep places
     stack = [("", "" in where, False, False, False, frozenset())]
 
@@ -394,8 +405,9 @@ def main_text(html: str, where: frozenset[str]) -> str:
             block = tag in _BLOCK
             if block:
                 flush()
-            drop = drop or _boiler(value, article)
+            above = path
             path, deep = _below(path, len(stack) - 1, value, deep)
+            drop = drop or _boiler(value, article) and (path == above or path not in opened or tag in _BOILER)
             stack.append((path, inside or path in where, drop, article or _place(value) == "article", block, deep))
         elif kind == -1:
             if stack.pop()[4]:

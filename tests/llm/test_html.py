@@ -86,3 +86,16 @@ def test_deep_nesting():
         inner = deep("<p>in</p><script>var x = 1;</script><nav>menu</nav><div class='comments'>reader</div>", n)
         assert text_of(f"<body><div><article>{inner}<p>rest</p></article></div><footer>f</footer></body>") == "in\nrest"
         assert text_of(f"<body><div>links</div>{deep('<div>side</div><article><p>in</p><p>rest</p></article>', n)}</body>") == "in\nrest"
+
+
+def test_class_words_do_not_hide_the_main_text():
+    for page in ("<body class='no-sidebar'><div class='sidebar'>s</div><article>text</article></body>",
+                 "<body class='search-enabled'><p>text</p></body>", "<body class='search'><p>text</p></body>",
+                 "<body><article class='post has-comments'>text</article></body>",
+                 "<body><article class='recommended'>text</article><div class='comments'>c</div></body>",
+                 "<body><main id='content-with-sidebar'>text</main></body>", "<body><main class='search'>text</main></body>",
+                 "<body><div class='widget'><div><main>text<div class='ad'>a</div></main></div></div></body>",
+                 "<body><div class='page social'><article>text</article></div><nav>n</nav></body>",
+                 "<body><div class='alert'>text</div></body>"):
+        assert text_of(page) == "text", page
+    assert text_of("<body><article class='comment'>reader</article><article>text</article></body>") == "text"
