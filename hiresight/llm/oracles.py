@@ -73,4 +73,18 @@ SELECT d.doc_id, least(d.doc_id, coalesce(least_of.b, d.doc_id)) AS class_id, co
 FROM d LEFT JOIN least_of ON least_of.a = d.doc_id LEFT JOIN many ON many.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
 
 
-LLM_ORACLES = {"op3_repetition": repetition(), "op7_decontaminate": contamination(), "op10_jaccard_join": jaccard()}
+def line_dedup() -> str:
+    white = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+l AS (SELECT r, doc_id, unnest(w) AS line, generate_subscripts(w, 1) AS i FROM t),
+k AS (SELECT *, {_LOWER.format(f"trim(line, {white})")} AS key FROM l),
+often AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), 'none')) >= 10),
+m AS (SELECT k.*, often.key IS NOT NULL AS gone FROM k LEFT JOIN often ON often.key = k.key)
+SELECT first(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r"""
+
+
+LLM_ORACLES = {"op3_repetition": repetition(), "op7_decontaminate": contamination(), "op10_jaccard_join": jaccard(),
+               "op13_line_dedup": line_dedup()}

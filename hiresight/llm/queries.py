@@ -3,9 +3,9 @@ SQL can express). Each query applies its operator to its whole table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, html, jaccard_join, language_model, licenses, mixing, pii, repetition, sharding, toxicity
+from . import decontaminate, html, jaccard_join, language_model, licenses, line_dedup, mixing, pii, repetition, sharding, toxicity
 from .oracles import LLM_ORACLES
 from .tables import table
 
@@ -58,6 +58,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs, min_docs=10)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 LLM_QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_html": op2_html,
@@ -69,4 +75,5 @@ LLM_QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_line_dedup": op13_line_dedup,
 }
