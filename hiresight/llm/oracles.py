@@ -73,6 +73,36 @@ SELECT d.doc_id, least(d.doc_id, coalesce(least_of.b, d.doc_id)) AS class_id, co
 FROM d LEFT JOIN least_of ON least_of.a = d.doc_id LEFT JOIN many ON many.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
 
 
+def divergence() -> str:
+    def share(count: str, total: str) -> str:
+        return f"1 + (1000000000::HUGEINT * ({count} + 2)) // ({total} + 2 * v)"
+
+    def f(p: str, q: str) -> str:
+        return f"({p} - {q}) * ({p} - {q}) // ({p} + {q})"
+
+    words = rf"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {words} AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+cnt AS (SELECT lang, source, term, count(*) AS c FROM o SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+vs AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+n AS (SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN cnt USING (lang, source) GROUP BY g.lang, g.source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, {share("coalesce(c, 0)", "n.n")} AS p
+  FROM g JOIN kept k ON k.lang = g.lang JOIN vs ON vs.lang = g.lang JOIN n ON n.lang = g.lang AND n.source = g.source
+  LEFT JOIN cnt ON cnt.lang = g.lang AND cnt.source = g.source AND cnt.term = k.term),
+ln AS (SELECT lang, sum(n) AS n FROM n GROUP BY lang),
+q AS (SELECT lang, term, {share("sum(c)", "any_value(ln.n)")} AS q FROM cnt JOIN ln USING (lang) JOIN vs USING (lang) GROUP BY lang, term, v),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum({f("a.p", "b.p")}) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+part AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN pair ON pair.lang = x.lang AND pair.source = x.source AND pair.item = y.source
+  UNION ALL SELECT p.lang, p.source, 'term', p.term, ({f("p.p", "q.q")})::BIGINT FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE c > 0 AND p.p > q.q)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM part)
+WHERE part = 'pair' OR rank <= 10"""
+
+
 def line_dedup() -> str:
     white = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
     return f"""
@@ -87,4 +117,4 @@ FROM m GROUP BY r"""
 
 
 LLM_ORACLES = {"op3_repetition": repetition(), "op7_decontaminate": contamination(), "op10_jaccard_join": jaccard(),
-               "op13_line_dedup": line_dedup()}
+               "op11_divergence": divergence(), "op13_line_dedup": line_dedup()}

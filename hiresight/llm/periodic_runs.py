@@ -64,12 +64,6 @@ class _Grams:
         return tx.mix((self.sum[place + n] - self.sum[place]) * self.inverse[place])
 
 
-def _ragged(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All places start[i] .. start[i] + length[i], and the i of each."""
-    of = np.repeat(np.arange(len(start)), length)
-    return np.arange(len(of)) - np.repeat(np.cumsum(length) - length, length) + start[of], of
-
-
 def _grams_wanted(lo: int, hi: int, least: int) -> tuple[int, int]:
     """(step, gram): a match that can emit at a lag in lo..hi-1 holds a whole
     gram at a multiple of step."""
@@ -96,7 +90,7 @@ def _candidates(grams: _Grams, first: np.ndarray, last: np.ndarray, live: np.nda
     rank, place = rank[anchor], place[anchor]
     low = np.searchsorted(key, rank * (len(first) + 1) + np.maximum(place - hi + 1, first[place]))
     high = np.searchsorted(key, rank * (len(first) + 1) + place - lo, side="right")
-    earlier, of = _ragged(low, np.maximum(high - low, 0))
+    earlier, of = tx.ragged(low, np.maximum(high - low, 0))
     lag = place[of] - key[earlier] % (len(first) + 1)
     at = place[of]
     fresh = reach[at - lag] < at + n
@@ -117,7 +111,7 @@ def _extend(words: np.ndarray, first: np.ndarray, last: np.ndarray, lag: np.ndar
     for x, y in zip(np.r_[0, cut], np.r_[cut, len(q)], strict=True):
         if y <= x:
             continue
-        cell, of = _ragged(lo[x:y], hi[x:y] - lo[x:y])
+        cell, of = tx.ragged(lo[x:y], hi[x:y] - lo[x:y])
         of += x
         same = words[cell] == words[cell - q[of]]
         edge = np.r_[True, of[1:] != of[:-1]]
@@ -150,7 +144,7 @@ def find(words: np.ndarray, ptr: np.ndarray, least: int = 12) -> tuple[np.ndarra
     words = words[ptr[0] : ptr[-1]]
     chosen = _may_repeat(_Grams(words), first, last, text, least) if len(words) else np.zeros(0, np.int64)
     # from here on only the chosen texts, side by side
-    at, _ = _ragged((ptr[:-1] - ptr[0])[chosen], count[chosen])
+    at, _ = tx.ragged((ptr[:-1] - ptr[0])[chosen], count[chosen])
     n, words = count[chosen], words[at]
     bound = np.r_[0, np.cumsum(n)]
     text = np.repeat(chosen, n)

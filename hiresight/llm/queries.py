@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, html, jaccard_join, language_model, licenses, line_dedup, mixing, periodic_runs, pii, repetition, sharding, toxicity
+from . import decontaminate, divergence, html, jaccard_join, language_model, licenses, line_dedup, mixing, periodic_runs, pii, repetition, sharding, toxicity
 from .oracles import LLM_ORACLES
 from .tables import table
 
@@ -58,6 +58,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.plant_periods(table(spark, sf_dir, "documents"))))
 
@@ -79,6 +83,7 @@ LLM_QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_divergence": op11_divergence,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_line_dedup": op13_line_dedup,
 }

@@ -135,6 +135,20 @@ def chunks(texts: list[bytes | None], limit: int = 4 << 20) -> Iterator[tuple[in
         yield lo, len(texts)
 
 
+def ragged(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places start[i] .. start[i] + length[i], and the i of each."""
+    of = np.repeat(np.arange(len(start)), length)
+    return np.arange(len(of)) - np.repeat(np.cumsum(length) - length, length) + start[of], of
+
+
+def strings(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The strings ``raw[start[i]:end[i]]`` of a UTF-8 buffer."""
+    at, _ = ragged(start, end - start)
+    offsets = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=offsets[1:])
+    return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(raw[at])).cast(pa.string())
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """A string column of an Arrow batch as UTF-8 bytes, nulls as None."""
     return column.cast(pa.large_binary()).to_pylist()

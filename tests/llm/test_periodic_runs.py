@@ -157,5 +157,5 @@ def test_query_on_the_generated_table(spark):
 
 
 def test_ragged():
-    at, of = pr._ragged(np.array([5, 9, 0]), np.array([2, 0, 3]))
+    at, of = tx.ragged(np.array([5, 9, 0]), np.array([2, 0, 3]))
     assert at.tolist() == [5, 6, 0, 1, 2] and of.tolist() == [0, 0, 2, 2, 2]
