@@ -6,8 +6,10 @@ Two layers:
   ``extract_postal_code``) for ad-hoc use;
 * ``with_location(df, col)``, the DataFrame form used by the pipeline. It
   computes the stripped text and the state once, as their own columns, and
-  derives city / ZIP / flags from those columns in a following projection, so
-  no regex is evaluated twice per row.
+  yields all parsed fields from them as one struct per row through ``inline``.
+  A generator's output is no expression that the optimizer could copy into a
+  filter or a later projection, so however often the fields are used, every
+  row is parsed once and predicates on them stay small.
 
 Long keyword lists (51 state names) are matched with one higher-order
 ``filter`` over a literal array instead of 51 unrolled branches, which keeps
@@ -118,15 +120,14 @@ def with_location(df: DataFrame, col: str, strict: bool = True, prefix: str = ""
     is_us = F.when(empty, False).when(has_state, True).when(phrase, True).otherwise(fallback_us)
     conf = (F.when(empty, 0.0).when(has_state, CONF_STATE).when(phrase, CONF_US_PHRASE)
             .otherwise(0.0 if strict else CONF_LENIENT))
-    s3 = s2.select(
-        "*",
+    s3 = s2.select("*", F.inline(F.array(F.struct(
         F.when(has_state, extract_city(t, st)).alias(prefix + "city"),
         st.alias(prefix + "state"),
         F.when(has_state, extract_postal_code(t)).alias(prefix + "postal_code"),
         F.when(empty, False).otherwise(is_remote(t)).alias(prefix + "is_remote"),
         is_us.alias(prefix + "is_us"),
         conf.cast("double").alias(prefix + "confidence"),
-    )
+    ))))
     return s3.drop("__loc_t", "__loc_empty", "__loc_st")
 
 

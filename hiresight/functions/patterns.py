@@ -28,6 +28,11 @@ DIGIT = r"\p{Nd}"
 
 HTML_TAG = r"<[^>]+>"
 WS_RUN = WS + "+"
+# The same set in two parts: beyond Latin-1 (a range that holds all of it), and
+# within; there, runs that are not one plain space already.
+WIDE_WS = r"[\x{1680}-\x{3000}]"
+_LATIN_WS = r"[\t-\r\x1C-\x20\x{85}\x{A0}]"
+LATIN_WS_TO_MEND = r"[\t-\r\x1C-\x1F\x{85}\x{A0}]" + _LATIN_WS + "*| " + _LATIN_WS + "+"
 EDGE_WS = "^" + WS + "+|" + WS + "+$"
 
 # One token: maximal run of word characters and hyphens, trimmed to start and

@@ -1,9 +1,9 @@
 """Raw board postings -> canonical job rows + reject rows.
 
-One narrow pass: every field mapping is a column expression chosen by
-``source``; location parsing, keys and the reject reason are computed in the
-same projection. Valid rows and rejects are two filters over that result
-(callers that need both should persist it or write both from one job).
+One narrow pass: every source's postings are first drafted (``sources.registry``
+knows the field mappings); location parsing, keys and the reject reason are
+computed from the draft fields. Valid rows and rejects are two filters over
+that result (callers that need both should write both from one staged table).
 """
 
 from __future__ import annotations
@@ -11,15 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..dictionaries import (
-    COUNTRY, GREENHOUSE_DEFAULT_JOB_URL, LEVER_DEFAULT_JOB_URL, REJECT_NOT_US,
-)
+from ..dictionaries import COUNTRY, REJECT_NOT_US
 from ..functions.keys import generate_company_id, generate_job_key
 from ..functions.location import with_location
 from ..functions.text import _col, clean_text
 from ..schemas import CANONICAL_COLUMNS
-
-SOURCES = ("greenhouse", "lever")
+from ..sources.registry import DEFAULT_SOURCES, Sources, shared_drafts
 
 # ISO-8601 date or date-time (what datetime.fromisoformat accepts after 'Z'
 # is turned into an offset). The calendar date is the text's own date.
@@ -53,59 +50,41 @@ def parse_date(c: Column | str) -> Column:
     return F.coalesce(iso, epoch, basic)
 
 
-def _by_source(gh: Column, lv: Column) -> Column:
-    src = F.col("source")
-    return F.when(src == "greenhouse", gh).when(src == "lever", lv)
-
-
-def _nonempty(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
-
-
-def canonicalize(raw: DataFrame, strict_us: bool = True, clean_description: bool = True) -> DataFrame:
+def canonicalize(raw: DataFrame, strict_us: bool = True, clean_description: bool = True,
+                 sources: Sources = DEFAULT_SOURCES) -> DataFrame:
     """Map flattened raw postings to canonical columns plus ``reason``.
 
     Input columns: ``source, company_name, run_date, extracted_at, file_path,
-    pos`` and the raw posting fields. Unknown sources are dropped (neither
-    valid nor rejected). ``reason`` is null for valid rows. ``file_path`` and
-    ``pos`` are kept: they are the first-wins order for deduplication.
+    pos`` and the raw posting fields of ``sources``. Unknown sources are dropped
+    (neither valid nor rejected).
+    """
+    return canonical_rows(shared_drafts(raw, sources), strict_us, clean_description)
+
+
+def canonical_rows(drafts: DataFrame, strict_us: bool = True, clean_description: bool = True) -> DataFrame:
+    """Canonical columns plus ``reason`` of drafted postings. ``reason`` is
+    null for valid rows. ``file_path`` and ``pos`` are kept: they are the
+    first-wins order for deduplication.
 
     ``clean_description=False`` leaves the posting body raw so that a caller
     can clean it later (the build cleans after its dedupe shuffle, where the
     work is evenly spread); apply ``clean_text`` to it before use.
     """
-    rows = raw.where(F.col("source").isin(*SOURCES))
-    job_id = F.col("id")
-    title = F.coalesce(_by_source(F.col("title"), F.col("text")), F.lit(""))
-    body = _by_source(
-        F.coalesce(_nonempty(F.col("content")), F.col("description")),
-        F.coalesce(_nonempty(F.col("description")), F.col("descriptionPlain")),
-    )
-    location_raw = F.coalesce(_by_source(F.col("location.name"), F.col("categories.location")), F.lit(""))
-    staged = rows.select(
-        F.col("source"),
-        job_id.alias("source_job_id"),
-        F.coalesce(
-            _by_source(F.col("absolute_url"), F.col("hostedUrl")),
-            F.concat(_by_source(F.lit(GREENHOUSE_DEFAULT_JOB_URL), F.lit(LEVER_DEFAULT_JOB_URL)), job_id),
-        ).alias("job_url"),
-        F.col("company_name"),
-        title.alias("title"),
-        (clean_text(body) if clean_description else body).alias("description"),
-        _by_source(metadata_value("metadata", "department"), F.col("categories.department")).alias("department"),
-        _by_source(metadata_value("metadata", "employment_type"), F.col("categories.commitment")).alias("employment_type"),
-        location_raw.alias("location_raw"),
-        parse_date(_by_source(F.col("updated_at"), F.col("createdAt"))).alias("date_posted"),
-        F.coalesce(F.try_to_timestamp(F.col("extracted_at")),
-                   F.col("run_date").cast("timestamp")).alias("date_scraped"),
-        F.col("run_date"),
-        F.col("file_path"),
-        F.col("pos"),
+    staged = drafts.select(
+        "source", "source_job_id", "job_url", "company_name",
+        F.coalesce("title", F.lit("")).alias("title"),
+        (clean_text("body") if clean_description else F.col("body")).alias("description"),
+        "department", "employment_type",
+        F.coalesce("location_raw", F.lit("")).alias("location_raw"),
+        parse_date("posted").alias("date_posted"),
+        F.coalesce(F.try_to_timestamp(F.col("extracted_at")), F.col("run_date").cast("timestamp")).alias("date_scraped"),
+        "run_date", "file_path", "pos", "malformed",
     )
     staged = with_location(staged, "location_raw", strict=strict_us, prefix="loc_")
     staged_id = F.col("source_job_id")
     reason = (
-        F.when(staged_id.isNull(), F.lit("Transform error: missing id"))
+        F.when(F.col("malformed"), F.lit("Transform error: malformed posting"))
+        .when(staged_id.isNull(), F.lit("Transform error: missing id"))
         .when(~F.col("loc_is_us"), F.lit(REJECT_NOT_US))
     )
     return staged.select(

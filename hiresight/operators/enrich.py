@@ -1,26 +1,26 @@
 """Dictionary-driven enrichment: role family, skills, industry.
 
 All three are narrow projections: each row is scored against a dictionary
-baked into the plan as a literal array, so there is no join, no shuffle and
-no Python in the hot path.
+baked into the plan, so there is no join, no shuffle and no Python in the hot
+path.
 
 Layout of the plan (``enrich``):
 
-1. one projection computes each cleaned text exactly once as a column
-   (title, description, title+description, lower-cased name and first 1000
-   description characters);
-2. the next projection scores those columns. Each category score is a
-   higher-order ``filter`` over its keyword array (substring semantics), so
-   the generated code stays small however long the dictionaries are; the
-   winner is the first category holding the maximum, via ``array_position``.
+1. one pass over each text finds the dictionary keywords that can be in it, and
+   only these are searched (``functions.keyword_scan``). The finds are yielded as one struct through
+   ``inline``, so no later projection or filter can make the scan run again;
+2. category scores count the finds by category. They are materialised as
+   integer columns before the pick, because the pick names the score array
+   several times and higher-order functions get no common subexpression
+   elimination. The winner is the first category holding the maximum.
 
-Skills use a cheap substring probe on case-folded text before the
-word-boundary regex, so the regex only runs where the skill can occur.
+Role families and industries count keywords as substrings, skills as whole
+words.
 """
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,17 +30,18 @@ from ..dictionaries import (
     INDUSTRY_DESC_WEIGHT, INDUSTRY_DOMAIN_WEIGHT, INDUSTRY_NAME_WEIGHT,
     ROLE_DESC_WEIGHT, ROLE_FAMILIES, ROLE_TITLE_WEIGHT, SKILLS, Taxonomy, flatten,
 )
-from ..functions.patterns import word_bounded, word_bounded_literal_first
+from ..functions.keyword_scan import count_found, find_keywords, find_words, let
+from ..functions.patterns import word_bounded
 from ..functions.text import _col, clean_text, normalize_whitespace
 
 
-def _kw_array(words) -> Column:
-    return F.array(*[F.lit(w.lower()) for w in words])
+def _lowered(taxonomy: Taxonomy) -> list[str]:
+    return [w.lower() for w in flatten(taxonomy)]
 
 
-def keyword_hits(text: Column, words) -> Column:
-    """Number of keywords contained (as substrings) in ``text``; null -> 0."""
-    return F.coalesce(F.size(F.filter(_kw_array(words), lambda k: text.contains(k))), F.lit(0))
+def with_found(df: DataFrame, found: dict[str, Column]) -> DataFrame:
+    """``df`` and the columns ``found``, computed once per row."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in found.items()]))))
 
 
 def first_best(names: list[str], scores: list[Column]) -> tuple[Column, Column]:
@@ -52,86 +53,52 @@ def first_best(names: list[str], scores: list[Column]) -> tuple[Column, Column]:
     return F.when(best > 0, pick), best
 
 
-def fold_for_probe(text: Column) -> Column:
-    """Lower-case, after mapping the four non-ASCII letters whose
-    case-insensitive match class contains an ASCII letter, so that a
-    case-insensitive regex match of an ASCII skill implies a substring hit."""
-    return F.lower(F.translate(text, "ſKİı", "skii"))
-
-
-WORD_RUN = r"[\p{L}\p{N}_]+"
-
-
-def _runs(literal: str) -> list[str]:
-    return re.findall(r"[^\W]+", literal)
-
-
-def _skill_specs(skills: list[str], case_sensitive: bool) -> Column:
-    """Per skill: name, its word runs, regex, and whether the regex runs on
-    the folded text (ASCII skills, case-insensitive) or the cleaned text.
+#: letters outside ASCII that match an ASCII letter when case is ignored
+_FOLDED, _FOLDS = "ſKİı", "skii"
 
-    For an ASCII skill, a case-insensitive match on the cleaned text is the
-    same as a case-sensitive match of the lower-cased skill on the folded
-    text (folding keeps length and word-character class of every char), and
-    the case-sensitive literal-first regex is much cheaper to search."""
-    specs = []
-    for s in dict.fromkeys(skills):
-        if case_sensitive or s.isascii():
-            lit = s if case_sensitive else s.lower()
-            runs, rx, on_fold = _runs(lit), word_bounded_literal_first(lit), not case_sensitive
-        else:
-            runs, rx, on_fold = [], "(?iu)" + word_bounded(s), False
-        specs.append(F.struct(F.lit(s).alias("skill"),
-                              F.array(*[F.lit(r) for r in runs]).cast("array<string>").alias("runs"),
-                              F.lit(rx).alias("rx"), F.lit(on_fold).alias("on_fold")))
-    return F.array(*specs)
 
+def fold_for_probe(text: Column) -> Column:
+    """Lower-case, after mapping the four non-ASCII letters whose
+    case-insensitive match class contains an ASCII letter: an ASCII skill then
+    occurs in the result where it occurs in the text, case ignored."""
+    odd = (F.octet_length(text) > F.char_length(text)) & text.rlike(f"[{_FOLDED}]")
+    return F.lower(F.when(odd, F.translate(text, _FOLDED, _FOLDS)).otherwise(text))
 
-def skill_runs_present(folded: Column, skills: list[str], case_sensitive: bool = False) -> Column:
-    """Dictionary word runs that occur as tokens of the text: one
-    tokenising pass and a hash intersection."""
-    all_runs = sorted({r for s in dict.fromkeys(skills) for r in _runs(s if case_sensitive else s.lower())})
-    tokens = F.regexp_extract_all(folded, F.lit(WORD_RUN), 0)
-    return F.array_intersect(tokens, F.array(*[F.lit(r) for r in all_runs]).cast("array<string>"))
 
+def _literal(skill: str, case_sensitive: bool) -> str:
+    return skill if case_sensitive else skill.lower()
 
-def skills_from_clean(cleaned: Column, folded: Column, present: Column, skills: list[str],
-                      case_sensitive: bool = False) -> Column:
-    """Sorted distinct skills found as whole words in ``cleaned``
-    (``folded`` = ``fold_for_probe(cleaned)``, or ``cleaned`` when case
-    sensitive; ``present`` = ``skill_runs_present(folded, skills)``).
 
-    Exact prefilter: a whole-word match of a skill implies every maximal
-    word run of the skill (``node`` and ``js`` for ``Node.js``) is a token of
-    the text, so only skills whose runs are all ``present`` are confirmed
-    with the word-bounded regex. Pass ``present`` as a computed column."""
-    specs = _skill_specs(list(dict.fromkeys(skills)), case_sensitive)
+def skills_found(cleaned: Column, skills: list[str], case_sensitive: bool = False) -> Column:
+    """The literals (see ``skills_of``) that are whole words of ``cleaned``."""
+    plain = [s for s in skills if case_sensitive or s.isascii()]
+    found = find_words(cleaned if case_sensitive else fold_for_probe(cleaned), [_literal(s, case_sensitive) for s in plain])
+    others = [s for s in dict.fromkeys(skills) if s not in plain]
+    if others:  # lower-casing may change their length: searched one by one
+        specs = F.array(*[F.struct(F.lit(s.lower()).alias("k"), F.lit("(?iu)" + word_bounded(s)).alias("rx")) for s in others])
+        more = let(cleaned, lambda t: F.transform(F.filter(specs, lambda s: F.rlike(t, s["rx"])), lambda s: s["k"]))
+        found = F.array_union(found, more)
+    return found
 
-    def matches(s):
-        target = F.when(s["on_fold"], folded).otherwise(cleaned)
-        has_runs = F.forall(s["runs"], lambda r: F.array_contains(present, r))
-        return has_runs & F.rlike(target, s["rx"])
 
-    found = F.array_sort(F.transform(F.filter(specs, matches), lambda s: s["skill"]))
-    # No dictionary word in the text: no skill can match. The guard also
-    # references ``present`` outside the lambda, so the optimizer keeps it a
-    # computed column instead of inlining it into the lambda (per skill).
-    return F.when(F.size(present) > 0, found).otherwise(F.array().cast("array<string>"))
+def skills_of(found: Column, skills: list[str], case_sensitive: bool = False) -> Column:
+    """The sorted distinct skills of the literals ``found`` (a column)."""
+    specs = F.array(*[F.struct(F.lit(s).alias("skill"), F.lit(_literal(s, case_sensitive)).alias("k")) for s in dict.fromkeys(skills)])
+    return F.array_sort(F.transform(F.filter(specs, lambda s: F.array_contains(found, s["k"])), lambda s: s["skill"]))
 
 
-def _role_scores(t: Column, d: Column, taxonomy: Taxonomy) -> list[Column]:
-    return [keyword_hits(t, ws) * ROLE_TITLE_WEIGHT + keyword_hits(d, ws) * ROLE_DESC_WEIGHT for _, ws in taxonomy]
+def _role_scores(title: Column, description: Column, taxonomy: Taxonomy) -> list[Column]:
+    """Scores by category from the keywords found in the two texts."""
+    lower = [[w.lower() for w in ws] for _, ws in taxonomy]
+    return [count_found(title, ws) * ROLE_TITLE_WEIGHT + count_found(description, ws) * ROLE_DESC_WEIGHT for ws in lower]
 
 
-def _industry_scores(name: Column, domain: Column | None, desc: Column | None, mapping: Taxonomy) -> list[Column]:
+def _industry_scores(found: dict[str, Column], mapping: Taxonomy) -> list[Column]:
+    weight = {"name": INDUSTRY_NAME_WEIGHT, "domain": INDUSTRY_DOMAIN_WEIGHT, "description": INDUSTRY_DESC_WEIGHT}
     out = []
     for _, ws in mapping:
-        sc = keyword_hits(name, ws) * INDUSTRY_NAME_WEIGHT
-        if domain is not None:
-            sc = sc + keyword_hits(domain, ws) * INDUSTRY_DOMAIN_WEIGHT
-        if desc is not None:
-            sc = sc + keyword_hits(desc, ws) * INDUSTRY_DESC_WEIGHT
-        out.append(sc)
+        parts = [count_found(c, [w.lower() for w in ws]) * weight[k] for k, c in found.items()]
+        out.append(reduce(lambda a, b: a + b, parts))
     return out
 
 
@@ -143,17 +110,21 @@ def _confidence(best: Column) -> Column:
 
 def classify_role_family(title: Column | str, description: Column | str,
                          taxonomy: Taxonomy = ROLE_FAMILIES) -> Column:
-    scores = _role_scores(clean_text(title, True), clean_text(description, True), taxonomy)
-    return first_best([n for n, _ in taxonomy], scores)[0]
+    words, names = _lowered(taxonomy), [n for n, _ in taxonomy]
+    found = F.struct(find_keywords(clean_text(title, True), words).alias("t"), find_keywords(clean_text(description, True), words).alias("d"))
+    return let(found, lambda f: first_best(names, _role_scores(f["t"], f["d"], taxonomy))[0])
 
 
 def extract_skills(text: Column | str, taxonomy: Taxonomy = SKILLS, case_sensitive: bool = False) -> Column:
-    """Column form (convenient, but re-evaluates the cleaning inside the
-    per-skill lambda; use ``with_skills`` / ``enrich`` on large data)."""
-    cleaned = clean_text(text)
-    folded = cleaned if case_sensitive else fold_for_probe(cleaned)
     skills = flatten(taxonomy)
-    return skills_from_clean(cleaned, folded, skill_runs_present(folded, skills, case_sensitive), skills, case_sensitive)
+    found = let(clean_text(text), lambda t: skills_found(t, skills, case_sensitive))
+    return let(found, lambda f: skills_of(f, skills, case_sensitive))
+
+
+def _industry_found(name: Column, domain: Column | None, description: Column | None, mapping: Taxonomy,
+                    description_chars: int) -> dict[str, Column]:
+    texts = {"name": name, "domain": domain, "description": None if description is None else F.substring(description, 1, description_chars)}
+    return {k: find_keywords(F.lower(c), _lowered(mapping)) for k, c in texts.items() if c is not None}
 
 
 def tag_industry(company_name: Column | str, company_domain: Column | str | None,
@@ -162,20 +133,17 @@ def tag_industry(company_name: Column | str, company_domain: Column | str | None
     """Struct (industry_tag, confidence): 5 per keyword in the name, 5 in the
     domain, 1 in the first ``description_chars`` description characters (1000
     is the original's rule)."""
-    name = F.lower(_col(company_name))
-    dom = F.lower(_col(company_domain)) if company_domain is not None else None
-    desc = F.lower(F.substring(_col(description), 1, description_chars)) if description is not None else None
-    tag, best = first_best([n for n, _ in mapping], _industry_scores(name, dom, desc, mapping))
-    return F.struct(tag.alias("industry_tag"), _confidence(best).alias("confidence"))
+    dom, desc = (_col(c) if c is not None else None for c in (company_domain, description))
+    found = _industry_found(_col(company_name), dom, desc, mapping, description_chars)
+
+    def scored(f: Column) -> Column:
+        tag, best = first_best([n for n, _ in mapping], _industry_scores({k: f[k] for k in found}, mapping))
+        return F.struct(tag.alias("industry_tag"), _confidence(best).alias("confidence"))
+
+    return let(F.struct(*[c.alias(k) for k, c in found.items()]), scored)
 
 
 # ------------------------------------------------------------- DataFrame API
-#
-# The DataFrame functions materialise every category score as its own integer
-# column before picking the winner. Higher-order functions get no common
-# subexpression elimination, and the pick references the score array several
-# times (max, position, > 0), so scoring inside the pick expression would run
-# every keyword scan several times per row.
 
 
 def _score_cols(prefix: str, scores: list[Column]) -> list[Column]:
@@ -191,19 +159,26 @@ def with_role_family(df: DataFrame, title: str = "title", description: str = "de
     """``cleaned``: the description already went through ``clean_text``, which
     is idempotent, so only its case is folded here."""
     body = F.coalesce(F.lower(F.col(description)), F.lit("")) if cleaned else clean_text(description, True)
-    staged = df.select("*", clean_text(title, True).alias("__rt"), body.alias("__rd"))
+    words = _lowered(taxonomy)
+    staged = with_found(df, {"__rt": find_keywords(clean_text(title, True), words), "__rd": find_keywords(body, words)})
     scored = staged.select("*", *_score_cols("__rf", _role_scores(F.col("__rt"), F.col("__rd"), taxonomy)))
     name, _ = _pick("__rf", [n for n, _ in taxonomy])
     return scored.select(*[c for c in df.columns if c != out], name.alias(out))
 
 
+def cleaned_title_and_body(title: str, body: str) -> Column:
+    """``clean_text`` of title and body, where the body is cleaned already: only
+    a title with a tag can change it once more."""
+    both = F.concat_ws(" ", title, body)
+    return F.when(F.col(title).contains("<"), clean_text(both)).otherwise(
+        F.trim(F.concat_ws(" ", normalize_whitespace(title), F.col(body))))
+
+
 def with_skills(df: DataFrame, text: Column, out: str = "skills", taxonomy: Taxonomy = SKILLS,
                 cleaned: bool = False) -> DataFrame:
     skills = flatten(taxonomy)
-    staged = (df.withColumn("__sc", text if cleaned else clean_text(text)).withColumn("__sf", fold_for_probe(F.col("__sc")))
-              .withColumn("__sp", skill_runs_present(F.col("__sf"), skills)))
-    found = skills_from_clean(F.col("__sc"), F.col("__sf"), F.col("__sp"), skills)
-    return staged.select(*[c for c in df.columns if c != out], found.alias(out))
+    staged = with_found(df, {"__sf": let(text if cleaned else clean_text(text), lambda t: skills_found(t, skills))})
+    return staged.select(*[c for c in df.columns if c != out], skills_of(F.col("__sf"), skills).alias(out))
 
 
 def with_industry(df: DataFrame, name: str = "company_name", domain: str | None = None,
@@ -211,14 +186,10 @@ def with_industry(df: DataFrame, name: str = "company_name", domain: str | None
                   mapping: Taxonomy = INDUSTRIES, description_chars: int = INDUSTRY_DESC_CHARS) -> DataFrame:
     """Struct ``out`` (industry_tag, confidence); the description counts with
     its first ``description_chars`` characters (1000 is the original's rule)."""
-    cols = [F.lower(F.col(name)).alias("__in")]
-    if domain is not None:
-        cols.append(F.lower(F.col(domain)).alias("__idm"))
-    if description is not None:
-        cols.append(F.lower(F.substring(F.col(description), 1, description_chars)).alias("__idc"))
-    staged = df.select("*", *cols)
-    scores = _industry_scores(F.col("__in"), F.col("__idm") if domain else None,
-                              F.col("__idc") if description else None, mapping)
+    found = _industry_found(F.col(name), F.col(domain) if domain is not None else None,
+                            F.col(description) if description is not None else None, mapping, description_chars)
+    staged = with_found(df, {f"__in_{k}": c for k, c in found.items()})
+    scores = _industry_scores({k: F.col(f"__in_{k}") for k in found}, mapping)
     scored = staged.select("*", *_score_cols("__ind", scores))
     tag, best = _pick("__ind", [n for n, _ in mapping])
     res = F.struct(tag.alias("industry_tag"), _confidence(best).alias("confidence"))
@@ -243,10 +214,7 @@ def enrich_role_family(jobs: DataFrame, taxonomy: Taxonomy = ROLE_FAMILIES, clea
 
 def enrich_skills(jobs: DataFrame, taxonomy: Taxonomy = SKILLS, cleaned: bool = False) -> DataFrame:
     """Fill ``skills`` (of title + description) where they are empty."""
-    both = F.concat_ws(" ", "title", "description")
-    if cleaned:  # only a title with a tag can change what was cleaned already
-        both = F.when(F.col("title").contains("<"), clean_text(both)).otherwise(
-            F.trim(F.concat_ws(" ", normalize_whitespace("title"), F.col("description"))))
+    both = cleaned_title_and_body("title", "description") if cleaned else F.concat_ws(" ", "title", "description")
     scored = with_skills(jobs, both, out="__skills", taxonomy=taxonomy, cleaned=cleaned)
     cur = F.col("skills")
     return _filled(jobs, scored, "skills", F.col("__skills"), cur.isNull() | (F.size(cur) == 0))

@@ -4,26 +4,36 @@ Spark jobs; nothing is collected to the driver except row counts."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedupe, metrics
-from ..sources import landing, store
-from ..operators.canonical import canonicalize, rejects
+from ..operators.canonical import canonical_rows, rejects
+from ..sources import files, landing, store
+from ..sources.registry import DEFAULT_SOURCES, Sources
 from .pipeline import jobs_from_canonical
 
 
-def run_build(spark: SparkSession, raw_root: str, jobs_path: str, rejects_path: str,
-              run_date: str, strict_us: bool = True) -> None:
-    """Landed files of one run -> canonical, deduplicated, enriched history
-    partition (replaced if the run is rebuilt) + rejects."""
-    staged = f"{jobs_path.rstrip('/')}_staged/run_date={run_date}"
-    canon = canonicalize(landing.read_raw_postings(spark, raw_root, run_date), strict_us, clean_description=False)
-    # raw files are parsed once; jobs and rejects are built from the staged rows
-    canon.withColumn("rejected", F.col("reason").isNotNull()).write.mode("overwrite").partitionBy("rejected").parquet(staged)
-    rows = spark.read.schema(canon.withColumn("rejected", F.lit(True)).schema).parquet(staged)
-    store.write_jobs(jobs_from_canonical(rows.where("NOT rejected")), jobs_path, [run_date])
-    store.write_rejects(rejects(rows.where("rejected")), rejects_path, [run_date])
+def run_build(spark: SparkSession, raw_root: str, jobs_path: str, rejects_path: str | None,
+              run_date: str | Sequence[str], strict_us: bool = True, sources: Sources = DEFAULT_SOURCES) -> None:
+    """Landed files of one or several runs -> canonical, deduplicated, enriched
+    history (dates that are rebuilt are replaced) + rejects. Raw files are
+    parsed once: jobs and rejects are built from staged rows, which go again."""
+    dates = [run_date] if isinstance(run_date, str) else list(run_date)
+    staged = f"{jobs_path.rstrip('/')}_staged/{uuid.uuid4()}"
+    canon = canonical_rows(landing.read_drafts(spark, raw_root, dates, sources=sources), strict_us, clean_description=False)
+    canon = canon.withColumn("rejected", F.col("reason").isNotNull())
+    try:
+        canon.write.partitionBy("rejected").parquet(staged)
+        rows = spark.read.schema(canon.schema).parquet(staged)
+        store.write_jobs(jobs_from_canonical(rows.where("NOT rejected")), jobs_path, dates)
+        if rejects_path is not None:
+            store.write_rejects(rejects(rows.where("rejected")), rejects_path, dates)
+    finally:
+        files.delete(spark, staged)
 
 
 def run_metrics(spark: SparkSession, jobs_path: str, out_dir: str, run_date: str) -> list[str]:

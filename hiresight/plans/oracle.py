@@ -134,7 +134,7 @@ l2 AS (SELECT *, CASE WHEN lempty THEN NULL ELSE {state_code('lt')} END AS st,
               {any_contains('lower(lt)', US_PHRASES)} AS phrase FROM l1),
 canon AS (
   SELECT pos, source, source_job_id,
-    CASE WHEN source = 'greenhouse' THEN {gh_url} ELSE {lv_url} END AS job_url,
+    CASE source WHEN 'greenhouse' THEN {gh_url} WHEN 'lever' THEN {lv_url} ELSE 'https://jobs.workday.example/' || source_job_id END AS job_url,
     company_name, {company_id('company_name')} AS company_id, title, {clean('description')} AS description,
     department, employment_type, location_raw,
     CASE WHEN st IS NOT NULL THEN {city('lt', 'st')} END AS city,
@@ -252,6 +252,7 @@ oracle("company_ids", with_(P, f"""SELECT company_name, {company_id('company_nam
 CANON_OUT = ("pos, source, source_job_id, job_url, company_name, company_id, title, description, department, "
              "employment_type, location_raw, city, state, postal_code, is_remote, country, date_posted, run_date, job_key")
 oracle("canonical_jobs", with_(canon_ctes(True), f"SELECT {CANON_OUT} FROM canon_r WHERE reason IS NULL"))
+oracle("canonical_with_third_source", with_(canon_ctes(True, known=False), f"SELECT {CANON_OUT} FROM canon_r WHERE reason IS NULL"))
 oracle("us_filter_valid", with_(canon_ctes(True), "SELECT pos, job_key, state, city, is_remote FROM canon_r WHERE reason IS NULL"))
 oracle("us_filter_lenient", with_(canon_ctes(False), "SELECT pos, job_key, state, city, is_remote FROM canon_r WHERE reason IS NULL"))
 oracle("us_rejects", with_(canon_ctes(True), """SELECT pos, company_name, source, coalesce(source_job_id, 'unknown') AS source_job_id,

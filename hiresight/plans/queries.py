@@ -18,6 +18,7 @@ from ..operators import dedupe, discovery, enrich, metrics, trends
 from ..operators import canonical as canon_ops
 from ..operators.canonical import rejects, valid_jobs
 from ..sources import testdata
+from ..sources.registry import shared_drafts, source_drafts
 from . import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,12 +200,22 @@ def company_ids(spark, sf):
 
 # ------------------------------------------------- canonical / filters (P, F)
 
+CANONICAL_OUT = ["pos", "source", "source_job_id", "job_url", "company_name", "company_id", "title",
+                 "description", "department", "employment_type", "location_raw", "city", "state",
+                 "postal_code", "is_remote", "country", "date_posted", "run_date", "job_key"]
+
+
 @query
 def canonical_jobs(spark, sf):
-    c = valid_jobs(pipeline.canonical(spark, sf))
-    return c.select("pos", "source", "source_job_id", "job_url", "company_name", "company_id", "title",
-                    "description", "department", "employment_type", "location_raw", "city", "state",
-                    "postal_code", "is_remote", "country", "date_posted", "run_date", "job_key")
+    return valid_jobs(pipeline.canonical(spark, sf)).select(*CANONICAL_OUT)
+
+
+@query
+def canonical_with_third_source(spark, sf):
+    """P3 with a source that the library does not know, registered by the caller."""
+    known = shared_drafts(testdata.raw_postings(spark, sf))
+    third = source_drafts(testdata.workday_like_postings(spark, sf), testdata.WORKDAY_LIKE)
+    return valid_jobs(canon_ops.canonical_rows(known.unionByName(third))).select(*CANONICAL_OUT)
 
 
 @query
@@ -262,7 +273,7 @@ def industry_tag(spark, sf):
 
 @query
 def skills(spark, sf):
-    p = enrich.with_skills(_p_clean(spark, sf), F.concat_ws(" ", "title", "description"))
+    p = enrich.with_skills(_p_clean(spark, sf), enrich.cleaned_title_and_body("title", "description"), cleaned=True)
     return p.select("pos", F.array_join("skills", "|").alias("skills"))
 
 

@@ -12,42 +12,16 @@ def _f(name, dtype, nullable=True):
     return T.StructField(name, dtype, nullable)
 
 
-METADATA_ITEM = T.StructType([_f("name", S), _f("value", S)])
-
-# One posting as landed by either board API. Both shapes share one struct so a
-# single JSON schema reads every file; fields of the other source stay null.
-# ``id`` is a string: Greenhouse integers arrive as their decimal text.
-RAW_POSTING = T.StructType([
-    _f("id", S),
-    # greenhouse
-    _f("title", S),
-    _f("content", S),
-    _f("description", S),
-    _f("location", T.StructType([_f("name", S)])),
-    _f("absolute_url", S),
-    _f("updated_at", S),
-    _f("metadata", T.ArrayType(METADATA_ITEM)),
-    # lever
-    _f("text", S),
-    _f("descriptionPlain", S),
-    _f("categories", T.StructType([_f("location", S), _f("department", S), _f("commitment", S)])),
-    _f("hostedUrl", S),
-    _f("createdAt", S),
-])
-
-# One landed file: raw/{run_date}/{source}/{company_id}/jobs.json
+# One landed file: raw/{run_date}/{source}/{company_id}/jobs.json. Its ``jobs``
+# are an array of the source's postings (``sources.registry``).
 RAW_ENVELOPE = T.StructType([
     _f("company_name", S),
     _f("source", S),
     _f("identifier", S),
     _f("extracted_at", S),
     _f("job_count", L),
-    _f("jobs", T.ArrayType(RAW_POSTING)),
 ])
 
-# Flattened raw postings: envelope context + posting + first-wins order.
-RAW_ROW_CONTEXT = ["source", "company_name", "run_date", "extracted_at", "file_path", "pos"]
-
 CANONICAL = T.StructType([
     _f("source", S, False),
     _f("source_job_id", S, False),

@@ -1,4 +1,4 @@
-"""Job history store (partitioned Parquet), snapshot and CSV exports."""
+"""Job history store (versioned Parquet by run date), snapshot and CSV exports."""
 
 from __future__ import annotations
 
@@ -7,70 +7,52 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import CANONICAL
+from ..schemas import CANONICAL, REJECT
+from . import files, versions
 
-PARTITION_BY = ("run_date", "source")
-
-
-def _replace_date(rows: DataFrame, path: str, run_date: str, writer) -> None:
-    """Write one run date over its own folder: partitions that the new rows
-    lack are gone, also when there are no rows at all."""
-    writer(rows.where(F.col("run_date") == F.lit(str(run_date)).cast("date")).drop("run_date"),
-           f"{path.rstrip('/')}/run_date={run_date}")
+REJECT_ROWS = T.StructType([*REJECT.fields, T.StructField("run_date", T.DateType())])
 
 
 def write_jobs(jobs: DataFrame, path: str, run_dates: Sequence[str] | None = None,
                max_records_per_file: int = 2_000_000) -> None:
     """Write the history partitioned by run date and source (snappy).
 
-    ``run_dates`` names the dates that are (re)built: each date's folder is
-    overwritten as a whole. Without it, the partitions present in ``jobs`` are
-    replaced and all others kept (a first load of many dates in one job).
+    ``run_dates`` names the dates that are (re)built: each becomes exactly its
+    rows here, also when there are none. Without it, the dates present in
+    ``jobs`` are replaced and all others kept (a first load of many dates).
+    All dates are written in one pass and swapped in together; until then, and
+    after a failure, readers see the old rows (``versions``).
 
     No repartition by the partition columns: that would send every row of
     one (run date, source) to a single task. Each task writes its slice of
     each partition (Spark sorts rows by the partition columns within the
     task), so the write is as parallel as the build; file size is capped.
     """
-    def write(rows: DataFrame, to: str, by: Sequence[str], mode: str) -> None:
-        (rows.write.option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file)
-         .option("partitionOverwriteMode", mode).mode("overwrite").partitionBy(*by).parquet(to))
-
-    if run_dates is None:
-        write(jobs, path, PARTITION_BY, "dynamic")
-    for d in run_dates or ():
-        _replace_date(jobs, path, d, lambda rows, to: write(rows, to, ["source"], "static"))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    versions.replace_dates(jobs, path, run_dates, by=("source",), save=lambda w, to: (
+        w.option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file).parquet(to)))
 
 
 def read_jobs(spark: SparkSession, path: str, run_date: str | dt.date | None = None,
               source: str | None = None, since: str | dt.date | None = None,
               days: int | None = None, as_of: str | dt.date | None = None) -> DataFrame:
     """The history, optionally one run, one source, runs since a date, or
-    the last ``days`` days up to ``as_of`` (default today). All of these are
-    filters on partition columns with literal bounds, so only the matching
-    partitions are listed and read. A missing store is an empty frame with
-    the canonical schema."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], CANONICAL)
-    df = spark.read.schema(CANONICAL).parquet(path)
-    if run_date is not None:
-        df = df.where(F.col("run_date") == F.lit(str(run_date)).cast("date"))
-    if source is not None:
-        df = df.where(F.col("source") == source)
+    the last ``days`` days up to ``as_of`` (default today). Dates are chosen
+    from the manifest, so only their folders are listed and read. A missing
+    store is an empty frame with the canonical schema."""
+    first = []
     if since is not None:
-        df = df.where(F.col("run_date") >= F.lit(str(since)).cast("date"))
+        first.append(str(since))
     if days is not None:
         end = dt.date.fromisoformat(str(as_of)) if as_of is not None else dt.date.today()
-        df = df.where(F.col("run_date") >= F.lit((end - dt.timedelta(days=days)).isoformat()).cast("date"))
-    return df
+        first.append((end - dt.timedelta(days=days)).isoformat())
+
+    def keep(date: str) -> bool:
+        return (run_date is None or date == str(run_date)) and all(date >= f for f in first)
+
+    df = versions.read_dates(spark, path, CANONICAL, keep)
+    return df if source is None else df.where(F.col("source") == source)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
@@ -86,12 +68,12 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
 
 
 def write_rejects(rejects: DataFrame, path: str, run_dates: Sequence[str] | None = None) -> None:
-    """Reject rows, one folder per run date; ``run_dates`` as in ``write_jobs``."""
-    if run_dates is None:
-        rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("run_date").option("header", True).csv(path)
-    for d in run_dates or ():
-        _replace_date(rejects, path, d, lambda rows, to: rows.write.mode("overwrite").option("header", True).csv(to))
+    """Reject rows as CSV by run date; ``run_dates`` as in ``write_jobs``."""
+    versions.replace_dates(rejects.select(*REJECT_ROWS.names), path, run_dates, save=lambda w, to: w.option("header", True).csv(to))
+
+
+def read_rejects(spark: SparkSession, path: str, run_date: str | dt.date | None = None) -> DataFrame:
+    return versions.read_dates(spark, path, REJECT_ROWS, lambda d: run_date is None or d == str(run_date), "csv", header="true")
 
 
 def export_run(spark: SparkSession, store: str, run_date: str, out: str, fmt: str = "csv") -> int:
@@ -115,7 +97,7 @@ def write_snapshot(snapshot: DataFrame, path: str) -> None:
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    if not _exists(spark, path):
+    if not files.exists(spark, path):
         return spark.createDataFrame([], CANONICAL)
     return spark.read.schema(CANONICAL).parquet(path)
 

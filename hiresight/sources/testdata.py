@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import RAW_POSTING
 from .layout import spread
+from .registry import JobSource, posting_schema, struct_of
 
 
 def _case(expr: str, values: list[str]) -> str:
@@ -189,5 +189,25 @@ def raw_postings(spark: SparkSession, sf_dir: str, partitions: int | None = None
     # Keep the declared raw types (e.g. metadata item struct) exactly.
     return out.select(
         *[F.col(c) for c in ("source", "company_name", "run_date", "extracted_at", "file_path", "pos")],
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_POSTING.fields],
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in posting_schema().fields],
     )
+
+
+#: a system that the library does not know: fields of its own, and ``location``
+#: is a string here while it is an object elsewhere
+WORKDAY_LIKE = JobSource(
+    "workday",
+    struct_of("requisition", "headline", "location", "opened", info=struct_of("html", "team", "time")),
+    {"source_job_id": "requisition", "title": "headline", "body": "info.html", "location_raw": "location", "posted": "opened",
+     "department": "info.team", "employment_type": "info.time", "job_url": "concat('https://jobs.workday.example/', requisition)"})
+
+
+def workday_like_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P's rows of the third system in that system's raw shape."""
+    p = postings(spark, sf_dir).where("source = 'workday'")
+    return p.select(
+        "source", "company_name", "run_date", F.concat(F.col("run_date").cast("string"), F.lit("T06:00:00")).alias("extracted_at"),
+        F.lit("documents").alias("file_path"), "pos",
+        F.col("source_job_id").alias("requisition"), F.col("title").alias("headline"), F.col("location_raw").alias("location"),
+        F.col("posted_iso").alias("opened"),
+        F.struct(F.col("description").alias("html"), F.col("department").alias("team"), F.col("employment_type").alias("time")).alias("info"))

@@ -225,7 +225,7 @@ def test_rebuilt_dates_leave_nothing_stale(spark, raw_root):
     assert store.read_jobs(spark, path, run_date="2025-01-27").count() == 1
     store.write_jobs(jobs.limit(0), path, ["2025-01-20"])                       # no rows at all
     assert store.read_jobs(spark, path, run_date="2025-01-20").count() == 0
-    read = lambda: spark.read.option("header", True).schema("company_name string, source string, source_job_id string, reason string, raw_location string, run_date date").csv(rej)
+    read = lambda: store.read_rejects(spark, rej)
     assert read().count() == 2
     store.write_rejects(bad.limit(0), rej, ["2025-01-20"])
     assert read().count() == 0
