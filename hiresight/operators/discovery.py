@@ -7,7 +7,7 @@ with the number of seeds and probes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..dictionaries import PROBE_CONFIDENCE, URL_PATTERN_CONFIDENCE
@@ -17,13 +17,21 @@ DISCOVERED = ["company_name", "company_domain", "careers_url", "ats_type",
               "discovery_method", "discovered_at", "confidence"]
 
 
+def with_board(df: DataFrame, url: Column) -> DataFrame:
+    """``df`` and the board's ``ats_type`` and ``identifier`` of a URL, read once
+    per row: a generator's output cannot be copied into filters."""
+    def board(u: Column) -> Column:
+        ats = bd.detect_ats(u)
+        return F.struct(ats.alias("ats_type"), bd.board_identifier(u, ats).alias("identifier"))
+
+    return df.select("*", F.inline(F.transform(F.array(url), board)))
+
+
 def discover_from_urls(urls: DataFrame, url_col: str = "url") -> DataFrame:
     """Board URLs recognised by pattern: ATS type, identifier, a display
     name from the identifier; unrecognised URLs yield no row."""
     u = F.col(url_col)
-    ats = bd.detect_ats(u)
-    ident = bd.board_identifier(u, ats)
-    return (urls.select("*", ats.alias("ats_type"), ident.alias("identifier"))
+    return (with_board(urls, u)
             .where(F.col("ats_type").isNotNull())
             .select("*",
                     bd.name_from_token("identifier").alias("company_name"),
@@ -80,9 +88,7 @@ def first_board_hit(seeds: DataFrame, probes: DataFrame) -> DataFrame:
 
 def posting_boards(postings: DataFrame, url_col: str = "job_url") -> DataFrame:
     """(ats_type, identifier) of every board with at least one posting."""
-    u = F.col(url_col)
-    ats = bd.detect_ats(u)
-    return (postings.select(ats.alias("ats_type"), bd.board_identifier(u, ats).alias("identifier"))
+    return (with_board(postings.select(url_col), F.col(url_col)).select("ats_type", "identifier")
             .where(F.col("identifier").isNotNull()).distinct())
 
 
