@@ -135,6 +135,21 @@ def chunks(texts: list[bytes | None], limit: int = 4 << 20) -> Iterator[tuple[in
         yield lo, len(texts)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values of a whole-number array."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
+def numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct values by first place, first place of each, number of each item)."""
+    coded = pa.array(x).dictionary_encode()
+    number = coded.indices.to_numpy()
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[number[::-1]] = np.arange(len(x) - 1, -1, -1)
+    return coded.dictionary.to_numpy(), first, number
+
+
 def ragged(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All places start[i] .. start[i] + length[i], and the i of each."""
     of = np.repeat(np.arange(len(start)), length)
