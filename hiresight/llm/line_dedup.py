@@ -6,7 +6,8 @@ Keys found in at least ``min_docs`` documents lose their lines: all of them
 (``keep="first"``). The result is not the text but, for each document that
 loses lines, its keep bitmap in run-length form.
 
-1. Lines become 128-bit key hashes with (document, position). No text is moved.
+1. One pass turns the lines into 128-bit key hashes with (document, position),
+   written as a narrow table in the shared folder. No text is moved.
 2. The hashes are partitioned by range and sorted by document and position
    within a hash. A window streams over each hash's rows and marks the first
    occurrence in each document; their sum is the document count. The range
@@ -17,7 +18,7 @@ loses lines, its keep bitmap in run-length form.
 A hash with over 1 / ``HOT_SHARE`` of all lines would fill one task. A
 frequent-items sketch (one pass, at most ``HOT_KEYS`` items) names these, and
 they are dealt over ``SALTS`` ranges by document. Their document counts are
-exact counts of a second narrow pass. The sketch decides where rows go, never
+exact counts of a pass over the narrow table. The sketch decides where rows go, never
 what becomes of them.
 
 Defined results: null and empty texts are one empty line; keys shorter than
@@ -32,6 +33,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .tables import stored
+
 HOT_KEYS, HOT_SHARE, SALTS = 512, 2000, 64
 #: items that the sketch tracks: its error is under 1 / HOT_SHARE of the lines
 TRACKED = 16_384
@@ -45,7 +48,8 @@ def lines(text: Column) -> Column:
 
 
 def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(_WHITE)), _UPPER, _LOWER)
+    ascii_only = F.octet_length(line) == F.char_length(line)  # lower() changes A-Z alone there, and is cheaper
+    return F.btrim(F.when(ascii_only, F.lower(line)).otherwise(F.translate(line, _UPPER, _LOWER)), F.lit(_WHITE))
 
 
 def _body(text: Column) -> Column:
@@ -75,7 +79,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep:
         raise ValueError(f"keep is 'none' or 'first', not {keep!r}")
     if min_chars < 1:
         raise ValueError("min_chars is at least 1")
-    hashes = _hashes(docs, min_chars)
+    hashes = stored(_hashes(docs, min_chars))
     hot = _hot(hashes)
     is_hot = F.col("h1").isin(hot) if hot else F.lit(False)
     salt = F.when(is_hot, F.pmod(F.xxhash64("doc", "body"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -9,12 +11,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint into the folder that ``spark.checkpoint.dir``
-    names. Only where that is unset (local tests) is a scratch folder set."""
-    sc = df.sparkSession.sparkContext
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names. Only where that is unset
+    (local tests) is a scratch folder set."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -22,9 +24,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
             named = tempfile.mkdtemp(prefix="checkpoints-")
         sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``checkpointed``, as a Parquet table: for rows of which later steps
+    read a few columns each."""
+    path = f"{_shared_folder(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def id_remainder(column: str, divisor: int):
     """crc32 of the id as text (a null id as the empty text), mod divisor."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
