@@ -46,9 +46,9 @@ TERM = tx.separators(bytes([*range(0x00, 0x61), *range(0x7B, 0x80)]))
 UNIT = 1_000_000_000
 SHARD_TERMS = 1 << 16
 ROUND_BYTES = 64 << 20
-MOST_CELLS = 1 << 23
+MOST_CELLS = 1 << 22
 BLOCK = 1 << 10
-_PIECE = 8 << 20
+_PIECE = 6 << 20
 
 
 class PerfectHash:
@@ -124,7 +124,7 @@ class Piece:
         buf = tx.Buffer(texts, lower=True)
         self.words = tx.Words(buf, TERM)
         self.raw = buf.bytes
-        self.key, at, self.number = np.unique(self.words.hash, return_index=True, return_inverse=True)
+        self.key, at, self.number = tx.numbered(self.words.hash)
         self.start, self.end = self.words.start[at], self.words.end[at]
 
 
@@ -156,7 +156,7 @@ def kept_terms(rows: DataFrame, min_docs: int) -> DataFrame:
                 p = Piece(texts[lo:hi])
                 own, of = np.unique(lang[lo:hi], return_inverse=True)
                 n = max(len(p.key), 1)
-                once = np.unique(p.words.text_of() * n + p.number)  # a term counts once a document
+                once = tx.distinct(p.words.text_of() * n + p.number)  # a term counts once a document
                 seen, docs = np.unique(of[once // n] * n + once % n, return_counts=True)
                 word = seen % n
                 yield pa.RecordBatch.from_arrays([pa.array(own[seen // n]), tx.strings(p.raw, p.start[word], p.end[word]), pa.array(p.key[word].view(np.int64)), pa.array(docs)],
@@ -171,7 +171,11 @@ _INDEX = "lid long, shard int, shards int, sizes array<long>, bits binary, terms
 
 def build_index(terms: DataFrame) -> DataFrame:
     """One row per shard: its perfect hash and its terms in slot order."""
-    shards = terms.groupBy("lid").agg(F.ceil(F.count(F.lit(1)) / SHARD_TERMS).cast("int").alias("shards"))
+    # at most one row for SHARD_TERMS terms
+    large = terms.groupBy("lid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_TERMS).collect()
+    shards = F.lit(1)
+    if large:
+        shards = F.coalesce(F.create_map(*(F.lit(x) for r in large for x in (r["lid"], -(-r["n"] // SHARD_TERMS))))[F.col("lid")], shards)
 
     def build(group: pa.Table) -> pa.Table:
         key = group["key"].to_numpy().view(np.uint64)
@@ -180,7 +184,7 @@ def build_index(terms: DataFrame) -> DataFrame:
         return pa.table({"lid": group["lid"][:1], "shard": group["shard"][:1], "shards": group["shards"][:1], "sizes": pa.array([h.sizes], pa.list_(pa.int64())),
                          "bits": pa.array([h.bits.tobytes()], pa.binary()), "terms": pa.array([group["term"].combine_chunks().take(pa.array(order))], pa.list_(pa.string()))})
 
-    dealt = terms.join(shards, "lid").withColumn("shard", F.pmod("key", "shards").cast("int"))
+    dealt = terms.withColumn("shards", shards.cast("int")).withColumn("shard", F.pmod("key", "shards").cast("int"))
     return dealt.select("lid", "shard", "shards", "key", "term").groupBy("lid", "shard").applyInArrow(build, _INDEX)
 
 
@@ -278,7 +282,7 @@ def recount(rows: DataFrame, index: DataFrame, places: list[Place], round_bytes:
                             continue
                         number, own = shards[lid]
                         mine = np.flatnonzero(lang[of] == lid)
-                        used = np.unique(p.number[mine])
+                        used = tx.distinct(p.number[mine])
                         shard = p.key[used].view(np.int64) % number
                         slot = np.full(len(p.key), -1)
                         for s, table in own.items():
@@ -365,7 +369,7 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, round_bytes: int =
     source uses more than its language does (ranks to ``top``)."""
     spark = docs.sparkSession
     rows, groups = group_table(docs)
-    index = checkpointed(build_index(kept_terms(rows, min_docs)))
+    index = checkpointed(build_index(checkpointed(kept_terms(rows, min_docs))))
     places = lay_out(index)
     counted = recount(rows, index, places, round_bytes)
     laid = spark.createDataFrame([(p.lid, p.shard, p.first) for p in places], "lid long, shard int, first long")
