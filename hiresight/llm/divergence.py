@@ -44,11 +44,11 @@ from .tables import checkpointed
 #: ``[^\x00-\x40\x5B-\x60\x7B-\x7F]+`` terms of lower-cased text
 TERM = tx.separators(bytes([*range(0x00, 0x61), *range(0x7B, 0x80)]))
 UNIT = 1_000_000_000
-SHARD_TERMS = 1 << 16
+SHARD_TERMS = 1 << 13
 ROUND_BYTES = 64 << 20
 MOST_CELLS = 1 << 22
 BLOCK = 1 << 10
-_PIECE = 6 << 20
+_PIECE = 4 << 20
 
 
 class PerfectHash:
