@@ -109,3 +109,48 @@ def new_vs_existing_counts(history: DataFrame, key: str = "job_key", at: str = "
     return (totals.join(new, at, "left")
             .select(at, F.coalesce("new_jobs", F.lit(0)).alias("new_jobs"),
                     (F.col("total") - F.coalesce("new_jobs", F.lit(0))).alias("existing_jobs")))
+
+
+def merge_latest(snapshot: DataFrame, run: DataFrame, key: str = "job_key", at: str = "run_date", tie_break: str = "source") -> DataFrame:
+    """``latest_per_key(snapshot + run)`` where both hold a key once: the row of
+    the later ``at``, then of the lesser ``tie_break``. One join on the key: a
+    snapshot that is stored by the key is not shuffled."""
+    old, new = (df.select(key, F.struct(*df.columns).alias(side)) for df, side in ((snapshot, "old"), (run.select(*snapshot.columns), "new")))
+    o, n = F.col("old"), F.col("new")
+    later = o.isNull() | (n.isNotNull() & (
+        (n[at] > o[at]) | (o[at].isNull() & n[at].isNotNull()) | (n[at].eqNullSafe(o[at]) & (n[tie_break] < o[tie_break]))))
+    return old.join(new, key, "full_outer").select(F.when(later, n).otherwise(o).alias("row")).select("row.*")
+
+
+FIRST = "first_run_date"
+
+
+def merge_first_seen(index: DataFrame, keys: DataFrame, key: str = "job_key") -> DataFrame:
+    """The index (key, first run) after some keys with their runs, one row each,
+    were added. One join on the key."""
+    new = keys.select(key, F.col(FIRST).alias("__new"))
+    return index.join(new, key, "full_outer").select(key, F.least(FIRST, "__new").alias(FIRST))
+
+
+def run_keys(run: DataFrame, key: str = "job_key", at: str = "run_date") -> DataFrame:
+    """A run's keys with its date, as additions to the index."""
+    return run.select(key, F.col(at).alias(FIRST)).distinct()
+
+
+def repair_first_seen(index: DataFrame, run: DataFrame, later: DataFrame, run_date: str,
+                      key: str = "job_key", at: str = "run_date") -> DataFrame:
+    """The index after ``run_date`` was rebuilt to hold the rows of ``run``. Keys
+    that were first seen in it and are gone from it move to their next run in
+    ``later`` (the runs after it), of which only keys and dates are read, or
+    leave the index."""
+    day = F.lit(str(run_date)).cast("date")
+    mine = run_keys(run, key, at)
+    gone = index.where(F.col(FIRST) == day).join(mine, key, "left_anti").select(key)
+    back = later.select(key, at).join(gone, key, "left_semi").groupBy(key).agg(F.min(at).alias(FIRST))
+    return merge_first_seen(index.where(F.col(FIRST) != day), mine.union(back), key)
+
+
+def tag_run(run: DataFrame, index: DataFrame, key: str = "job_key", at: str = "run_date") -> DataFrame:
+    """Rows of a run with ``first_run_date`` and ``is_new``, from the run and
+    the index alone (the index holds the run's keys)."""
+    return run.join(index, key).withColumn("is_new", F.col(at) == F.col(FIRST))

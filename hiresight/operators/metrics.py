@@ -9,25 +9,40 @@ company is reduced on every map task before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RUN = "run_date"
+#: a row of facts (``operators.facts``) stands for this many jobs
+JOBS = "n_jobs"
+
+
+def n_jobs(rows: DataFrame) -> Column:
+    """Count of jobs: of the rows, or of the jobs that they stand for."""
+    return F.sum(JOBS) if JOBS in rows.columns else F.count(F.lit(1))
+
+
+def n_jobs_if(rows: DataFrame, condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col(JOBS))), F.lit(0)) if JOBS in rows.columns else F.count_if(condition)
+
+
+def _weight(rows: DataFrame) -> list[str]:
+    return [JOBS] if JOBS in rows.columns else []
 
 
 def explode_skills(jobs: DataFrame, *keep: str) -> DataFrame:
     """One row per (job, skill); jobs without skills drop out."""
-    return jobs.where(F.size("skills") > 0).select(RUN, *keep, F.explode("skills").alias("skill"))
+    return jobs.where(F.size("skills") > 0).select(RUN, *keep, *_weight(jobs), F.explode("skills").alias("skill"))
 
 
 def skills_by_role_family(jobs: DataFrame) -> DataFrame:
-    return (explode_skills(jobs, "role_family").where(F.col("role_family").isNotNull())
-            .groupBy(RUN, "role_family", "skill").agg(F.count(F.lit(1)).alias("job_count")))
+    ex = explode_skills(jobs, "role_family")
+    return ex.where(F.col("role_family").isNotNull()).groupBy(RUN, "role_family", "skill").agg(n_jobs(ex).alias("job_count"))
 
 
 def skills_by_state(jobs: DataFrame) -> DataFrame:
-    return (explode_skills(jobs, "state").where(F.col("state").isNotNull())
-            .groupBy(RUN, "state", "skill").agg(F.count(F.lit(1)).alias("job_count")))
+    ex = explode_skills(jobs, "state")
+    return ex.where(F.col("state").isNotNull()).groupBy(RUN, "state", "skill").agg(n_jobs(ex).alias("job_count"))
 
 
 def rank_within(df: DataFrame, group: list[str], order: list, n: int | None) -> DataFrame:
@@ -53,25 +68,26 @@ def top_n(df: DataFrame, group: list[str], order: list, n: int, key: list[str],
 
 def top_skills(jobs: DataFrame, n: int = 100) -> DataFrame:
     """Top ``n`` skills per run by job count (ties by skill name)."""
-    counts = explode_skills(jobs).groupBy(RUN, "skill").agg(F.count(F.lit(1)).alias("job_count"))
+    ex = explode_skills(jobs)
+    counts = ex.groupBy(RUN, "skill").agg(n_jobs(ex).alias("job_count"))
     return rank_within(counts, [RUN], [F.desc("job_count"), F.asc("skill")], n)
 
 
 def role_mix_by_industry(jobs: DataFrame) -> DataFrame:
     return (jobs.where(F.col("industry_tag").isNotNull() & F.col("role_family").isNotNull())
-            .groupBy(RUN, "industry_tag", "role_family").agg(F.count(F.lit(1)).alias("job_count")))
+            .groupBy(RUN, "industry_tag", "role_family").agg(n_jobs(jobs).alias("job_count")))
 
 
 def summary_stats(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy(RUN).agg(
-        F.count(F.lit(1)).alias("total_jobs"),
-        F.count_if(F.col("source") == "greenhouse").alias("greenhouse_jobs"),
-        F.count_if(F.col("source") == "lever").alias("lever_jobs"),
+        n_jobs(jobs).alias("total_jobs"),
+        n_jobs_if(jobs, F.col("source") == "greenhouse").alias("greenhouse_jobs"),
+        n_jobs_if(jobs, F.col("source") == "lever").alias("lever_jobs"),
         F.count_distinct("company_id").alias("unique_companies"),
-        F.count_if(F.col("is_remote")).alias("remote_jobs"),
+        n_jobs_if(jobs, F.col("is_remote")).alias("remote_jobs"),
         F.count_distinct("state").alias("states_covered"),
-        F.count_if(F.size("skills") > 0).alias("jobs_with_skills"),
-        F.count("industry_tag").alias("jobs_with_industry"),
+        n_jobs_if(jobs, F.size("skills") > 0).alias("jobs_with_skills"),
+        n_jobs_if(jobs, F.col("industry_tag").isNotNull()).alias("jobs_with_industry"),
     )
 
 
@@ -83,7 +99,7 @@ def skill_grouping_sets(jobs: DataFrame) -> DataFrame:
     ex = explode_skills(jobs, "role_family", "state")
     sets = [[RUN, "role_family", "skill"], [RUN, "state", "skill"], [RUN, "skill"]]
     out = ex.groupingSets(sets, RUN, "role_family", "state", "skill").agg(
-        F.count(F.lit(1)).alias("job_count"),
+        n_jobs(ex).alias("job_count"),
         F.grouping("role_family").alias("g_family"),
         F.grouping("state").alias("g_state"),
     )

@@ -14,17 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..dictionaries import ROLE_FAMILIES, Taxonomy
-from .metrics import RUN, explode_skills, rank_within, top_n
+from .metrics import JOBS, RUN, explode_skills, n_jobs, n_jobs_if, rank_within, top_n
 
 ENGINEERING_FAMILY = "Tech/Engineering"
 
 
-def _n() -> Column:
-    return F.count(F.lit(1))
-
-
 def jobs_by_run(jobs: DataFrame) -> DataFrame:
-    return jobs.groupBy(RUN).agg(_n().alias("total_jobs"))
+    return jobs.groupBy(RUN).agg(n_jobs(jobs).alias("total_jobs"))
 
 
 def runs_with_previous(rows: DataFrame) -> DataFrame:
@@ -73,20 +69,21 @@ def _change_of(counts: DataFrame, key: str, value: str) -> DataFrame:
 
 def skill_growth(jobs: DataFrame) -> DataFrame:
     # jobs without skills count under a null skill, so that every run shows up
-    counts = jobs.select(RUN, F.explode_outer("skills").alias("skill")).groupBy(RUN, "skill").agg(_n().alias("job_count"))
+    ex = jobs.select(RUN, *([JOBS] if JOBS in jobs.columns else []), F.explode_outer("skills").alias("skill"))
+    counts = ex.groupBy(RUN, "skill").agg(n_jobs(ex).alias("job_count"))
     return _change_of(counts, "skill", "job_count")
 
 
 def hiring_velocity(jobs: DataFrame) -> DataFrame:
     """Jobs per company per run and change vs the previous run."""
-    counts = jobs.groupBy("company_id", RUN).agg(_n().alias("job_count"))
+    counts = jobs.groupBy("company_id", RUN).agg(n_jobs(jobs).alias("job_count"))
     return _change_of(counts, "company_id", "job_count")
 
 
 def role_mix_shift(jobs: DataFrame) -> DataFrame:
     """Share of each role family in each run and its change vs the
     previous run."""
-    counts = jobs.groupBy(RUN, "role_family").agg(_n().alias("job_count"))
+    counts = jobs.groupBy(RUN, "role_family").agg(n_jobs(jobs).alias("job_count"))
     total = F.sum("job_count").over(Window.partitionBy(RUN))  # at most one row per family and run
     shares = counts.select(RUN, "role_family", (F.col("job_count") / total).alias("share"))
     return _change_of(shares, "role_family", "share").withColumnRenamed("change", "share_change")
@@ -94,18 +91,18 @@ def role_mix_shift(jobs: DataFrame) -> DataFrame:
 
 def remote_pct(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy(RUN).agg(
-        F.coalesce(F.try_divide(F.count_if(F.col("is_remote")), _n()), F.lit(0.0)).alias("remote_pct"))
+        F.coalesce(F.try_divide(n_jobs_if(jobs, F.col("is_remote")), n_jobs(jobs)), F.lit(0.0)).alias("remote_pct"))
 
 
 def avg_jobs_per_company(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy(RUN).agg(
-        F.try_divide(_n(), F.count_distinct("company_id")).alias("avg_jobs_per_company"))
+        F.try_divide(n_jobs(jobs), F.count_distinct("company_id")).alias("avg_jobs_per_company"))
 
 
 def jobs_with_skill(jobs: DataFrame, skill: str) -> DataFrame:
     """Jobs whose skill list contains ``skill`` exactly (a text search would
     count Java inside JavaScript)."""
-    return jobs.groupBy(RUN).agg(F.count_if(F.array_contains("skills", skill)).alias("jobs_with_skill"))
+    return jobs.groupBy(RUN).agg(n_jobs_if(jobs, F.array_contains("skills", skill)).alias("jobs_with_skill"))
 
 
 def skills_expanded(jobs: DataFrame) -> DataFrame:
@@ -116,23 +113,23 @@ def skills_expanded(jobs: DataFrame) -> DataFrame:
 def top_companies(jobs: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` hiring companies per run; the number of companies grows
     with the data, so the ranking is two-stage (see ``top_n``)."""
-    counts = jobs.groupBy(RUN, "company_name").agg(_n().alias("job_count"))
+    counts = jobs.groupBy(RUN, "company_name").agg(n_jobs(jobs).alias("job_count"))
     return top_n(counts, [RUN], [F.desc("job_count"), F.asc("company_name")], n, ["company_name"])
 
 
 def jobs_by_state(jobs: DataFrame) -> DataFrame:
-    return jobs.where(F.col("state").isNotNull()).groupBy(RUN, "state").agg(_n().alias("job_count"))
+    return jobs.where(F.col("state").isNotNull()).groupBy(RUN, "state").agg(n_jobs(jobs).alias("job_count"))
 
 
 def top_cities(jobs: DataFrame, n: int = 10) -> DataFrame:
-    counts = jobs.where(F.col("city").isNotNull()).groupBy(RUN, "city", "state").agg(_n().alias("job_count"))
+    counts = jobs.where(F.col("city").isNotNull()).groupBy(RUN, "city", "state").agg(n_jobs(jobs).alias("job_count"))
     return top_n(counts, [RUN], [F.desc("job_count"), F.asc("city"), F.asc("state")], n, ["city", "state"])
 
 
 def remote_by_state(jobs: DataFrame) -> DataFrame:
     return jobs.where(F.col("state").isNotNull()).groupBy(RUN, "state").agg(
-        F.count_if(F.col("is_remote")).alias("remote_jobs"),
-        F.count_if(~F.col("is_remote")).alias("onsite_jobs"),
+        n_jobs_if(jobs, F.col("is_remote")).alias("remote_jobs"),
+        n_jobs_if(jobs, ~F.col("is_remote")).alias("onsite_jobs"),
     )
 
 
@@ -146,8 +143,8 @@ def state_hhi(jobs: DataFrame) -> DataFrame:
 
 
 def top_skills_per_family(jobs: DataFrame, n: int = 5) -> DataFrame:
-    counts = (explode_skills(jobs, "role_family").where(F.col("role_family").isNotNull())
-              .groupBy(RUN, "role_family", "skill").agg(_n().alias("job_count")))
+    ex = explode_skills(jobs, "role_family")
+    counts = ex.where(F.col("role_family").isNotNull()).groupBy(RUN, "role_family", "skill").agg(n_jobs(ex).alias("job_count"))
     return rank_within(counts, [RUN, "role_family"], [F.desc("job_count"), F.asc("skill")], n)
 
 
@@ -162,8 +159,8 @@ def skill_family_matrix(jobs: DataFrame, n: int = 20, taxonomy: Taxonomy = ROLE_
     families = [f for f, _ in taxonomy]
     ex = explode_skills(jobs, "role_family")
     counts = ex.groupBy(RUN, "skill").agg(
-        _n().alias("job_count"),
-        *[F.count_if(F.col("role_family") == f).alias(family_column(f)) for f in families],
+        n_jobs(ex).alias("job_count"),
+        *[n_jobs_if(ex, F.col("role_family") == f).alias(family_column(f)) for f in families],
     )
     return rank_within(counts, [RUN], [F.desc("job_count"), F.asc("skill")], n)
 
@@ -171,7 +168,7 @@ def skill_family_matrix(jobs: DataFrame, n: int = 20, taxonomy: Taxonomy = ROLE_
 def industry_share(jobs: DataFrame) -> DataFrame:
     """Role distribution within each industry, and industry share of the run."""
     counts = (jobs.where(F.col("industry_tag").isNotNull() & F.col("role_family").isNotNull())
-              .groupBy(RUN, "industry_tag", "role_family").agg(_n().alias("job_count")))
+              .groupBy(RUN, "industry_tag", "role_family").agg(n_jobs(jobs).alias("job_count")))
     in_ind = F.sum("job_count").over(Window.partitionBy(RUN, "industry_tag"))
     in_run = F.sum("job_count").over(Window.partitionBy(RUN))
     return (counts.withColumn("share_of_industry", F.col("job_count") / in_ind)
@@ -181,8 +178,8 @@ def industry_share(jobs: DataFrame) -> DataFrame:
 def eng_ratio(jobs: DataFrame) -> DataFrame:
     eng = F.col("role_family") == ENGINEERING_FAMILY
     return jobs.groupBy(RUN).agg(
-        F.count_if(eng).alias("eng_jobs"),
-        F.count_if(~eng | F.col("role_family").isNull()).alias("non_eng_jobs"),
+        n_jobs_if(jobs, eng).alias("eng_jobs"),
+        n_jobs_if(jobs, ~eng | F.col("role_family").isNull()).alias("non_eng_jobs"),
     ).withColumn("eng_ratio", F.try_divide(F.col("eng_jobs"), F.col("non_eng_jobs")))
 
 
@@ -197,12 +194,12 @@ def portfolio_jobs(jobs: DataFrame, seeds: DataFrame) -> DataFrame:
     port = (seeds.where(F.col("is_portfolio"))
             .select(_seed_key(F.col("company_name")).alias("seed_key")).distinct())
     tagged = jobs.join(port, _seed_key(jobs["company_name"]) == port["seed_key"], "left_semi")
-    return tagged.groupBy(RUN, "company_name").agg(_n().alias("job_count"))
+    return tagged.groupBy(RUN, "company_name").agg(n_jobs(jobs).alias("job_count"))
 
 
 def benchmark_vs_market(jobs: DataFrame, seeds: DataFrame) -> DataFrame:
     """Average jobs per portfolio company vs per company overall, by run."""
-    market = jobs.groupBy(RUN).agg(F.try_divide(_n(), F.count_distinct("company_id")).alias("market_avg"))
+    market = jobs.groupBy(RUN).agg(F.try_divide(n_jobs(jobs), F.count_distinct("company_id")).alias("market_avg"))
     port = portfolio_jobs(jobs, seeds).groupBy(RUN).agg(
         F.try_divide(F.sum("job_count"), F.count(F.lit(1))).alias("portfolio_avg"))
     return (market.join(port, RUN, "left")
@@ -236,7 +233,7 @@ def star_by_week(jobs: DataFrame) -> DataFrame:
     """The star join: jobs with their company and date dimensions, summed up by
     company and calendar week. The fact side is aggregated to (company, run)
     before it meets the dimensions."""
-    facts = jobs.groupBy("company_id", RUN).agg(_n().alias("job_count"), F.count_if(F.col("is_remote")).alias("remote_jobs"))
+    facts = jobs.groupBy("company_id", RUN).agg(n_jobs(jobs).alias("job_count"), n_jobs_if(jobs, F.col("is_remote")).alias("remote_jobs"))
     return (facts.join(dim_company(jobs), "company_id").join(dim_date(jobs), F.col(RUN) == F.col("date"))
             .groupBy("company_id", "company_name", "year", "week")
-            .agg(F.sum("job_count").alias("job_count"), F.sum("remote_jobs").alias("remote_jobs"), _n().alias("runs")))
+            .agg(F.sum("job_count").alias("job_count"), F.sum("remote_jobs").alias("remote_jobs"), F.count(F.lit(1)).alias("runs")))

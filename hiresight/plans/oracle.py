@@ -290,6 +290,13 @@ oracle("duplicates_removed", with_(canon_ctes(True), """SELECT count(*) AS rows_
   count(*) - count(DISTINCT (run_date, job_key)) AS duplicates_removed FROM canon_r WHERE reason IS NULL"""))
 oracle("latest_snapshot", with_(jobs_ctes(), """SELECT job_key, run_date, pos, title, state, array_to_string(skills, '|') AS skills
   FROM jobs QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY run_date DESC, source, pos) = 1"""))
+_POSTED = ", posted AS (SELECT * FROM canon_r WHERE reason IS NULL QUALIFY row_number() OVER (PARTITION BY run_date, job_key ORDER BY pos) = 1)"
+oracle("latest_snapshot_by_merges", with_(canon_ctes(True) + _POSTED, """SELECT job_key, run_date, pos, title, state
+  FROM posted QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY run_date DESC, source, pos) = 1"""))
+oracle("tagged_runs_by_index", with_(canon_ctes(True) + _POSTED, """SELECT run_date, job_key, min(run_date) OVER (PARTITION BY job_key) AS first_run_date,
+  run_date = min(run_date) OVER (PARTITION BY job_key) AS is_new FROM posted"""))
+oracle("first_seen_after_rebuild", with_(canon_ctes(True) + _POSTED, """SELECT job_key, min(run_date) AS first_run_date FROM posted
+  WHERE source = 'greenhouse' OR run_date <> (SELECT min(run_date) FROM posted WHERE run_date > (SELECT min(run_date) FROM posted)) GROUP BY job_key"""))
 oracle("events_latest", """SELECT user_id, event_type, event_id, ts, round(value, 6) AS value FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
 _FIRST = ", f AS (SELECT job_key, min(run_date) AS first_run_date FROM jobs GROUP BY job_key)"
@@ -515,3 +522,7 @@ oracle("star_by_week", with_(jobs_ctes(), """SELECT company_id, any_value(cn) AS
   CAST(weekofyear(run_date) AS INTEGER) AS week, count(*) AS job_count, count(*) FILTER (WHERE is_remote) AS remote_jobs,
   count(DISTINCT run_date) AS runs
   FROM (SELECT *, min(company_name) OVER (PARTITION BY company_id) AS cn FROM jobs) GROUP BY company_id, year(run_date), weekofyear(run_date)"""))
+
+# reports from facts give what they give from postings
+for _name in ("summary_stats", "top_skills", "skill_growth", "skill_family_matrix"):
+    oracle(f"{_name}_from_facts", ORACLES[_name])

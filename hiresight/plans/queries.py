@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boards as bd
 from ..functions import keys, location, text
-from ..operators import dedupe, discovery, enrich, metrics, trends
+from ..operators import dedupe, discovery, enrich, facts, metrics, trends
 from ..operators import canonical as canon_ops
 from ..operators.canonical import rejects, valid_jobs
 from ..sources import testdata
@@ -303,6 +303,51 @@ def latest_snapshot(spark, sf):
     return snap.select("job_key", "run_date", "pos", "title", "state", joined("skills"))
 
 
+def _runs(jobs):
+    """The jobs of each run, in order; one row per run comes to the driver."""
+    days = sorted(r["run_date"] for r in jobs.select("run_date").distinct().collect())
+    return [(d, jobs.where(F.col("run_date") == F.lit(d))) for d in days]
+
+
+def _first_postings(spark, sf):
+    return dedupe.deduplicate_jobs(valid_jobs(pipeline.canonical(spark, sf))).select("job_key", "run_date", "source", "pos", "title", "state")
+
+
+@query
+def latest_snapshot_by_merges(spark, sf):
+    """W1 as it is maintained: one run after the other is merged in."""
+    (_, snapshot), *later = _runs(_first_postings(spark, sf))
+    for _, run in later:
+        snapshot = dedupe.merge_latest(snapshot, run)
+    return snapshot.select("job_key", "run_date", "pos", "title", "state")
+
+
+@query
+def tagged_runs_by_index(spark, sf):
+    """J1 and J2 as they are maintained: every run is tagged from its own rows
+    and the first-seen index as of that run."""
+    (_, run), *later = _runs(_first_postings(spark, sf))
+    index = dedupe.run_keys(run)
+    tagged = dedupe.tag_run(run, index)
+    for _, run in later:
+        index = dedupe.merge_first_seen(index, dedupe.run_keys(run))
+        tagged = tagged.union(dedupe.tag_run(run, index))
+    return tagged.select("run_date", "job_key", "first_run_date", "is_new")
+
+
+@query
+def first_seen_after_rebuild(spark, sf):
+    """The first-seen index after the second run was rebuilt without its
+    Lever postings."""
+    runs = _runs(_first_postings(spark, sf))
+    index = dedupe.run_keys(runs[0][1])
+    for _, run in runs[1:]:
+        index = dedupe.merge_first_seen(index, dedupe.run_keys(run))
+    day, rebuilt = runs[1][0], runs[1][1].where("source = 'greenhouse'")
+    later = _first_postings(spark, sf).where(F.col("run_date") > F.lit(day))
+    return dedupe.repair_first_seen(index, rebuilt, later, day)
+
+
 @query
 def events_latest(spark, sf):
     ev = testdata.read_table(spark, sf, "events")
@@ -388,6 +433,26 @@ def ingest_summary(spark, sf):
     return metrics.ingest_summary(b, valid_jobs(pipeline.canonical(spark, sf)), url="url", ats="ats_type")
 
 
+@query
+def summary_stats_from_facts(spark, sf):
+    return metrics.summary_stats(facts.job_facts(_jobs(spark, sf)))
+
+
+@query
+def top_skills_from_facts(spark, sf):
+    return metrics.top_skills(facts.job_facts(_jobs(spark, sf)), 100)
+
+
+@query
+def skill_growth_from_facts(spark, sf):
+    return trends.skill_growth(facts.job_facts(_jobs(spark, sf)))
+
+
+@query
+def skill_family_matrix_from_facts(spark, sf):
+    return trends.skill_family_matrix(facts.job_facts(_jobs(spark, sf)), 20)
+
+
 # ----------------------------------------------------------- trends (W, M, J)
 
 @report
