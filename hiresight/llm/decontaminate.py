@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import text as tx
-from .tables import checkpointed
+from .tables import checkpointed, column_of, positional
 
 WINDOW = 13
 #: Words of one automaton (about 60 MB in a worker).
@@ -233,7 +233,11 @@ def _scan(frame: DataFrame, automaton, column: str) -> DataFrame:
 
 def find_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with three more columns: ``__n_words``, ``__spans`` (hit word
-    ranges, not overlapping within a block) and ``__items`` (names, sorted)."""
+    ranges, not overlapping within a block) and ``__items`` (names, sorted),
+    which ``docs`` must not have."""
+    clash = {"__n_words", "__spans", "__items"} & {c.lower() for c in docs.columns}
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} are in use")
     sc = docs.sparkSession.sparkContext
     state = docs.withColumns({
         "__n_words": F.lit(0).cast("long"),
@@ -275,16 +279,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_percent: int = 5) -
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", min_percent: int = 5) -> DataFrame:
     """The rows of ``docs`` whose hit words stay under the coverage limit, unchanged."""
-    found = find_spans(docs, benchmark, text).withColumn("__n_hit", _n_hit(F.col("__spans")))
-    return found.where(~_contaminated(min_percent)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows, names = positional(docs)
+    found = find_spans(rows, benchmark, column_of(names, text)).withColumn("__n_hit", _n_hit(F.col("__spans")))
+    return found.where(~_contaminated(min_percent)).select(*rows.columns).toDF(*names)
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", min_words: int = WINDOW) -> DataFrame:
     """``docs`` with every hit span of at least ``min_words`` words cut out of
     its text (one space stays in its place)."""
-    found = find_spans(docs, benchmark, text)
-    schema, names = docs.schema, docs.columns
-    i_text, i_spans = found.columns.index(text), found.columns.index("__spans")
+    rows, names = positional(docs)
+    found = find_spans(rows, benchmark, column_of(names, text))
+    own, i_text, i_spans = rows.columns, found.columns.index(column_of(names, text)), found.columns.index("__spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,9 +306,9 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", min_wor
                     t = b" ".join([*cut, t[at:]])
                 out.append(None if t is None else t.decode("utf-8", "replace"))
             columns = [pa.array(out, batch.column(i).type) if i == i_text else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=own)
 
-    return found.mapInArrow(run, schema)
+    return found.mapInArrow(run, rows.schema).toDF(*names)
 
 
 def items_hash(items: Iterable[str]) -> str:

@@ -1,6 +1,6 @@
 """Connected components of an edge table by alternating large-star and
-small-star steps (Kiveris et al. 2014). Hot nodes are only met as join keys
-(which Spark splits) and in aggregates with partial sums."""
+small-star steps (Kiveris et al. 2014). A hot node's neighbours are joined in
+``PARTS`` parts and otherwise only met in aggregates with partial results."""
 
 from __future__ import annotations
 
@@ -9,11 +9,18 @@ from pyspark.sql import DataFrame, functions as F
 from .tables import checkpointed
 
 
+PARTS = 64
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours move to the least of its neighbourhood."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    both = both.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)))
+    # a node's neighbours are dealt over parts, so that no task meets all those of a hot node
+    parts = both.groupBy("u", "part").agg(F.min("v").alias("m"))
+    least = parts.groupBy("u").agg(F.min("m").alias("m")).select("u", F.least("u", "m").alias("m"))
+    named = parts.select("u", "part").join(least, "u")
+    return both.where("v > u").join(named, ["u", "part"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

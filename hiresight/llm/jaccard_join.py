@@ -31,6 +31,7 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import chain
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import text as tx
 from .graph import components
-from .tables import checkpointed
+from .tables import checkpointed, column_of, positional
 
 SHINGLE = 5
 #: Members and shingles of a block; a task of step 4 holds two.
@@ -60,7 +61,7 @@ def shingle_sets(texts: list[bytes | None], k: int = SHINGLE) -> list[np.ndarray
     n = np.diff(w.ptr)
     at, keys = w.ngrams(k)
     ptr = np.searchsorted(at, w.ptr)
-    out = [np.unique(keys[a:b]) for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist(), strict=True)]
+    out = [tx.distinct(keys[a:b]) for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist(), strict=True)]
     for m in range(1, k):
         own = np.flatnonzero(n == m)
         _, keys1 = w.ngrams(m, w.ptr[own])
@@ -167,7 +168,7 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.float64)
 
 
-def _verify_group(rows: list[tuple], percent: int) -> list[tuple[bytes, int, bytes]]:
+def _verify_group(rows: list[tuple], least: Fraction) -> list[tuple[bytes, int, bytes]]:
     """Rows are (cid, side, copies, set): for each member the copies of its
     linked partners and its least linked member (by way of others too)."""
     rows = list({r[0]: r for r in rows}.values())
@@ -176,7 +177,7 @@ def _verify_group(rows: list[tuple], percent: int) -> list[tuple[bytes, int, byt
     sets = [r[3] for r in rows]
     size = np.array([len(s) for s in sets], np.float64)
     inter = common(sets)
-    link = (100 + percent) * inter >= percent * (size[:, None] + size[None, :])
+    link = (least.denominator + least.numerator) * inter >= least.numerator * (size[:, None] + size[None, :])
     np.fill_diagonal(link, False)
     side = np.array([r[1] for r in rows])
     if side.any():
@@ -200,7 +201,7 @@ def _verify_group(rows: list[tuple], percent: int) -> list[tuple[bytes, int, byt
     return [(r[0], int(count[i]), rows[root(i)][0]) for i, r in enumerate(rows) if count[i]]
 
 
-def _verify(members: DataFrame, percent: int) -> DataFrame:
+def _verify(members: DataFrame, least: Fraction) -> DataFrame:
     """(cid, links, least) from rows (task, cid, side, copies, shingles) that
     are sorted by task."""
 
@@ -216,7 +217,7 @@ def _verify(members: DataFrame, percent: int) -> DataFrame:
         task, group = None, []
         for r in chain(rows(), [(None,)]):
             if r[0] != task:
-                out += _verify_group(group, percent)
+                out += _verify_group(group, least)
                 task, group = r[0], []
             group.append(r[1:])
             if len(out) > 10_000 or task is None:
@@ -252,10 +253,11 @@ def _with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.select("text", "cid", *rest).mapInArrow(run, ", ".join(["cid binary", *(f"{c} {kinds[c]}" for c in rest), "shingles array<long>"]))
 
 
-def _blocks(classes: DataFrame) -> DataFrame:
+def _blocks(classes: DataFrame, similarity: float) -> DataFrame:
     """Classes (cid, rep, n, copies, component) with ``tasks``, an array of
     (task, side): where the class is to be compared."""
-    size_class = F.floor(F.log("n") / F.log(F.lit(1.2501))).cast("int")
+    # sizes that can link differ by at most 1 / similarity: they are of one size class or of neighbouring ones
+    size_class = F.floor(F.log("n") / F.log(F.lit(1.0001 / similarity))).cast("int")
     rows = classes.withColumn("sc", size_class)
     parts = (rows.groupBy("component", "sc").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
              .groupBy("component").agg(
@@ -291,7 +293,7 @@ def _blocks(classes: DataFrame) -> DataFrame:
 
 def _groups(docs: DataFrame, similarity: float, trees: int, max_depth: int, recall: float) -> DataFrame:
     """(doc_id, text_hash, cid, n, group, class_id, n_links) of each row of docs."""
-    percent = round(100 * similarity)
+    exact = Fraction(str(similarity))
     forest = Forest(trees, target_depth(trees, max_depth, similarity, recall))
     rows = checkpointed(_signatures(docs, forest))
     classes = checkpointed(rows.where("cid IS NOT NULL").groupBy("cid").agg(
@@ -300,10 +302,10 @@ def _groups(docs: DataFrame, similarity: float, trees: int, max_depth: int, reca
     pivots = members.groupBy("key").agg(F.min("cid").alias("v"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     star = members.join(pivots, "key").select(F.col("cid").alias("u"), "v")
     candidates = components(star).withColumnRenamed("node", "cid")
-    wanted = _blocks(classes.drop("keys").join(candidates, "cid"))
+    wanted = _blocks(classes.drop("keys").join(candidates, "cid"), similarity)
     tasks = (_with_sets(docs, wanted).select("cid", "copies", "shingles", F.explode("tasks").alias("t"))
              .select(F.col("t.task").alias("task"), "cid", F.col("t.side").alias("side"), "copies", "shingles"))
-    found = checkpointed(_verify(tasks.repartition("task").sortWithinPartitions("task"), percent))
+    found = checkpointed(_verify(tasks.repartition("task").sortWithinPartitions("task"), exact))
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("cid").alias("u"), F.col("least").alias("v"))).withColumnRenamed("node", "cid")
     named = classes.select("cid", "rep", "copies").join(groups, "cid", "left").join(links, "cid", "left")
@@ -330,7 +332,9 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, trees: int = 40, max_dept
     """``docs`` with one row of each near-duplicate group: that of the least
     doc_id (nulls last), of several texts of that id the least text hash, of
     equal rows any. Rows without words stay, all of them."""
-    base = docs.selectExpr("CAST(doc_id AS LONG) doc_id", "CAST(text AS STRING) text")
+    own, names = positional(docs)
+    id_, text = F.col(column_of(names, "doc_id")).cast("long"), F.col(column_of(names, "text")).cast("string")
+    base = own.select(id_.alias("doc_id"), text.alias("text"))
     rows = checkpointed(_groups(base, similarity, trees, max_depth, recall))
     full = rows.where("cid IS NOT NULL")
     same = full.groupBy("doc_id", "text_hash", "group").agg(F.count(F.lit(1)).alias("same"))
@@ -338,10 +342,8 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, trees: int = 40, max_dept
     keep = first.select("w.doc_id", "w.text_hash", "w.same").union(
         rows.where("cid IS NULL").select("doc_id", "text_hash", F.lit(1).cast("long")).distinct()
     ).toDF("__id", "__hash", "__same")
-    found = docs.withColumn("__key", F.xxhash64(F.col("text").cast("string"))).join(
-        keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash")))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    single = found.where("__same = 1").select(*columns)
-    repeated = (found.where("__same > 1").groupBy("__id", "__hash").agg(F.first(F.struct(*columns)).alias("__row"))
-                .select(*(F.col("__row").getField(c).alias(c) for c in docs.columns)))
-    return single.union(repeated)
+    found = own.withColumn("__key", F.xxhash64(text)).join(keep, id_.eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash")))
+    single = found.where("__same = 1").select(*own.columns)
+    repeated = (found.where("__same > 1").groupBy("__id", "__hash").agg(F.first(F.struct(*own.columns)).alias("__row"))
+                .select(*(F.col("__row").getField(c).alias(c) for c in own.columns)))
+    return single.union(repeated).toDF(*names)

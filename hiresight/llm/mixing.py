@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import text as tx
-from .tables import checkpointed
+from .tables import checkpointed, column_of, positional, stored
 
 BITS = 12
 DENSE = 7
@@ -59,9 +59,9 @@ def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
         np.cumsum(table[buf.bytes], out=c[1:])
         return (c[buf.offset[1:] - 1] - c[buf.offset[:-1]]) / size
 
-    distinct = np.bincount(np.unique((doc << 40) | (w.hash >> np.uint64(24)).astype(np.int64)) >> 40, minlength=len(texts))
+    distinct = np.bincount(tx.distinct((doc << 40) | (w.hash >> np.uint64(24)).astype(np.int64)) >> 40, minlength=len(texts))
     at, keys = w.ngrams(2)
-    pairs = np.bincount(np.unique((doc[at] << 40) | (keys >> np.uint64(24)).astype(np.int64)) >> 40, minlength=len(texts))
+    pairs = np.bincount(tx.distinct((doc[at] << 40) | (keys >> np.uint64(24)).astype(np.int64)) >> 40, minlength=len(texts))
     dense = np.stack([np.ones(len(texts)), np.log1p(n) / 8, distinct / np.maximum(n, 1), pairs / np.maximum(n, 1),
                       10 * share(_SYMBOL), 4 * share(_UPPER), tx.sums(w.end - w.start, w.ptr) / np.maximum(n, 1) / 10], 1)
     # statistics come after the words
@@ -183,11 +183,12 @@ class Rates:
         return self.fold(q)["r"]
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float], total: float | None = None, low: float = 0.0, high: float = 10.0, steps: int = 40, tolerance: float = 1e-4) -> Rates:
+def fit_rates(members: DataFrame, targets: dict[str, float], total: float | None = None, low: float = 0.0, high: float | None = None, steps: int = 40, tolerance: float = 1e-4) -> Rates:
     """Rates in [low, high] whose expected domain token totals come closest to
     ``total`` times the (normalised) targets, by accelerated projected
     gradient. ``total`` None: the tokens there are, or more where no rate may
-    fall below ``low``."""
+    fall below ``low``. ``high`` None: twice what the scarcest domain needs if
+    every document were wholly of one domain; ``reached`` says what came out."""
     share = np.array([targets[d] for d in targets], float)
     share /= share.sum()
     k = len(share)
@@ -202,11 +203,14 @@ def fit_rates(members: DataFrame, targets: dict[str, float], total: float | None
     overlap = total_of(sums, [x * y for x in p for y in p]).reshape(k, k)
     metric = np.linalg.pinv(overlap + 1e-9 * max(now.sum(), 1.0) * np.eye(k))
     if now.sum() <= 0:
-        return Rates([], low, high, [0.0] * k)
+        return Rates([], low, high if high is not None else max(1.0, low), [0.0] * k)
     if total is None:
         natural = now / max(1.0, low)
         total = max(natural.sum(), low * max((n / s for n, s in zip(natural, share, strict=True) if s > 0), default=0))
     aim, history, ahead = total * share, [], now
+    if high is None:
+        natural = total_of(sums, p)
+        high = 2 * max([1.0, low, *(a / n for a, n in zip(aim, natural, strict=True) if n > 0)])
     for i in range(steps):
         if np.abs(now - aim).max() <= tolerance * total:
             break
@@ -224,36 +228,41 @@ def copies(rate: Column, key: Column) -> Column:
 
 def rate_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], **options) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): tokens, one posterior ``p_<domain>``
-    per domain, rate and copies."""
+    per domain, rate and copies, and ``share_<domain>``, the share of tokens that
+    the domain reaches at these rates (the same in each row): a target that no
+    rates reach shows there."""
     model = fit_classifier(docs, labelled, list(targets))
     rows = checkpointed(memberships(docs, model))
     rates = fit_rates(rows, targets, **options)
     return (rows.withColumn("rate", rates.column(F.col("q")))
             .select("doc_id", "tokens", *((F.col("q")[k] / float(GRID)).alias(f"p_{d}") for k, d in enumerate(targets)),
-                    "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies")))
+                    "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"),
+                    *(F.lit(float(r / max(sum(rates.reached), 1e-300))).alias(f"share_{d}") for r, d in zip(rates.reached, targets, strict=True))))
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], **options) -> DataFrame:
-    """Each row of ``docs`` as many times as its copies say."""
-    base = docs.select("doc_id", "text")
-    model = fit_classifier(base, labelled, list(targets))
-    rates = fit_rates(memberships(base, model), targets, **options)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    i_text, names = docs.columns.index("text"), docs.columns
+    """Each row of ``docs`` as many times as its copies say. Every text is scored
+    once: the rows are stored with their posteriors, and rates follow from those."""
+    rows, names = positional(docs)
+    id_, text = column_of(names, "doc_id"), column_of(names, "text")
+    model = fit_classifier(rows.select(F.col(id_).alias("doc_id"), F.col(text).alias("text")), labelled, list(targets))
+    shared, own = docs.sparkSession.sparkContext.broadcast(model), rows.columns
+    i_text = own.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, parts = tx.utf8(batch.column(i_text)), []
-            for lo, hi in tx.chunks(texts):
-                parts.append(shared.value.posteriors(texts[lo:hi])[0])
-            q = np.concatenate(parts) if parts else np.zeros((0, len(targets)), np.int64)
+            texts = tx.utf8(batch.column(i_text))
+            parts = [shared.value.posteriors(texts[lo:hi]) for lo, hi in tx.chunks(texts)]
+            q = np.concatenate([x for x, _ in parts]) if parts else np.zeros((0, len(targets)), np.int64)
+            n = np.concatenate([x for _, x in parts]) if parts else np.zeros(0, np.int64)
             at = pa.array(np.arange(0, q.size + 1, len(targets)), pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(at, pa.array(q.ravel().astype(np.int32)))], names=[*names, "__q"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64()), pa.ListArray.from_arrays(at, pa.array(q.ravel().astype(np.int32)))],
+                                             names=[*own, "tokens", "q"])
 
-    schema = docs.withColumn("__q", F.array().cast("array<int>")).schema
-    times = copies(rates.column(F.col("__q")), F.col("doc_id"))
-    return (docs.mapInArrow(run, schema).withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times)))
-            .select(*(F.col(f"`{c}`") for c in names)))
+    scored = stored(rows.mapInArrow(run, rows.withColumns({"tokens": F.lit(0).cast("long"), "q": F.array().cast("array<int>")}).schema))
+    rates = fit_rates(scored.select("tokens", "q"), targets, **options)
+    times = copies(rates.column(F.col("q")), F.col(id_).cast("long"))
+    return scored.withColumn("copy", F.explode(F.array_repeat(F.lit(1), times))).select(*own).toDF(*names)
 
 
 def label_domains(labels: DataFrame) -> DataFrame:

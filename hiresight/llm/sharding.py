@@ -26,7 +26,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .tables import checkpointed
+from .tables import checkpointed, column_of, positional
 
 
 @dataclass(frozen=True)
@@ -91,11 +91,14 @@ def with_shard(df: DataFrame, tree: Tree, key: str = "doc_id") -> DataFrame:
     more = tree.grown()
     new, weight = more.added[-1]
     id_ = F.col(key)
-    placed = df.withColumn("__won", _descend(id_, tree.nodes()))
-    won = F.col("__won")
+    name = "won"
+    while name in {c.lower() for c in df.columns}:
+        name += "_"
+    placed = df.withColumn(name, _descend(id_, tree.nodes()))
+    won = F.col(name)
     return (placed.withColumn("shard", won["shard"].cast("int"))
             .withColumn("grown_shard", F.when(_draw(id_, f"+{new}", weight) < won["draw"], F.lit(new)).otherwise(won["shard"]).cast("int"))
-            .drop("__won"))
+            .drop(name))
 
 
 def assign(docs: DataFrame, tree: Tree) -> DataFrame:
@@ -117,6 +120,10 @@ def assign(docs: DataFrame, tree: Tree) -> DataFrame:
 
 
 def place(docs: DataFrame, tree: Tree) -> DataFrame:
-    """``docs`` with ``shard`` and ``size``; nothing is shuffled."""
-    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    return with_shard(docs, tree).drop("grown_shard").withColumn("size", (F.octet_length(raw) + 8).cast("long"))
+    """``docs`` with ``shard`` and ``size`` (columns of these names are
+    replaced, all others stay); nothing is shuffled."""
+    rows, names = positional(docs)
+    raw = F.coalesce(F.col(column_of(names, "text")).cast("string"), F.lit("")).cast("binary")
+    placed = with_shard(rows, tree, column_of(names, "doc_id"))
+    kept = [(f"c{i}", n) for i, n in enumerate(names) if n.lower() not in ("shard", "size")]
+    return placed.select(*(c for c, _ in kept), "shard", (F.octet_length(raw) + 8).cast("long")).toDF(*(n for _, n in kept), "shard", "size")

@@ -41,6 +41,20 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def positional(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns named c0, c1, ... and their former names, for
+    stages that add columns beside whatever the input holds (``toDF`` with the
+    former names undoes it, also for names with dots or that differ in case)."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))), df.columns
+
+
+def column_of(names: list[str], name: str) -> str:
+    """The positional name of a column: of that name, else of that name but for case."""
+    if name not in names and sum(n.lower() == name.lower() for n in names) != 1:
+        raise ValueError(f"no column {name}, or several, in {names}")
+    return f"c{names.index(name) if name in names else [n.lower() for n in names].index(name.lower())}"
+
+
 def id_remainder(column: str, divisor: int):
     """crc32 of the id as text (a null id as the empty text), mod divisor."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor

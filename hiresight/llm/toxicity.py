@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import text as tx
-from .tables import id_remainder
+from .tables import column_of, id_remainder, positional
 
 BITS = 18
 FOLDS = 4
@@ -62,7 +62,7 @@ def _count(frame: DataFrame) -> DataFrame:
             for lo, hi in tx.chunks(texts):
                 w = tx.Words(tx.Buffer(texts[lo:hi], lower=True), tx.ALNUM)
                 doc = w.text_of()
-                once = np.unique((doc << BITS) | _bucket(w.hash))
+                once = tx.distinct((doc << BITS) | _bucket(w.hash))
                 cells, n = np.unique((part[lo:hi][once >> BITS] << BITS) | (once & ((1 << BITS) - 1)), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], names=["cell", "n"])
 
@@ -223,11 +223,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score under ``limit``, unchanged."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    i_text = docs.columns.index(text)
+    rows, names = positional(docs)
+    i_text = rows.columns.index(column_of(names, text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p, _ = score_texts(shared.value, tx.utf8(batch.column(i_text)))
             yield batch.filter(pa.array(p < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*names)
