@@ -28,7 +28,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents repeated so that good and poor text reach their target shares
     (operator 8). No rate is under 1: every document stays at least once."""
     labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
-    return mixing.mix(docs, labelled, {"good": 0.90, "poor": 0.10}, low=1.0, high=3.0)
+    return mixing.mix(docs, labelled, {"good": 0.90, "poor": 0.10}, low=1.0)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
