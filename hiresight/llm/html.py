@@ -29,6 +29,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pandas as pd
@@ -46,6 +47,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _SPACE = re.compile(r"\s+")
 _NO_WORD = re.compile(r"[^a-z_-]+")
+_PART = re.compile(r"[-_]+")
 
 # Fixed values of HTML: elements without content, raw text, block elements, and
 # start tags that end an open element.
@@ -59,8 +61,15 @@ _SCOPE = frozenset("ul ol dl table select article section div body html".split()
 
 # Elements and class words that are not main text.
 _BOILER = frozenset("aside button dialog footer form head iframe input menu nav noscript script select style svg template textarea title".split())
-_BOILER_WORDS = frozenset("ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus dropdown footer gdpr hidden legal login menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promotion recommended related replies reply search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split())
+_BOILER_WORDS = frozenset("ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus dropdown footer gdpr hidden legal login menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promotion recommended related replies reply search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget commentlist".split())
 _HEADER_WORDS = frozenset("header masthead topbar".split())
+# Of these, words that also name a topic: on a text element inside an article they say nothing.
+_TOPICS = frozenset("alert banner copyright legal login menu notice notification promo promotion recommended related replies reply search share sharing skip social subscription widget".split())
+_TEXT = frozenset("a b blockquote code dd dl dt em figcaption figure h1 h2 h3 h4 h5 h6 i li ol p pre section span strong table td th tr ul".split())
+# Parts of compound classes: with a boilerplate word they only say what kind of box it is (share-buttons) ...
+_BOXES = frozenset("area bar block blog body bottom box button buttons card cards container content feed fixed form global group header heading icon icons inner item items left link links list main message mobile module outer overlay page panel post posts primary right row secondary section site slot sticky stories strip tab tabs thread title top unit wrap wrapper zone".split())
+# ... and with one of these, that the page has such a box somewhere, or not (no-sidebar).
+_STATES = frozenset("closed disabled enabled has have hide is no non not off on open with without".split())
 # Elements that no class word makes boilerplate.
 _NEVER = frozenset("body html".split())
 
@@ -80,10 +89,28 @@ def _label(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted(words)]) if words else tag
 
 
+@lru_cache(1 << 14)
+def _votes(word: str) -> tuple[bool, bool]:
+    """If a class word calls its element boilerplate, and if by a topic alone. All
+    parts of a compound must agree: one of them is no evidence."""
+    if word in _BOILER_WORDS:
+        return True, word in _TOPICS
+    parts = _PART.split(word)
+    named = [x for x in parts if x in _BOILER_WORDS]
+    if not named or len(parts) == 1 or not _STATES.isdisjoint(parts) or not all(x in _BOILER_WORDS or x in _BOXES for x in parts):
+        return False, False
+    return True, all(x in _TOPICS for x in named) and len(parts) == len(named)
+
+
+@lru_cache(1 << 16)
 def _boiler(label: str, in_article: bool) -> bool:
     tag, *words = label.split(".")
-    if tag in _BOILER or tag not in _NEVER and not _BOILER_WORDS.isdisjoint(words):
+    if tag in _BOILER:
         return True
+    if tag not in _NEVER:
+        for yes, topic in map(_votes, words):
+            if yes and not (topic and in_article and tag in _TEXT):
+                return True
     return not in_article and tag not in ("body", "html") and (tag == "header" or not _HEADER_WORDS.isdisjoint(words))
 
 
@@ -380,8 +407,10 @@ def masses(html: str) -> dict[str, int]:
 
 
 def main_text(html: str, where: frozenset[str]) -> str:
-    """The blocks of text below the given paths, boilerplate left out."""
-    blocks: list[str] = []
+    """The blocks of text below the given paths, boilerplate left out. Of several
+    places (teaser articles beside the story) the one whose element holds most
+    text counts, with all elements of its path."""
+    found: list[tuple[str, list[str]]] = [("", [])]
     words: list[str] = []
     # class words do not drop the places and their ancestors
     opened = {"/".join(p.split("/")[: k + 1]) for p in where for k in range(p.count("/") + 1)}
@@ -392,7 +421,7 @@ def main_text(html: str, where: frozenset[str]) -> str:
         if words:
             block = _SPACE.sub(" ", unescape("".join(words))).strip()
             if block:
-                blocks.append(block)
+                found[-1][1].append(block)
             words.clear()
 
     for kind, value in events(html):
@@ -408,6 +437,9 @@ def main_text(html: str, where: frozenset[str]) -> str:
             above = path
             path, deep = _below(path, len(stack) - 1, value, deep)
             drop = drop or _boiler(value, article) and (path == above or path not in opened or tag in _BOILER)
+            if not inside and path in where:
+                flush()
+                found.append((path, []))
             stack.append((path, inside or path in where, drop, article or _place(value) == "article", block, deep))
         elif kind == -1:
             if stack.pop()[4]:
@@ -417,7 +449,8 @@ def main_text(html: str, where: frozenset[str]) -> str:
         elif value == "hr":
             flush()
     flush()
-    return "\n".join(blocks)
+    most = max(found, key=lambda x: sum(map(len, x[1])))[0]
+    return "\n".join(b for path, blocks in found if path == most for b in blocks)
 
 
 # -- Spark ---------------------------------------------------------------

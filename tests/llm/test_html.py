@@ -99,3 +99,27 @@ def test_class_words_do_not_hide_the_main_text():
                  "<body><div class='alert'>text</div></body>"):
         assert text_of(page) == "text", page
     assert text_of("<body><article class='comment'>reader</article><article>text</article></body>") == "text"
+
+
+def test_compound_classes_agree_or_say_nothing():
+    for box in ("cookie-banner", "related-posts", "newsletter-signup", "share-buttons", "comment-list", "ad-slot", "site-footer",
+                "comments-area", "commentlist", "social_links", "sidebar-left", "blog-sidebar", "ad_unit_3"):
+        assert text_of(f"<article><p>story</p><div class='{box}'><p>junk</p></div><p>end</p></article>") == "story\nend", box
+    for kept in ("no-sidebar", "has-comments", "with-ads", "share-price", "search-results", "post-content", "cookies-recipe", "legal-history", "download"):
+        assert text_of(f"<article><p>story</p><div class='{kept}'><p>text</p></div></article>") == "story\ntext", kept
+
+
+def test_topic_words_on_text_inside_an_article():
+    page = ("<article><p class='search'>How search works.</p><section class='legal'><h2>Law</h2><p>The case.</p></section>"
+            "<p class='ad'>buy</p><div class='search'><p>find</p></div><ul class='comments'><li>reader</li></ul></article>")
+    assert text_of(page) == "How search works.\nLaw\nThe case."
+
+
+def test_teasers_beside_the_story():
+    story = "".join(f"<p>Paragraph {i} of the story, which goes on for a while.</p>" for i in range(4))
+    teasers = "".join(f"<article><h3>Other {i}</h3><p>Short teaser.</p></article>" for i in range(3))
+    for page in (f"<main><article>{story}</article></main><section>{teasers}</section>", f"<section>{teasers}</section><main><article>{story}</article></main>",
+                 f"<body><article class='story'>{story}</article><div>{teasers}</div></body>"):
+        assert text_of(page) == "\n".join(f"Paragraph {i} of the story, which goes on for a while." for i in range(4)), page
+    # several parts of one place stay together
+    assert text_of("<main><article><p>one</p></article><article><p>two</p></article></main>") == "one\ntwo"
