@@ -297,6 +297,9 @@ oracle("tagged_runs_by_index", with_(canon_ctes(True) + _POSTED, """SELECT run_d
   run_date = min(run_date) OVER (PARTITION BY job_key) AS is_new FROM posted"""))
 oracle("first_seen_after_rebuild", with_(canon_ctes(True) + _POSTED, """SELECT job_key, min(run_date) AS first_run_date FROM posted
   WHERE source = 'greenhouse' OR run_date <> (SELECT min(run_date) FROM posted WHERE run_date > (SELECT min(run_date) FROM posted)) GROUP BY job_key"""))
+oracle("distinct_over_run_ranges", with_(canon_ctes(True) + _POSTED + ", days AS (SELECT DISTINCT run_date FROM posted)", """SELECT a.run_date AS since, b.run_date AS until,
+  count(DISTINCT job_key) AS job_key, count(DISTINCT state) AS state, true AS close FROM days a JOIN days b ON a.run_date <= b.run_date
+  JOIN posted p ON p.run_date BETWEEN a.run_date AND b.run_date GROUP BY ALL"""))
 oracle("events_latest", """SELECT user_id, event_type, event_id, ts, round(value, 6) AS value FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
 _FIRST = ", f AS (SELECT job_key, min(run_date) AS first_run_date FROM jobs GROUP BY job_key)"

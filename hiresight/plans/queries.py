@@ -8,13 +8,14 @@ doubles are rounded to 6 decimals, every computed column is aliased.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import boards as bd
 from ..functions import keys, location, text
-from ..operators import dedupe, discovery, enrich, facts, metrics, trends
+from ..operators import dedupe, discovery, enrich, facts, metrics, sketches, trends
 from ..operators import canonical as canon_ops
 from ..operators.canonical import rejects, valid_jobs
 from ..sources import testdata
@@ -453,6 +454,23 @@ def skill_family_matrix_from_facts(spark, sf):
     return trends.skill_family_matrix(facts.job_facts(_jobs(spark, sf)), 20)
 
 
+@query
+def distinct_over_run_ranges(spark, sf):
+    """A9 over every range of runs: states from the runs' sketches (exact for so
+    few values), job keys exactly and if the sketches come within their bound."""
+    jobs = _first_postings(spark, sf)
+    days = [str(d) for d, _ in _runs(jobs)]
+    kept = sketches.run_sketches(jobs, ["job_key", "state"])
+
+    def between(a, b):
+        row = [F.lit(a).cast("date").alias("since"), F.lit(b).cast("date").alias("until")]
+        return (sketches.distinct_between(kept, a, b).select(*row, "state", F.col("job_key").alias("estimate"))
+                .join(sketches.exact_between(jobs, a, b, ["job_key"]).select(*row, "job_key"), ["since", "until"])
+                .select("since", "until", "state", "job_key", (F.abs(F.col("estimate") - F.col("job_key")) <= 0.05 * F.col("job_key")).alias("close")))
+
+    return reduce(DataFrame.union, [between(a, b) for i, a in enumerate(days) for b in days[i:]])
+
+
 # ----------------------------------------------------------- trends (W, M, J)
 
 @report

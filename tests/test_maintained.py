@@ -141,3 +141,22 @@ def test_reports_from_facts(spark, history):
     read = J.read_facts(spark, path)
     assert not any("jobs" in f.split("/")[-4:] for f in read.inputFiles()) and "job_key" not in read.columns
     assert facts.job_facts(store.read_jobs(spark, history)).count() == read.count()
+
+
+def test_sketches_stay_within_their_bound(spark):
+    from hiresight.operators import sketches
+
+    # 8 runs that share most of their keys: 20,000 and more distinct ones over the ranges
+    ids = spark.range(0, 8 * 12_000).withColumn("run", (F.col("id") / 12_000).cast("int"))
+    jobs = ids.select(F.date_add(F.lit("2025-01-06").cast("date"), F.col("run") * 7).alias("run_date"),
+                      (F.col("id") % 12_000 + F.col("run") * 1_500).cast("string").alias("job_key"), (F.col("id") % 40).cast("string").alias("city"))
+    kept = sketches.run_sketches(jobs, ["job_key", "city"]).persist()
+    days = sorted(str(r[0]) for r in kept.select("run_date").collect())
+    for i in range(8):
+        for j in range(i, 8):
+            got = sketches.distinct_between(kept, days[i], days[j]).first()
+            exact = 12_000 + 1_500 * (j - i)
+            assert abs(got["job_key"] - exact) <= 0.05 * exact and got["city"] == 40
+    assert tuple(sketches.exact_between(jobs, days[1], days[3], ["job_key", "city"]).first()) == (15_000, 40)
+    assert tuple(sketches.distinct_between(kept, "1999-01-01", "1999-01-02").first()) == (0, 0)
+    kept.unpersist()
