@@ -43,5 +43,17 @@ def distinct_between(sketches: DataFrame, since: str | None = None, until: str |
         *[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0).cast("long")).alias(c) for c in counted])
 
 
+def in_ranges(rows: DataFrame, ranges: Sequence[tuple[str, str]]) -> DataFrame:
+    """``rows`` once for each range (``since``, ``until``) that holds their run."""
+    listed = F.array(*[F.struct(F.lit(a).cast("date").alias("since"), F.lit(b).cast("date").alias("until")) for a, b in ranges])
+    return rows.select("*", F.inline(F.filter(listed, lambda r: (r["since"] <= F.col(RUN)) & (F.col(RUN) <= r["until"]))))
+
+
+def distinct_over(sketches: DataFrame, ranges: Sequence[tuple[str, str]]) -> DataFrame:
+    """``distinct_between`` for many ranges: a row for each that holds a run."""
+    counted = [c for c in sketches.columns if c != RUN]
+    return in_ranges(sketches, ranges).groupBy("since", "until").agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in counted])
+
+
 def exact_between(jobs: DataFrame, since: str | None = None, until: str | None = None, counted: Sequence[str] = COUNTED) -> DataFrame:
     return jobs.where(_between(since, until)).agg(*[F.count_distinct(c).alias(c) for c in counted])

@@ -8,7 +8,6 @@ doubles are rounded to 6 decimals, every computed column is aliased.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -460,15 +459,11 @@ def distinct_over_run_ranges(spark, sf):
     few values), job keys exactly and if the sketches come within their bound."""
     jobs = _first_postings(spark, sf)
     days = [str(d) for d, _ in _runs(jobs)]
-    kept = sketches.run_sketches(jobs, ["job_key", "state"])
-
-    def between(a, b):
-        row = [F.lit(a).cast("date").alias("since"), F.lit(b).cast("date").alias("until")]
-        return (sketches.distinct_between(kept, a, b).select(*row, "state", F.col("job_key").alias("estimate"))
-                .join(sketches.exact_between(jobs, a, b, ["job_key"]).select(*row, "job_key"), ["since", "until"])
-                .select("since", "until", "state", "job_key", (F.abs(F.col("estimate") - F.col("job_key")) <= 0.05 * F.col("job_key")).alias("close")))
-
-    return reduce(DataFrame.union, [between(a, b) for i, a in enumerate(days) for b in days[i:]])
+    ranges = [(a, b) for i, a in enumerate(days) for b in days[i:]]
+    estimated = sketches.distinct_over(sketches.run_sketches(jobs, ["job_key", "state"]), ranges)
+    exact = sketches.in_ranges(jobs, ranges).groupBy("since", "until").agg(F.count_distinct("job_key").alias("exact"))
+    close = F.abs(F.col("job_key") - F.col("exact")) <= 0.05 * F.col("exact")
+    return estimated.join(exact, ["since", "until"]).select("since", "until", "state", F.col("exact").alias("job_key"), close.alias("close"))
 
 
 # ----------------------------------------------------------- trends (W, M, J)

@@ -159,4 +159,6 @@ def test_sketches_stay_within_their_bound(spark):
             assert abs(got["job_key"] - exact) <= 0.05 * exact and got["city"] == 40
     assert tuple(sketches.exact_between(jobs, days[1], days[3], ["job_key", "city"]).first()) == (15_000, 40)
     assert tuple(sketches.distinct_between(kept, "1999-01-01", "1999-01-02").first()) == (0, 0)
+    many = {(str(r["since"]), str(r["until"])): r["job_key"] for r in sketches.distinct_over(kept, [(days[0], days[2]), (days[4], days[4])]).collect()}
+    assert many == {k: sketches.distinct_between(kept, *k).first()["job_key"] for k in many} and len(many) == 2
     kept.unpersist()
