@@ -198,8 +198,7 @@ class Scanner:
 
 def _number(terms: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Number of each term, -1 if no template has it."""
-    at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
-    return np.where(terms[at] == h, at, -1)
+    return tx.Lookup(terms).find(h).astype(np.int64)
 
 
 def _pairs(w: tx.Words) -> np.ndarray:

@@ -122,6 +122,32 @@ class Words:
         return at, mix(out)
 
 
+class Lookup:
+    """Numbers of 64-bit keys in a sorted array, by a table over their top bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.shift = np.uint64(64 - (max(len(keys), 1).bit_length() + 1))
+        bounds = np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift
+        self.first = np.r_[np.searchsorted(keys, bounds), len(keys)].astype(np.int32)
+        self.probes = int(np.diff(self.first).max(initial=0))
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        out = np.full(len(keys), -1, np.int32)
+        if not len(self.keys):
+            return out
+        bucket = (keys >> self.shift).astype(np.int64)
+        at, stop = self.first[bucket], self.first[bucket + 1]
+        left = np.flatnonzero(at < stop)
+        for _ in range(self.probes):
+            here = at[left]
+            same = self.keys[here] == keys[left]
+            out[left[same]] = here[same]
+            at[left] += 1
+            left = left[~same & (here + 1 < stop[left])]
+        return out
+
+
 def chunks(texts: list[bytes | None], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``limit`` bytes; a longer text stands alone."""
     lo, size = 0, 0
