@@ -113,7 +113,7 @@ def random_looking(value: str) -> bool:
 
 def _shape(s: str) -> str:
     out = []
-    for c in s[:64]:
+    for c in s:
         k = "9" if "0" <= c <= "9" else "a" if c.isalpha() else c
         if not out or out[-1] != k or k not in "9a":
             out.append(k)
@@ -126,10 +126,10 @@ def span_features(words: list[str], i: int, j: int, before: str, after: str) ->
     lo, _ = core(own[0])
     _, hi = core(own[-1])
     s = own[0][lo:hi] if j == i + 1 else " ".join([own[0][lo:], *own[1:-1], own[-1][:hi]])
-    digits = _NOT_DIGIT.sub("", s[:200])
-    letters = sum(c.isalpha() for c in s[:200])
-    groups = [len(x) for x in re.findall("[0-9]+", s[:200])]
-    parts = s[:80].split(".")
+    digits = _NOT_DIGIT.sub("", s)
+    letters = sum(map(str.isalpha, s))
+    groups = [len(x) for x in re.findall("[0-9]+", s)]
+    parts = s.split(".") if s.count(".") == 3 else []
     f = ["bias", f"words{j - i}", f"shape{_shape(s)}", f"groups{groups[:6]}", f"digits{min(len(digits), 24)}", f"letters{min(letters, 24) // 3}",
          f"first{s[:1] if not s[:1].isalnum() else 'x'}", f"at{s.count('@')}dots{min(s.count('.'), 5)}", f"long{min(len(s), 48) // 6}",
          f"luhn{12 <= len(digits) <= 19 and luhn(digits)}{letters > 0}",

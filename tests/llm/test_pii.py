@@ -116,3 +116,9 @@ def test_operator(spark):
     plain = [r for r in out if r["n_added"] and "api_key" not in (text[r["doc_id"]] or "") and r["doc_id"] is not None and r["doc_id"] < 900]
     assert len(plain) <= 5  # numbers and versions are left alone
     assert pii.find(df.limit(0), pii.fit(df.limit(0))).count() == 0
+
+
+def test_features_read_whole_spans():
+    long = "a1" * 500
+    for one, other in ((long, long[:300] + "#" + long[301:]), ("1" * 300 + "abcdef", "1" * 306), ("1." + "0" * 100 + ".1.1", "1." + "0" * 100 + ".1.1.1")):
+        assert pii.span_features([one], 0, 1, "", "") != pii.span_features([other], 0, 1, "", "")
