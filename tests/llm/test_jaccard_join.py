@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 
+from hiresight.llm import graph
 from hiresight.llm import jaccard_join as jj
 from hiresight.llm.graph import components
 
@@ -105,3 +106,19 @@ def test_components(spark):
     want = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {201: 201, 202: 201}
     assert got == want
     assert components(df.limit(0)).count() == 0
+
+
+def test_components_take_few_shuffles_and_rounds(spark, monkeypatch):
+    done = []
+    real = graph.checkpointed
+    monkeypatch.setattr(graph, "checkpointed", lambda df: done.append(1) or real(df))
+    stars = spark.createDataFrame([(i, i % 3) for i in range(3, 90)], "u long, v long")
+    assert {x["node"]: x["component"] for x in components(stars).collect()} == {i: i % 3 for i in range(90)}
+    assert len(done) == 1  # stars are settled: no round at all
+    done.clear()
+    path = spark.createDataFrame([(i, i + 1) for i in range(64)], "u long, v long")
+    assert {x["component"] for x in components(path).collect()} == {0}
+    assert len(done) <= 7
+    one = graph._small_star(graph._large_star(real(path.toDF("v", "u"))))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 7, plan
