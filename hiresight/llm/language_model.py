@@ -14,23 +14,26 @@ last class have its probability by their add-one counts, unseen words included.
 
 1. One pass over the training texts counts words; Spark sums them, so counts
    grow with the corpus and are exact.
-2. First update, from weights 0: there the expected outcomes of a feature row are
-   its tokens times the prior, so the tasks only count observed outcomes by row
-   (blocks of rows are summed in a tree of groups of at most ``FAN_IN`` messages),
-   and each weight becomes the log ratio of observed to expected outcomes, with
-   ``RIDGE`` outcomes of the prior added to both.
-3. Joint updates: features that fire together share what they know, which one
-   scale per factor and template takes into account. In each of ``SLICES`` steps
-   the tasks read a share of the texts (every text is read in one step) and add up
-   the scales' gradient and curvature under both softmaxes; a Newton step follows.
-   The model has ``ROWS`` feature rows in each factor, whatever the corpus: a
-   broadcast of the weights is 8 MB, and so is a task's message at most.
+2. Start: with weights 0 the expected outcomes of a feature row are its tokens times
+   the prior, so the tasks only count observed outcomes by row (blocks of rows are
+   summed in a tree of groups of at most ``FAN_IN`` messages). The training starts
+   where each row by itself would have the outcomes observed, with ``RIDGE``
+   outcomes of the prior added.
+3. Gradient updates, in ``SLICES`` steps, each over a share of the texts (every text
+   is read in one step). Features that fire together share what they know, which
+   one scale per factor and template takes into account: the tasks add up the
+   scales' gradient and curvature under both softmaxes, and a Newton step follows.
+   Then they add up the weights' gradient under both softmaxes (observed minus
+   expected outcomes of each row, in the same tree), and every weight moves by
+   ``RATE`` of its gradient over its curvature. Tokens of equal features share one
+   softmax. The model has ``ROWS`` feature rows in each factor, whatever the
+   corpus: a broadcast of the weights is 8 MB, a task's message 16 MB at most.
 4. Scoring works in numpy batches. Counts of frequent words are broadcast (a
    count threshold keeps them under ``hot_words``); all other words go to Spark
    as (text, word) rows that join the count table. So every count is exact,
    however many words there are.
 
-Weights are ratios of whole numbers, scales are rounded, and every text's sums are
+Gradients are sums of whole numbers, scales are rounded, and every text's sums are
 taken by itself: the model does not depend on the order of tasks, nor a score on
 neighbouring texts.
 Words are told apart by 64-bit hashes.
@@ -63,8 +66,10 @@ _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6
 #: feature rows of each factor, under 1 << 16
 ROWS = 1 << 15
 RIDGE, MOST_WEIGHT = 20.0, 6.0
+RATE, MOST_STEP = 0.25, 1.0
 SLICES, BLOCK, FAN_IN = 2, 256, 32
-_STEP = 1 << 13
+#: expected outcomes are summed as whole multiples of 1 / UNIT
+UNIT, _STEP = 1 << 13, 1 << 13
 
 
 class Tokens:
@@ -205,8 +210,9 @@ def _tree(sums: DataFrame, tasks: int, add, schema: str) -> DataFrame:
     return sums
 
 
-def observe(texts: DataFrame, model: Model) -> np.ndarray:
-    """Observed outcomes of each feature row over all tokens of ``texts``."""
+def _by_row(texts: DataFrame, model: Model, count, limit: int) -> np.ndarray:
+    """Whole numbers by feature row and outcome, summed over all tokens of ``texts``:
+    ``count(model, tokens, numbers, total)`` adds those of some texts."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
     schema = "block long, task long, n binary"
 
@@ -217,11 +223,9 @@ def observe(texts: DataFrame, model: Model) -> np.ndarray:
         total = np.zeros(m.weight.size, np.int64)
         for batch in batches:
             texts = tx.utf8(batch.column(0))
-            for lo, hi in tx.chunks(texts, 4 << 20):
+            for lo, hi in tx.chunks(texts, limit):
                 t = Tokens(texts[lo:hi])
-                for _, taken, _, rows in m.rows_of(t, m.hot.find(t.hash)):
-                    for r in rows:
-                        total += np.bincount(r * CLASSES + taken, minlength=len(total))
+                count(m, t, m.hot.find(t.hash), total)
         task, size = TaskContext.get().partitionId(), BLOCK * CLASSES
         for b in range(0, len(total), size):
             n = total[b : b + size]
@@ -240,17 +244,82 @@ def observe(texts: DataFrame, model: Model) -> np.ndarray:
     return out.reshape(-1, CLASSES)
 
 
-def first_weights(seen: np.ndarray, model: Model) -> np.ndarray:
-    """Log ratios of observed to expected outcomes of each row, both with
-    ``RIDGE`` outcomes of the prior added; 0 where the prior has no mass."""
-    # the prior of each row: one for the class factor, one per class for the places
+def _count_observed(m: Model, t: Tokens, number: np.ndarray, total: np.ndarray) -> None:
+    for _, taken, _, rows in m.rows_of(t, number):
+        for r in rows:
+            total += np.bincount(r * CLASSES + taken, minlength=len(total))
+
+
+def observe(texts: DataFrame, model: Model) -> np.ndarray:
+    """Observed outcomes of each feature row over all tokens of ``texts``."""
+    return _by_row(texts, model, _count_observed, 4 << 20)
+
+
+def _contexts(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """One token for each distinct combination of feature rows, and their counts:
+    all that a softmax depends on."""
+    key = np.zeros(len(rows[0]), np.int64)
+    for r in rows:
+        key = key * (2 * ROWS) + r
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return order[first], np.diff(np.r_[first, len(key)])
+
+
+def _count_misses(m: Model, t: Tokens, number: np.ndarray, total: np.ndarray) -> None:
+    for k, (_, taken, prior, rows) in enumerate(m.rows_of(t, number)):
+        for scale, r in zip(m.scale[k], rows, strict=True):
+            seen = np.bincount(r * CLASSES + taken, minlength=len(total))
+            seen *= int(round(scale * UNIT))
+            total += seen
+        one, times = _contexts(rows)
+        for lo in range(0, len(one), _STEP):
+            at, n = one[lo : lo + _STEP], times[lo : lo + _STEP, None]
+            own = [r[at] for r in rows]
+            _, p = m.probabilities(k, prior[at], m.parts(own))
+            p /= p.sum(1, keepdims=True)  # row by row: the same whatever rows stand beside it
+            for scale, r in zip(m.scale[k], own, strict=True):
+                expected = np.rint(p * np.float32(scale * UNIT)).astype(np.int64)
+                cells = r[:, None] * CLASSES + np.arange(CLASSES)
+                np.add.at(total, cells.ravel(), (expected * -n).ravel())
+
+
+def gradient(texts: DataFrame, model: Model) -> np.ndarray:
+    """The weights' gradient over all tokens of ``texts`` (UNIT = 1): observed minus
+    expected outcomes of each feature row under both softmaxes, times the scale of
+    the template that names the row."""
+    return _by_row(texts, model, _count_misses, 2 << 20)
+
+
+def _row_priors(model: Model) -> np.ndarray:
+    """The prior of each row: one for the class factor, one per class for the places."""
     own = np.r_[np.zeros(model.rows, np.int64), 1 + np.arange(model.rows) // (model.rows // CLASSES)]
-    p = np.exp(model.prior.astype(np.float64))[own]
+    return np.exp(model.prior.astype(np.float64))[own]
+
+
+def first_weights(seen: np.ndarray, model: Model) -> np.ndarray:
+    """Where the gradient updates start: log ratios of observed to expected outcomes
+    of each row, both with ``RIDGE`` outcomes of the prior added; 0 where the prior
+    has no mass."""
+    p = _row_priors(model)
     with np.errstate(divide="ignore", invalid="ignore"):
         w = np.log((seen + RIDGE * p) / ((seen.sum(1, keepdims=True) + RIDGE) * p))
     return np.where(p > 0, np.clip(w, -MOST_WEIGHT, MOST_WEIGHT), 0).astype(np.float32)
 
 
+def moved(model: Model, slope: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The weights after a gradient step. A weight's curvature is its outcomes
+    (observed ones, ``RIDGE`` of the prior added, in one share of the texts) times
+    its factor's squared scale."""
+    p = _row_priors(model)
+    square = np.repeat(np.maximum((model.scale**2).mean(1), 0.05), model.rows)[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        step = RATE * (slope / UNIT) / ((seen + RIDGE * p) / SLICES * square)
+    step = np.where(p > 0, np.clip(step, -MOST_STEP, MOST_STEP), 0)
+    return np.clip(model.weight + step, -MOST_WEIGHT, MOST_WEIGHT).astype(np.float32)
+
+
 def newton(texts: DataFrame, model: Model) -> np.ndarray:
     """The scales after a Newton step over all tokens of ``texts``."""
     shared, n = texts.sparkSession.sparkContext.broadcast(model), len(TEMPLATES)
@@ -262,15 +331,20 @@ def newton(texts: DataFrame, model: Model) -> np.ndarray:
             texts = tx.utf8(batch.column(0))
             for lo, hi in tx.chunks(texts, 4 << 20):
                 t = Tokens(texts[lo:hi])
-                for k, at, taken, prior, rows in m.blocks(t, m.hot.find(t.hash)):
-                    parts = m.parts(rows)
-                    _, p = m.probabilities(k, prior, parts)
-                    p /= (p @ _ONES)[:, None]
-                    mean = [(x * p) @ _ONES for x in parts]
-                    for i, x in enumerate(parts):
-                        slope[k, i] += (x[np.arange(len(at)), taken] - mean[i]).sum(dtype=np.float64)
-                        for j in range(i + 1):
-                            bend[k, i, j] += (np.einsum("ij,ij,ij->i", x, parts[j], p) - mean[i] * mean[j]).sum(dtype=np.float64)
+                for k, (_, taken, prior, rows) in enumerate(m.rows_of(t, m.hot.find(t.hash))):
+                    for i, r in enumerate(rows):
+                        slope[k, i] += m.weight.ravel().take(r * CLASSES + taken).sum(dtype=np.float64)
+                    one, times = _contexts(rows)
+                    for start in range(0, len(one), _STEP):
+                        at, c = one[start : start + _STEP], times[start : start + _STEP].astype(np.float64)
+                        parts = m.parts([r[at] for r in rows])
+                        _, p = m.probabilities(k, prior[at], parts)
+                        p /= (p @ _ONES)[:, None]
+                        mean = [(x * p) @ _ONES for x in parts]
+                        for i, x in enumerate(parts):
+                            slope[k, i] -= mean[i] @ c
+                            for j in range(i + 1):
+                                bend[k, i, j] += (np.einsum("ij,ij,ij->i", x, parts[j], p) - mean[i] * mean[j]) @ c
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[slope.ravel(), bend.ravel()]), pa.array(np.arange(2 * n + 2 * n * n))], names=["x", "i"])
 
     got = texts.mapInArrow(part, "x double, i long").groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()
@@ -286,10 +360,13 @@ def newton(texts: DataFrame, model: Model) -> np.ndarray:
 
 def train(texts: DataFrame, model: Model) -> Model:
     """The model with weights and scales fitted to ``texts`` (text)."""
-    model = replace(model, weight=first_weights(observe(texts, model), model))
+    seen = observe(texts, model)
+    model = replace(model, weight=first_weights(seen, model))
     share = F.pmod(F.xxhash64(F.lit("share"), "text"), F.lit(SLICES))
     for k in range(SLICES):
-        model = replace(model, scale=newton(texts.where(share == k).select("text"), model))
+        mine = texts.where(share == k).select("text")
+        model = replace(model, scale=newton(mine, model))
+        model = replace(model, weight=moved(model, gradient(mine, model), seen))
     return model
 
 

@@ -161,3 +161,34 @@ def test_words_before_count(spark):
     # the same words in another order score far lower, and unseen texts are far better than by counts alone
     assert all(a[i] > x + 10 for i, x in b.items()), (a, b)
     assert sum(unseen) / len(unseen) > -60 * math.log10(len(v)) * 0.85
+
+
+def test_weights_are_trained_by_the_gradient_of_both_softmaxes(spark, monkeypatch):
+    rows = corpus(60)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model, _ = lm.fit(df, hot_words=60)
+    scale = np.array([[0.5, 0.25, 1.0], [1.5, 0.125, 0.75]])
+    model = lm.replace(model, scale=scale)
+    t = lm.Tokens([x.encode() if x else None for _, x in rows])
+    number = model.hot.find(t.hash)
+    texts = df.select("text").repartition(7)
+    got = lm.gradient(texts, model)
+    want, tokens_of = np.zeros(got.shape), np.zeros((len(got), 1))
+    for k, (_, taken, prior, feature_rows) in enumerate(model.rows_of(t, number)):
+        z = model.prior[prior].astype(float) + sum(s * model.weight[r] for s, r in zip(scale[k], feature_rows, strict=True))
+        miss = np.eye(lm.CLASSES)[taken] - np.exp(z) / np.exp(z).sum(1, keepdims=True)
+        for s, r in zip(scale[k], feature_rows, strict=True):
+            np.add.at(want, r, s * miss)
+            np.add.at(tokens_of, r, 1)
+    assert (np.abs(got / lm.UNIT - want) <= 1e-3 * tokens_of).all() and np.abs(want).max() > 5
+    assert np.array_equal(got, lm.gradient(texts.repartition(2), model))  # whole numbers: in any order
+    # a step goes uphill, and training takes one of every share
+    seen = lm.observe(texts, model)
+    gain = lambda m: m.log_probability(t, number).sum()
+    assert gain(lm.replace(model, weight=lm.moved(model, got, seen))) > gain(model)
+    read = []
+    real = lm.gradient
+    monkeypatch.setattr(lm, "gradient", lambda part, m: read.append(part.count()) or real(part, m))
+    trained = lm.train(texts, lm.replace(model, weight=np.zeros_like(model.weight)))
+    assert len(read) == lm.SLICES and sum(read) == len(rows)
+    assert not np.array_equal(trained.weight, lm.first_weights(seen, model))
