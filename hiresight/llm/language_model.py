@@ -68,8 +68,8 @@ ROWS = 1 << 15
 RIDGE, MOST_WEIGHT = 20.0, 6.0
 RATE, MOST_STEP = 0.25, 1.0
 SLICES, BLOCK, FAN_IN = 2, 256, 32
-#: expected outcomes are summed as whole multiples of 1 / UNIT
-UNIT, _STEP = 1 << 13, 1 << 13
+#: expected outcomes are summed as whole multiples of 1 / UNIT, times scales as such of 1 / GRAIN
+UNIT, GRAIN, _STEP = 1 << 12, 1 << 7, 1 << 13
 
 
 class Tokens:
@@ -256,8 +256,8 @@ def observe(texts: DataFrame, model: Model) -> np.ndarray:
 
 
 def _contexts(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """One token for each distinct combination of feature rows, and their counts:
-    all that a softmax depends on."""
+    """One token for each distinct combination of feature rows (all that a softmax
+    depends on), and their counts."""
     key = np.zeros(len(rows[0]), np.int64)
     for r in rows:
         key = key * (2 * ROWS) + r
@@ -269,27 +269,26 @@ def _contexts(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def _count_misses(m: Model, t: Tokens, number: np.ndarray, total: np.ndarray) -> None:
     for k, (_, taken, prior, rows) in enumerate(m.rows_of(t, number)):
-        for scale, r in zip(m.scale[k], rows, strict=True):
-            seen = np.bincount(r * CLASSES + taken, minlength=len(total))
-            seen *= int(round(scale * UNIT))
-            total += seen
+        times_scale = np.rint(m.scale[k] * GRAIN).astype(np.int64)
+        for scale, r in zip(times_scale, rows, strict=True):
+            np.add.at(total, r * CLASSES + taken, scale * UNIT)
         one, times = _contexts(rows)
         for lo in range(0, len(one), _STEP):
             at, n = one[lo : lo + _STEP], times[lo : lo + _STEP, None]
             own = [r[at] for r in rows]
             _, p = m.probabilities(k, prior[at], m.parts(own))
             p /= p.sum(1, keepdims=True)  # row by row: the same whatever rows stand beside it
-            for scale, r in zip(m.scale[k], own, strict=True):
-                expected = np.rint(p * np.float32(scale * UNIT)).astype(np.int64)
+            expected = np.rint(p * np.float32(UNIT)).astype(np.int64) * -n
+            for scale, r in zip(times_scale, own, strict=True):
                 cells = r[:, None] * CLASSES + np.arange(CLASSES)
-                np.add.at(total, cells.ravel(), (expected * -n).ravel())
+                np.add.at(total, cells.ravel(), (expected * scale).ravel())
 
 
 def gradient(texts: DataFrame, model: Model) -> np.ndarray:
-    """The weights' gradient over all tokens of ``texts`` (UNIT = 1): observed minus
-    expected outcomes of each feature row under both softmaxes, times the scale of
+    """The weights' gradient over all tokens of ``texts`` (UNIT * GRAIN = 1): observed
+    minus expected outcomes of each feature row under both softmaxes, times the scale of
     the template that names the row."""
-    return _by_row(texts, model, _count_misses, 2 << 20)
+    return _by_row(texts, model, _count_misses, 4 << 20)
 
 
 def _row_priors(model: Model) -> np.ndarray:
@@ -315,7 +314,7 @@ def moved(model: Model, slope: np.ndarray, seen: np.ndarray) -> np.ndarray:
     p = _row_priors(model)
     square = np.repeat(np.maximum((model.scale**2).mean(1), 0.05), model.rows)[:, None]
     with np.errstate(divide="ignore", invalid="ignore"):
-        step = RATE * (slope / UNIT) / ((seen + RIDGE * p) / SLICES * square)
+        step = RATE * (slope / (UNIT * GRAIN)) / ((seen + RIDGE * p) / SLICES * square)
     step = np.where(p > 0, np.clip(step, -MOST_STEP, MOST_STEP), 0)
     return np.clip(model.weight + step, -MOST_WEIGHT, MOST_WEIGHT).astype(np.float32)
 

@@ -180,7 +180,7 @@ def test_weights_are_trained_by_the_gradient_of_both_softmaxes(spark, monkeypatc
         for s, r in zip(scale[k], feature_rows, strict=True):
             np.add.at(want, r, s * miss)
             np.add.at(tokens_of, r, 1)
-    assert (np.abs(got / lm.UNIT - want) <= 1e-3 * tokens_of).all() and np.abs(want).max() > 5
+    assert (np.abs(got / (lm.UNIT * lm.GRAIN) - want) <= 1e-3 * tokens_of).all() and np.abs(want).max() > 5
     assert np.array_equal(got, lm.gradient(texts.repartition(2), model))  # whole numbers: in any order
     # a step goes uphill, and training takes one of every share
     seen = lm.observe(texts, model)
